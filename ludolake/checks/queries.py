@@ -25,15 +25,16 @@ LOADED_AT = datetime(2024, 2, 1, 12, tzinfo=timezone.utc)
 
 def _plain(df: DataFrame) -> DataFrame:
     """Arrays as text and ints as longs, so that both engines give the same values."""
+    small = (T.IntegerType, T.ShortType, T.ByteType)
     columns = []
     for field in df.schema.fields:
-        column = F.col(field.name)
         if isinstance(field.dataType, T.ArrayType):
-            column = F.array_join(column, "|", MISSING)
-        elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
-            column = column.cast("long")
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+            columns.append(f"array_join({field.name}, '|', '{MISSING}') AS {field.name}")
+        elif isinstance(field.dataType, small):
+            columns.append(f"cast({field.name} AS bigint) AS {field.name}")
+        else:
+            columns.append(field.name)
+    return df.selectExpr(*columns)
 
 
 # --- Latest rows and merging -------------------------------------------------

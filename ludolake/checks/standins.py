@@ -28,18 +28,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def epoch(column: str) -> Column:
     """Epoch seconds of a timestamp without zone."""
-    start = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-    return F.expr(f"timestampdiff(SECOND, {start}, {column})").cast("long")
+    return F.expr(_seconds(column))
 
 
-def _id_mask(ids: str) -> Column:
+def _seconds(column: str) -> str:
+    return f"cast(timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {column}) AS bigint)"
+
+
+def _id_mask(ids: str, name: str) -> Column:
     """Small ids of a group as a bit set, which stays in generated code."""
-    return F.bit_or(F.expr(f"shiftleft(1L, cast({ids} as int))"))
+    return F.expr(f"bit_or(shiftleft(1L, cast({ids} AS int))) AS {name}")
 
 
-def _mask_ids(mask: str) -> Column:
-    ids = f"filter(sequence(0L, 26L), i -> (shiftright({mask}, cast(i as int)) & 1L) = 1L)"
-    return F.when(F.col(mask).isNotNull(), F.expr(ids))
+def _mask_ids(mask: str) -> str:
+    return (
+        f"CASE WHEN {mask} IS NOT NULL THEN filter(sequence(0L, 26L), "
+        f"i -> (shiftright({mask}, cast(i AS int)) & 1L) = 1L) END"
+    )
 
 
 def raw_games(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,50 +52,46 @@ def raw_games(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "orders")
         .groupBy("o_custkey")
         .agg(
-            F.count(F.lit(1)).alias("n_orders"),
-            F.sum(F.round(F.col("o_totalprice") * 100).cast("long")).alias("cents"),
-            F.count_if(F.col("o_orderstatus") == "O").alias("n_open"),
-            F.min("o_orderdate").alias("first_order"),
-            F.max("o_orderdate").alias("last_order"),
-            _id_mask("o_orderkey % 27").alias("platform_mask"),
-            _id_mask("substr(o_orderpriority, 1, 1)").alias("genre_mask"),
+            F.expr("count(*) AS n_orders"),
+            F.expr("sum(cast(round(o_totalprice * 100) AS bigint)) AS cents"),
+            F.expr("count_if(o_orderstatus = 'O') AS n_open"),
+            F.expr("min(o_orderdate) AS first_order"),
+            F.expr("max(o_orderdate) AS last_order"),
+            _id_mask("o_orderkey % 27", "platform_mask"),
+            _id_mask("substr(o_orderpriority, 1, 1)", "genre_mask"),
             _id_mask(
-                "CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END"
-            ).alias("mode_mask"),
-            _id_mask("year(o_orderdate) - 1995").alias("theme_mask"),
+                "CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END", "mode_mask"
+            ),
+            _id_mask("year(o_orderdate) - 1995", "theme_mask"),
         )
     )
-    customers = table(spark, sf_dir, "customer")
-    number = F.col("c_custkey")
-    nation = F.col("c_nationkey").cast("long")
-    average = F.col("cents").cast("double") / (F.col("n_orders") * 500000)
-    named = {
-        "id": number,
-        "name": F.col("c_name"),
-        "slug": F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit("-"))),
-        "summary": F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")),
-        "game_type": nation % 5,
-        "cover": nation,
-        "url": F.concat(F.lit("https://example.org/games/"), number.cast("string")),
-        "created_at": epoch("first_order"),
-        "updated_at": F.coalesce(epoch("last_order"), F.lit(0)).cast("long"),
+    rating = "floor(cast(cents AS double) / (n_orders * 500000) * 64) / 64"
+    values = {
+        "id": "c_custkey",
+        "name": "c_name",
+        "slug": "lower(replace(c_name, '#', '-'))",
+        "summary": "nullif(c_mktsegment, 'BUILDING')",
+        "game_type": "c_nationkey % 5",
+        "cover": "c_nationkey",
+        "url": "concat('https://example.org/games/', c_custkey)",
+        "created_at": _seconds("first_order"),
+        "updated_at": f"coalesce({_seconds('last_order')}, 0L)",
         "genres": _mask_ids("genre_mask"),
         "platforms": _mask_ids("platform_mask"),
         "game_modes": _mask_ids("mode_mask"),
-        "player_perspectives": F.when(number % 11 == 0, F.expr("cast(array() as array<bigint>)"))
-        .otherwise(F.array(nation % 7)),
+        "player_perspectives": "CASE WHEN c_custkey % 11 = 0 THEN cast(array() AS array<bigint>) "
+        "ELSE array(cast(c_nationkey % 7 AS bigint)) END",
         "themes": _mask_ids("theme_mask"),
-        "first_release_date": epoch("first_order"),
-        "hypes": F.when(F.col("n_open") > 0, F.col("n_open")),
-        "aggregated_rating": F.when(
-            F.col("n_orders").isNotNull(), F.least(F.lit(100.0), F.floor(average * 64) / 64)
-        ),
-        "aggregated_rating_count": F.col("n_orders"),
+        "first_release_date": _seconds("first_order"),
+        "hypes": "nullif(n_open, 0L)",
+        "aggregated_rating": f"CASE WHEN n_orders > 0 THEN least(100D, {rating}) END",
+        "aggregated_rating_count": "n_orders",
     }
-    joined = customers.join(orders, number == F.col("o_custkey"), "left")
-    return joined.select(
+    customers = table(spark, sf_dir, "customer")
+    joined = customers.join(orders, customers.c_custkey == orders.o_custkey, "left")
+    return joined.selectExpr(
         *[
-            named.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+            f"cast({values.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}"
             for f in schemas.GAMES.fields
         ]
     )

@@ -25,6 +25,12 @@ CATALOGUE_CODES = [1, 2, 3, 4]
 STEAM_CODES = [5, 6, 7, 8, 9, 10]
 TWITCH_CODES = [34]
 
+FLAGS = {
+    "has_igdb_data": CATALOGUE_CODES,
+    "has_steam_data": STEAM_CODES,
+    "has_twitch_data": TWITCH_CODES,
+}
+
 # External source ids and their names.
 SOURCES = {121: "IGDB", 1: "Steam", 6: "Twitch"}
 

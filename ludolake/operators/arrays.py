@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import at_most
@@ -29,15 +30,15 @@ def valid_bridge(bridge: DataFrame, games: DataFrame, key: str = "id") -> DataFr
     return bridge.join(known, "game_id", "left_semi")
 
 
-def _dimension_rows(dimensions: Mapping[str, DataFrame]) -> DataFrame:
-    """All dimensions stacked as (kind, dim_id, name)."""
-    stacked = None
-    for kind, rows in dimensions.items():
-        part = rows.where(F.col("id").isNotNull()).select(
-            F.lit(kind).alias("kind"), F.col("id").alias("dim_id"), "name"
+def _dimension_rows(dimensions: Sequence[DataFrame]) -> DataFrame:
+    """All dimensions stacked as (kind, dim_id, name), kind being the place in the list."""
+    parts = [
+        rows.where("id IS NOT NULL").selectExpr(
+            f"{kind} AS kind", "cast(id AS bigint) AS dim_id", "name"
         )
-        stacked = part if stacked is None else stacked.unionByName(part)
-    return stacked
+        for kind, rows in enumerate(dimensions)
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def assemble_name_arrays(
@@ -53,35 +54,31 @@ def assemble_name_arrays(
     Elements follow the array position; an id the dimension lacks stays as a
     NULL name; a NULL or empty id array gives a NULL name array.
     """
-
-    def entries_of(kind: str, ids: str) -> Column:
-        def entry(dim_id: Column, position: Column) -> Column:
-            return F.struct(
-                F.lit(kind).alias("kind"),
-                position.alias("position"),
-                dim_id.cast("long").alias("dim_id"),
-            )
-
-        none = F.array().cast("array<struct<kind:string,position:int,dim_id:bigint>>")
-        return F.coalesce(F.transform(F.col(ids), entry), none)
-
-    entries = F.concat(*[entries_of(kind, ids) for kind, (ids, _) in kinds.items()])
-    bridge = games.select(F.col(key), F.explode(entries).alias("entry")).select(key, "entry.*")
-    dimension = _dimension_rows({kind: rows for kind, (_, rows) in kinds.items()})
+    kind_ids = [ids for ids, _ in kinds.values()]
+    none = "cast(array() AS array<struct<kind:int,position:int,dim_id:bigint>>)"
+    entries = ", ".join(
+        f"coalesce(transform({ids}, (x, i) -> struct({kind} AS kind, i AS position, "
+        f"cast(x AS bigint) AS dim_id)), {none})"
+        for kind, ids in enumerate(kind_ids)
+    )
+    bridge = games.select(key, F.expr(f"explode(concat({entries})) AS entry")).select(
+        key, "entry.*"
+    )
+    dimension = _dimension_rows([rows for _, rows in kinds.values()])
     if at_most(dimension, small_dimension):
         dimension = F.broadcast(dimension)
     named = bridge.join(dimension, ["kind", "dim_id"], "left")
+    # (kind, position) is unique within a key, so the sort never compares names.
     collected = named.groupBy(key).agg(
-        *[
-            F.array_sort(
-                F.collect_list(F.when(F.col("kind") == kind, F.struct("position", "name")))
-            ).alias(kind)
-            for kind in kinds
-        ]
+        F.array_sort(F.collect_list(F.struct("kind", "position", "name"))).alias("_entries")
     )
-    # The position is unique within a list, so the sort never compares names.
-    arrays = collected.select(
-        key, *[F.when(F.size(k) > 0, F.col(f"{k}.name")).alias(k) for k in kinds]
+    arrays = collected.selectExpr(
+        key,
+        *[
+            f"nullif(transform(filter(_entries, e -> e.kind = {kind}), e -> e.name), "
+            f"cast(array() AS array<string>)) AS {output}"
+            for kind, output in enumerate(kinds)
+        ],
     )
     return games.join(arrays, key, "left")
 
@@ -93,24 +90,18 @@ def lookup_name_arrays(games: DataFrame, kinds: Mapping[str, tuple[str, DataFram
     array is translated in place. The caller checks the size of the dimensions;
     each must be unique by id.
     """
-    dimension = _dimension_rows({kind: rows for kind, (_, rows) in kinds.items()})
-    names = dimension.groupBy().agg(
-        *[
-            F.map_from_entries(
-                F.collect_list(F.when(F.col("kind") == kind, F.struct("dim_id", "name")))
-            ).alias(f"_{kind}")
-            for kind in kinds
-        ]
-    )
-
-    def translated(kind: str, ids: str) -> Column:
-        found = F.transform(
-            F.col(ids), lambda dim_id: F.try_element_at(F.col(f"_{kind}"), dim_id.cast("long"))
+    dimension = _dimension_rows([rows for _, rows in kinds.values()])
+    maps = [
+        F.expr(
+            "map_from_entries(collect_list(struct(dim_id, name)) "
+            f"FILTER (WHERE kind = {kind})) AS _names{kind}"
         )
-        return F.when(F.size(ids) > 0, found)
-
-    return (
-        games.crossJoin(F.broadcast(names))
-        .withColumns({kind: translated(kind, ids) for kind, (ids, _) in kinds.items()})
-        .drop(*[f"_{kind}" for kind in kinds])
-    )
+        for kind in range(len(kinds))
+    ]
+    names = F.broadcast(dimension.groupBy().agg(*maps))
+    translated = [
+        f"CASE WHEN size({ids}) > 0 THEN "
+        f"transform({ids}, x -> try_element_at(_names{kind}, cast(x AS bigint))) END AS {output}"
+        for kind, (output, (ids, _)) in enumerate(kinds.items())
+    ]
+    return games.crossJoin(names).selectExpr(*games.columns, *translated)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.labels import CATALOGUE_CODES, METRICS, STEAM_CODES, TWITCH_CODES
+from ..functions.labels import CATALOGUE_CODES, FLAGS, METRICS
+
+
+def _list(codes: list[int]) -> str:
+    return ", ".join(map(str, codes))
 
 
 def pivot_metrics(scores: DataFrame) -> DataFrame:
@@ -18,27 +19,23 @@ def pivot_metrics(scores: DataFrame) -> DataFrame:
     game with a third of all rows shrinks to a few rows per task before the
     shuffle.
     """
-    code = F.col("popularity_type")
-    metric = {c: F.max(F.when(code == c, F.col("value"))) for c in METRICS}
-    flags = {
-        "has_igdb_data": CATALOGUE_CODES,
-        "has_steam_data": STEAM_CODES,
-        "has_twitch_data": TWITCH_CODES,
-    }
+    metrics = [
+        F.expr(f"max(value) FILTER (WHERE popularity_type = {code}) AS {name}")
+        for code, name in METRICS.items()
+    ]
+    flags = [
+        F.expr(f"max(CASE WHEN popularity_type IN ({_list(codes)}) THEN 1 ELSE 0 END) AS {name}")
+        for name, codes in FLAGS.items()
+    ]
     wide = scores.groupBy("game_id").agg(
-        *[metric[c].alias(name) for c, name in METRICS.items()],
-        *[F.max(code.isin(codes).cast("int")).alias(name) for name, codes in flags.items()],
-        F.count_distinct(code).alias("available_metrics_count"),
-    )
-    engagement = reduce(
-        add, [F.coalesce(F.col(METRICS[c]), F.lit(0.0)) for c in CATALOGUE_CODES]
+        *metrics, *flags, F.count_distinct("popularity_type").alias("available_metrics_count")
     )
-    present = {name: F.coalesce(F.col(name), F.lit(0)) for name in flags}
-    return wide.select(
+    engagement = " + ".join(f"coalesce({METRICS[code]}, 0D)" for code in CATALOGUE_CODES)
+    return wide.selectExpr(
         "game_id",
         *METRICS.values(),
-        engagement.alias("igdb_total_engagement"),
-        *[column.alias(name) for name, column in present.items()],
+        f"{engagement} AS igdb_total_engagement",
+        *FLAGS,
         "available_metrics_count",
-        reduce(add, present.values()).alias("cross_platform_score"),
+        f"{' + '.join(FLAGS)} AS cross_platform_score",
     )

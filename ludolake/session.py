@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Recording the call site of every column expression slows plan building.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

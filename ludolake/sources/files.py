@@ -1,0 +1,11 @@
+"""Whether a path exists, on any file system Spark is configured for."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)

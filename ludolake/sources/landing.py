@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .files import exists
+
 BATCH_SIZE = 100_000
 
 
@@ -38,12 +39,9 @@ def read_json_lines(
 def read_entity(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
     """All date partitions below ``base``, with ``dt`` as a string column."""
     dated = T.StructType([*schema.fields, T.StructField("dt", T.StringType())])
-    try:
-        return spark.read.schema(dated).option("mode", "DROPMALFORMED").json(base)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not exists(spark, base):
         return empty(spark, dated)
+    return spark.read.schema(dated).option("mode", "DROPMALFORMED").json(base)
 
 
 def read_partition(spark: SparkSession, base: str, schema: T.StructType, dt: str) -> DataFrame:
@@ -51,24 +49,21 @@ def read_partition(spark: SparkSession, base: str, schema: T.StructType, dt: str
     return read_entity(spark, base, schema).where(F.col("dt") == dt).drop("dt")
 
 
-def partition_of(path) -> F.Column:
+def partition_of(path: Column) -> Column:
     """The date in a ``dt=YYYY-MM-DD/`` path."""
     return F.regexp_extract(path, r"dt=([0-9]{4}-[0-9]{2}-[0-9]{2})/", 1)
 
 
 def latest_partition(spark: SparkSession, base: str) -> str | None:
     """Newest date that has files, found from the file listing without reading any of them."""
-    try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.json*")
-            .load(base)
-        )
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not exists(spark, base):
         return None
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.json*")
+        .load(base)
+    )
     return files.agg(F.max(F.nullif(partition_of(F.col("path")), F.lit("")))).first()[0]
 
 
@@ -93,8 +88,6 @@ def write_partition(df: DataFrame, base: str, dt: str, batch_size: int = BATCH_S
 def _write(df: DataFrame, batch_size: int, mode: str, path: str, by_date: bool = False) -> int:
     if df.isEmpty():
         return 0
-    from pyspark.sql import Observation
-
     seen = Observation()
     writer = (
         df.observe(seen, F.count(F.lit(1)).alias("n"))
@@ -110,9 +103,6 @@ def _write(df: DataFrame, batch_size: int, mode: str, path: str, by_date: bool =
 
 def data_files(spark: SparkSession, path: str, schema: T.StructType) -> list[str]:
     """Files a read of ``path`` would use; names starting with ``_`` or ``.`` are not data."""
-    try:
-        return sorted(spark.read.schema(schema).json(path).inputFiles())
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not exists(spark, path):
         return []
+    return sorted(spark.read.schema(schema).json(path).inputFiles())

@@ -7,11 +7,13 @@ writer at a time is assumed, as for the loads themselves.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import time
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .files import exists
+
 
 class Log:
     """Rows of ``schema`` numbered by ``seq`` in the order they were appended."""
@@ -22,16 +24,12 @@ class Log:
         self.schema = T.StructType.fromDDL("seq long, " + ddl)
 
     def rows(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(self.schema).parquet(self.path)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not exists(self.spark, self.path):
             return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(self.path)
 
-    def append(self, **values) -> int:
-        seq = (self.rows().agg(F.max("seq")).first()[0] or 0) + 1
-        row = [seq, *[values[f.name] for f in self.schema.fields[1:]]]
+    def append(self, **values) -> None:
+        """Add one row, numbered by the time it is added."""
+        row = [time.time_ns(), *[values[f.name] for f in self.schema.fields[1:]]]
         frame = self.spark.createDataFrame([row], self.schema).coalesce(1)
         frame.write.mode("append").parquet(self.path)
-        return seq

@@ -44,5 +44,6 @@ class RunState:
         return current_state(self.log.rows())
 
     def get(self, entity: str) -> datetime | None:
-        row = self.all().where(F.col("entity") == entity).first()
-        return datetime.fromisoformat(row.last_run_time) if row else None
+        entries = self.log.rows().where(F.col("entity") == entity)
+        text = entries.agg(F.max_by("last_run_time", "seq")).first()[0]
+        return datetime.fromisoformat(text) if text else None
