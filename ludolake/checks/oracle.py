@@ -411,6 +411,7 @@ WITH {SCORES} SELECT * FROM scores WHERE dt = (SELECT max(dt) FROM scores)""",
     "date_partition": ALL_SCORES + " WHERE dt = '2024-01-15'",
     "all_partitions": f"""
 WITH {SCORES} SELECT dt, count(*) AS n_rows, max(value) AS max_value FROM scores GROUP BY dt""",
+    "file_dates": f"WITH {SCORES} SELECT dt AS file_date, count(*) AS n_rows FROM scores GROUP BY dt",
     "json_lines_roundtrip": ALL_SCORES,
     "batched_write": "SELECT count(*) AS n_rows, CAST(1 AS BIGINT) AS bound_held FROM events",
     "partition_replace": f"""
@@ -419,6 +420,11 @@ SELECT id, game_id, popularity_type, CASE WHEN dt = '2024-01-15' THEN 0.5::DOUBL
 FROM scores""",
     "manifest_scan": ALL_SCORES,
     "manifest_refresh": ALL_SCORES + " WHERE id % 2 = 1",
+    "manifest_json": """
+SELECT 'scores' AS entity, '2024-02-01' AS dt, count(*) AS total_count, CAST(1 AS BIGINT) AS files_match,
+       CAST(epoch(TIMESTAMP '2024-02-01 12:00:00') AS BIGINT) AS created_at,
+       CAST(epoch(TIMESTAMP '2024-02-01 12:00:00') AS BIGINT) AS updated_at
+FROM events""",
     "file_status": """
 SELECT CASE WHEN event_id % 2 = 0 THEN 'outdated' ELSE 'final' END AS status, count(*) AS n_rows
 FROM events GROUP BY 1
@@ -462,6 +468,6 @@ SELECT CAST(sum(record_count) AS BIGINT) AS total_records, sum(sequential_elapse
 FROM compared""",
     "run_state": """
 SELECT event_type AS entity, strftime(date_trunc('second', max(ts)), '%Y-%m-%dT%H:%M:%S+00:00') AS last_run_time,
-       '2024-02-01T12:00:00+00:00' AS updated_at
+       '2024-02-01T12:00:00+00:00' AS updated_at, CAST(epoch_us(max(ts)) // 1000000 AS BIGINT) AS last_run
 FROM events WHERE event_type <> 'view' GROUP BY event_type""",
 }

@@ -62,6 +62,7 @@ def _merge_orders(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
         datetime(1998, 1, 1, tzinfo=timezone.utc).timestamp()
     )
     old = latest.latest_by_key(rows.where(F.col("updated_at") < until), "o_custkey", "updated_at")
+    old = stage(old, "old")
     new = rows.where(F.col("updated_at") >= since)
     return latest.upsert_latest(old, new, "o_custkey", "updated_at", **options)
 
@@ -321,7 +322,9 @@ def incremental_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _landed_by_date(spark: SparkSession, sf_dir: str) -> str:
     base = work_path(spark, "popscore")
-    st.dated_scores(spark, sf_dir).repartition("dt").write.partitionBy("dt").json(base)
+    scores = st.dated_scores(spark, sf_dir)
+    # Rows of a date go together, a date with very many rows in several parts.
+    scores.hint("rebalance", "dt").write.partitionBy("dt").json(base)
     return base
 
 
@@ -345,6 +348,16 @@ def all_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def file_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per date, the date taken from the path of the file."""
+    base = _landed_by_date(spark, sf_dir)
+    rows = landing.read_entity(spark, base, schemas.POPSCORE)
+    date = landing.partition_of(F.col("_metadata.file_path"))
+    return rows.select(date.alias("file_date")).groupBy("file_date").agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+
+
 # --- Landing zone ------------------------------------------------------------
 
 
@@ -403,6 +416,20 @@ def manifest_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.read_json_lines(spark, files, schemas.POPSCORE)
 
 
+def manifest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of two loads through its JSON form and back."""
+    _, book = _two_loads(spark, sf_dir, refresh=False)
+    read = manifest.from_json(manifest.to_json(book.current()))
+    return read.select(
+        "entity",
+        "dt",
+        "total_count",
+        (F.size("files") == F.col("batch_count")).cast("long").alias("files_match"),
+        F.unix_seconds("created_at").alias("created_at"),
+        F.unix_seconds("updated_at").alias("updated_at"),
+    )
+
+
 def file_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows in files of each status: replaced, current, and landed but not recorded."""
     root, book = _two_loads(spark, sf_dir, refresh=True)
@@ -580,7 +607,9 @@ def run_state(spark: SparkSession, sf_dir: str) -> DataFrame:
         states.save(row.event_type, moment - timedelta(days=1), now=LOADED_AT)
         states.save(row.event_type, moment, now=LOADED_AT)
     states.reset("view", now=LOADED_AT)
-    return states.all()
+    return states.all().join(
+        states.times().select("entity", F.unix_seconds("last_run").alias("last_run")), "entity"
+    )
 
 
 QUERIES = {
@@ -623,11 +652,13 @@ QUERIES = {
         latest_partition,
         date_partition,
         all_partitions,
+        file_dates,
         json_lines_roundtrip,
         batched_write,
         partition_replace,
         manifest_scan,
         manifest_refresh,
+        manifest_json,
         file_status,
         snapshot_switch,
         stream_upsert,

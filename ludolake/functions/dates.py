@@ -33,6 +33,12 @@ def epoch_minute_text(seconds: Column) -> Column:
     return F.concat_ws(" ", epoch_day_text(seconds), clock)
 
 
+def iso_timestamp(text: Column) -> Column:
+    """Instant of an ISO-8601 text; one without an offset counts as UTC."""
+    has_offset = text.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
+    return F.to_timestamp(F.when(has_offset, text).otherwise(F.concat(text, F.lit("Z"))))
+
+
 def epoch_of(moment: datetime) -> int:
     """Whole epoch seconds of a Python datetime; a naive one counts as UTC."""
     if moment.tzinfo is None:

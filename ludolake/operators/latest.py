@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import at_most
+from ..session import at_most, stage
 
 # An increment of up to this many keys is broadcast as (key, order) pairs.
 SMALL_INCREMENT = 1_000_000
@@ -37,14 +37,15 @@ def upsert_latest(
 ) -> DataFrame:
     """Merge ``new`` into ``old`` by key; the greatest ``order`` wins, ties go to ``new``.
 
-    ``old`` must be unique by ``key`` (it is the result of an earlier merge);
-    ``new`` need not be. Columns are matched by name and missing ones are NULL.
+    ``old`` must be a table that is unique by ``key``, such as the result of an
+    earlier merge; ``new`` need not be. Columns are matched by name and missing
+    ones are NULL. The increment is reduced to its latest rows once and staged.
 
     A small increment, which is the daily case, is broadcast: the large table
     is filtered in place and never shuffled. A larger one goes through one
     shuffle on the key.
     """
-    newest = latest_by_key(new, key, order)
+    newest = stage(latest_by_key(new, key, order), "increment")
     arriving = newest.select(F.col(key), F.col(order).alias("_new_order"), F.lit(True).alias("_hit"))
     if not at_most(arriving, small_increment):
         both = old.withColumn("_side", F.lit(0)).unionByName(

@@ -44,37 +44,47 @@ def staging_models(spark: SparkSession, root: str, dt: str) -> dict[str, DataFra
     return models
 
 
+def materialize(tables: Snapshots, name: str, df: DataFrame, as_view: bool = False) -> DataFrame:
+    """Keep a model as a written table, or only as a temporary view for development."""
+    if as_view:
+        df.createOrReplaceTempView(name)
+        return df
+    return tables.replace(name, df)
+
+
 def build_all(
     spark: SparkSession,
     root: str,
     dt: str | None = None,
     as_of: datetime | None = None,
     full_refresh: bool = False,
+    as_views: bool = False,
 ) -> dict[str, DataFrame]:
-    """Write dim_games, fct_game_popularity and the marts; return the written tables.
+    """Write dim_games, fct_game_popularity and the marts; return the models by name.
 
     ``stg_games`` is written first, since the dimension and every bridge read
     it. The dimension merges the day's games into its current version, unless
-    ``full_refresh`` starts it anew.
+    ``full_refresh`` starts it anew. ``as_views`` writes nothing and names the
+    models as temporary views.
     """
     dt = dt or run_date()
     as_of = as_of or datetime.now(timezone.utc)
     tables = Snapshots(spark, root)
     models = staging_models(spark, root, dt)
 
-    built = {"stg_games": tables.replace("stg_games", models["stg_games"])}
+    built = {"stg_games": materialize(tables, "stg_games", models["stg_games"], as_views)}
     dimensions = {dim: models[f"stg_{dim}"] for _, dim in NAME_ARRAYS.values()}
     new = dim_games(built["stg_games"], dimensions)
     if not full_refresh:
         new = merge_dim_games(tables.read("dim_games", DIM_GAMES), new)
-    built["dim_games"] = tables.replace("dim_games", new)
+    built["dim_games"] = materialize(tables, "dim_games", new, as_views)
     # The fact needs no labels, so it reads the scores without the join.
-    built["fct_game_popularity"] = tables.replace(
-        "fct_game_popularity", fct_game_popularity(read_scores(spark, root))
+    built["fct_game_popularity"] = materialize(
+        tables, "fct_game_popularity", fct_game_popularity(read_scores(spark, root)), as_views
     )
     marts = all_marts(built["dim_games"], built["fct_game_popularity"], as_of)
     for name, mart in marts.items():
-        built[name] = tables.replace(name, mart)
+        built[name] = materialize(tables, name, mart, as_views)
     return built
 
 

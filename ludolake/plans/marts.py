@@ -8,6 +8,7 @@ ties always fall the same way.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -134,9 +135,14 @@ def _with_game(fact: DataFrame, dim: DataFrame, *columns: str) -> DataFrame:
     return fact.join(dim.select(*wanted), "game_id")
 
 
+def _having(fact: DataFrame, *metrics: str) -> DataFrame:
+    """Rows that have every named metric, as filters a scan can take."""
+    return reduce(lambda rows, name: rows.where(F.col(name).isNotNull()), metrics, fact)
+
+
 def trending_now(dim: DataFrame, fact: DataFrame, n: int = 100) -> DataFrame:
     """Games being played most, with some history of being played."""
-    active = fact.dropna(subset=["playing", "played"]).where(
+    active = _having(fact, "playing", "played").where(
         (F.col("playing_percentile") >= 50) & (F.col("played_percentile") >= 20)
     )
     return _ranked(
@@ -166,8 +172,8 @@ def controversial_games(dim: DataFrame, fact: DataFrame, n: int = 100) -> DataFr
     positive = F.col("positive_reviews_percentile")
     total = F.col("total_reviews_percentile")
     divided = (
-        fact.dropna(
-            subset=["steam_negative_reviews", "steam_total_reviews", "steam_positive_reviews"]
+        _having(
+            fact, "steam_negative_reviews", "steam_total_reviews", "steam_positive_reviews"
         )
         .where((negative >= 40) & (positive >= 30) & (total >= 30))
         .withColumn(
@@ -257,7 +263,7 @@ def rising_stars(
     Twitch and velocity are ranked among all games being played, before games
     missing from the dimension drop out and before the activity threshold.
     """
-    moving = fact.where(F.col("playing").isNotNull()).withColumn(
+    moving = _having(fact, "playing").withColumn(
         "velocity_ratio", guarded_ratio(F.col("playing"), F.col("played"))
     )
     ranked = percentile_buckets(

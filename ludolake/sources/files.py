@@ -1,11 +1,24 @@
-"""Whether a path exists, on any file system Spark is configured for."""
+"""What exists below a path, on any file system Spark is configured for."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def _place(spark: SparkSession, path: str):
     context = spark.sparkContext
     place = context._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(context._jsc.hadoopConfiguration()).exists(place)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = _place(spark, path)
+    return files.exists(place)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below ``path``; none when it does not exist."""
+    files, place = _place(spark, path)
+    if not files.exists(place):
+        return []
+    return [status.getPath().getName() for status in files.listStatus(place)]

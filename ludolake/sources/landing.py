@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .files import exists
+from .files import children, exists
 
 BATCH_SIZE = 100_000
+DATE = "[0-9]{4}-[0-9]{2}-[0-9]{2}"
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -51,20 +53,21 @@ def read_partition(spark: SparkSession, base: str, schema: T.StructType, dt: str
 
 def partition_of(path: Column) -> Column:
     """The date in a ``dt=YYYY-MM-DD/`` path."""
-    return F.regexp_extract(path, r"dt=([0-9]{4}-[0-9]{2}-[0-9]{2})/", 1)
+    return F.regexp_extract(path, f"dt=({DATE})/", 1)
 
 
 def latest_partition(spark: SparkSession, base: str) -> str | None:
-    """Newest date that has files, found from the file listing without reading any of them."""
-    if not exists(spark, base):
-        return None
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json*")
-        .load(base)
-    )
-    return files.agg(F.max(F.nullif(partition_of(F.col("path")), F.lit("")))).first()[0]
+    """Newest date that has data files.
+
+    Only the names of the dates are listed, then the newest ones until one has
+    files, so the length of the history does not matter.
+    """
+    dates = [name[3:] for name in children(spark, base) if re.fullmatch(f"dt={DATE}", name)]
+    for dt in sorted(dates, reverse=True):
+        names = children(spark, f"{base}/dt={dt}")
+        if any(".json" in name and name[0] not in "._" for name in names):
+            return dt
+    return None
 
 
 def write_json_lines(df: DataFrame, path: str, batch_size: int = BATCH_SIZE) -> int:

@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.dates import iso_timestamp
 from .logs import Log
 from .registry import ENTITIES, TIME_SERIES, raw_path
 
@@ -74,6 +75,37 @@ def file_status(loads: DataFrame, landed: DataFrame | None = None) -> DataFrame:
     return listed.unionByName(unlisted.withColumn("status", F.lit("temp")))
 
 
+def to_json(manifests: DataFrame) -> DataFrame:
+    """(entity, dt, body): each manifest as the JSON object other tools read."""
+    moment = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+    body = F.struct(
+        "files",
+        "total_count",
+        F.date_format("created_at", moment).alias("created_at"),
+        F.date_format("updated_at", moment).alias("updated_at"),
+        "batch_count",
+    )
+    return manifests.select("entity", "dt", F.to_json(body).alias("body"))
+
+
+def from_json(bodies: DataFrame) -> DataFrame:
+    """Manifests from their JSON objects; a missing key is NULL."""
+    shape = (
+        "files array<string>, total_count long, created_at string, updated_at string, "
+        "batch_count long"
+    )
+    parsed = bodies.select("entity", "dt", F.from_json("body", shape).alias("m"))
+    return parsed.select(
+        "entity",
+        "dt",
+        F.array_distinct("m.files").alias("files"),
+        "m.total_count",
+        iso_timestamp(F.col("m.created_at")).alias("created_at"),
+        iso_timestamp(F.col("m.updated_at")).alias("updated_at"),
+        "m.batch_count",
+    )
+
+
 class Manifest:
     def __init__(self, spark: SparkSession, root: str):
         self.root = root

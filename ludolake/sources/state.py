@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import iso_timestamp
 from ..operators.latest import latest_by_key
 from .logs import Log
 
@@ -43,6 +44,10 @@ class RunState:
         """(entity, last_run_time, updated_at), ISO text."""
         return current_state(self.log.rows())
 
+    def times(self) -> DataFrame:
+        """(entity, last_run) as instants."""
+        return self.all().select("entity", iso_timestamp(F.col("last_run_time")).alias("last_run"))
+
     def get(self, entity: str) -> datetime | None:
         entries = self.log.rows().where(F.col("entity") == entity)
         text = entries.agg(F.max_by("last_run_time", "seq")).first()[0]
