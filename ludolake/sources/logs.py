@@ -7,9 +7,12 @@ writer at a time is assumed, as for the loads themselves.
 
 from __future__ import annotations
 
+import json
 import time
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .files import exists
@@ -30,6 +33,7 @@ class Log:
 
     def append(self, **values) -> None:
         """Add one row, numbered by the time it is added."""
-        row = [time.time_ns(), *[values[f.name] for f in self.schema.fields[1:]]]
-        frame = self.spark.createDataFrame([row], self.schema).coalesce(1)
+        text = json.dumps({"seq": time.time_ns(), **values}, default=datetime.isoformat)
+        row = F.from_json(F.lit(text), self.schema).alias("row")
+        frame = self.spark.range(1, numPartitions=1).select(row).select("row.*")
         frame.write.mode("append").parquet(self.path)
