@@ -156,15 +156,14 @@ _RECENT = f"""
   FROM dim WHERE first_release_date <= epoch(TIMESTAMP '1997-01-01')
   ORDER BY first_release_date DESC, game_id"""
 
-_PERCENTILES_OF_LINES = f"""
-WITH lines AS (
-  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS line,
-         max(l_extendedprice) AS l_extendedprice, max(l_quantity) AS l_quantity, max(l_discount) AS l_discount
-  FROM lineitem GROUP BY 1)
-SELECT *, {_ntile('l_extendedprice', 'price_percentile', 'line')},
-       {_ntile('l_quantity', 'quantity_percentile', 'line')},
-       {_ntile('l_discount', 'discount_percentile', 'line')}
-FROM lines
+_PERCENTILES_OF_ORDERS = f"""
+WITH o AS (
+  SELECT o_orderkey, o_totalprice, o_custkey, CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS priority
+  FROM orders)
+SELECT *, {_ntile('o_totalprice', 'price_percentile', 'o_orderkey')},
+       {_ntile('o_custkey', 'customer_percentile', 'o_orderkey')},
+       {_ntile('priority', 'priority_percentile', 'o_orderkey')}
+FROM o
 """
 
 _BRIDGES = [
@@ -299,7 +298,7 @@ FROM scores s LEFT JOIN types t ON t.id = s.popularity_type""",
     "metric_pivot": f"WITH {WIDE} SELECT * FROM wide",
     "fct_game_popularity": FACT_ROWS,
     "fct_game_popularity_ranged": FACT_ROWS,
-    "percentile_buckets": _PERCENTILES_OF_LINES,
+    "percentile_buckets": _PERCENTILES_OF_ORDERS,
     "exact_percentile": "SELECT quantile_cont(l_quantity, 0.25) AS lower_quartile FROM lineitem",
     "exact_percentile_ranged": "SELECT quantile_cont(o_totalprice, 0.25) AS lower_quartile FROM orders",
     "mart_recent": f"WITH {DIM} {_RECENT} LIMIT 50",
@@ -403,6 +402,7 @@ SELECT p_partkey, p_name, (row_number() OVER (ORDER BY p_partkey) - 1) // 500 AS
 SELECT o_custkey, o_orderkey, (row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1) // 500 AS page
 FROM orders""",
     "page_offset": "SELECT p_partkey, p_name FROM part ORDER BY p_partkey LIMIT 500 OFFSET 100",
+    "page_deep": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 500 OFFSET 1000",
     "incremental_read": f"""
 WITH {VERSIONS}
 SELECT * FROM versions WHERE updated_at > epoch(TIMESTAMP '2024-01-20 11:55:00')""",

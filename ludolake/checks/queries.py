@@ -175,38 +175,26 @@ def fct_game_popularity_ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(_fact(spark, sf_dir, small_rows=0))
 
 
-def _priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return st.table(spark, sf_dir, "lineitem").select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("line"),
-        "l_extendedprice",
-        "l_quantity",
-        "l_discount",
-    )
-
-
 def percentile_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three rankings of all order lines; quantity and discount tie heavily."""
-    lines = stage(_distinct_lines(spark, sf_dir), "lines")
+    """Three rankings of all orders; customers tie, and a priority has a fifth of the rows."""
+    orders = st.table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        "o_totalprice",
+        "o_custkey",
+        F.substring("o_orderpriority", 1, 1).cast("double").alias("priority"),
+    )
     ranked = order.percentile_buckets(
-        lines,
-        "line",
+        orders,
+        "o_orderkey",
         {
-            "price_percentile": F.col("l_extendedprice"),
-            "quantity_percentile": F.col("l_quantity"),
-            "discount_percentile": F.col("l_discount"),
+            "price_percentile": F.col("o_totalprice"),
+            "customer_percentile": F.col("o_custkey"),
+            "priority_percentile": F.col("priority"),
         },
     )
     return _plain(ranked)
 
 
-def _distinct_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        _priced_lines(spark, sf_dir)
-        .groupBy("line")
-        .agg(*[F.max(c).alias(c) for c in ["l_extendedprice", "l_quantity", "l_discount"]])
-    )
-
-
 def exact_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = order.value_counts(st.table(spark, sf_dir, "lineitem"), "l_quantity")
     return order.exact_percentile(counts, 0.25, "lower_quartile")
@@ -307,6 +295,12 @@ def page_rows_ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def page_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page cut from the global index, as deep pages are."""
+    lines = st.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return order.page(lines, [F.col("o_orderkey").asc()], offset=1000, limit=500, small_rows=0)
+
+
 def page_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = st.table(spark, sf_dir, "part").select("p_partkey", "p_name")
     return order.page(parts, [F.col("p_partkey").asc()], offset=100, limit=500)
@@ -648,6 +642,7 @@ QUERIES = {
         page_rows,
         page_rows_ranged,
         page_offset,
+        page_deep,
         incremental_read,
         latest_partition,
         date_partition,

@@ -144,8 +144,10 @@ def dated_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def popularity_types(spark: SparkSession) -> DataFrame:
-    rows = [(code, name, TYPE_SOURCES[code]) for code, name in METRICS.items()]
-    return spark.createDataFrame(rows, "id long, name string, external_popularity_source long")
+    rows = ", ".join(
+        f"({code}L, '{name}', {TYPE_SOURCES[code]}L)" for code, name in METRICS.items()
+    )
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(id, name, external_popularity_source)")
 
 
 def events_as_updates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -82,9 +82,22 @@ def page_numbers(
     return numbered.withColumn("page", F.expr(f"_index div {int(size)}")).drop("_index")
 
 
-def page(df: DataFrame, order: Sequence[Column], offset: int, limit: int = 500) -> DataFrame:
-    """One page of ``df``; empty past the end."""
-    return df.orderBy(*order).offset(offset).limit(limit)
+def page(
+    df: DataFrame,
+    order: Sequence[Column],
+    offset: int,
+    limit: int = 500,
+    small_rows: int = SMALL_ROWS,
+) -> DataFrame:
+    """One page of ``df``; empty past the end.
+
+    An offset takes every row before the page into one task, so a deep page is
+    cut from the global index instead.
+    """
+    if offset + limit <= small_rows:
+        return df.orderBy(*order).offset(offset).limit(limit)
+    numbered = global_index(df, order, "_index", small_rows)
+    return numbered.where(F.col("_index").between(offset, offset + limit - 1)).drop("_index")
 
 
 def _bucket(index: Column, total: Column, buckets: int) -> Column:

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import METRICS, metric_category, source_label
+from ..operators.arrays import SMALL_DIMENSION
 from ..operators.order import SMALL_ROWS, percentile_buckets
 from ..operators.pivot import pivot_metrics
-from ..session import stage
+from ..session import at_most, stage
 
 
 def wanted_scores(raw: DataFrame) -> DataFrame:
@@ -21,14 +22,16 @@ def wanted_scores(raw: DataFrame) -> DataFrame:
 def stg_popscore(scores: DataFrame, types: DataFrame) -> DataFrame:
     """Score rows with the name, source and category of their type.
 
-    ``types`` is left to Catalyst: it is broadcast when its size is below the
-    session's threshold, else joined by shuffle with skew handling.
+    ``types`` is broadcast if it has few rows; the few codes would make a very
+    uneven shuffle. Otherwise the join is left to Catalyst's skew handling.
     """
     named = types.select(
         F.col("id").alias("popularity_type"),
         F.col("name").alias("popularity_type_name"),
         "external_popularity_source",
     )
+    if at_most(named, SMALL_DIMENSION):
+        named = F.broadcast(named)
     return scores.join(named, "popularity_type", "left").select(
         "id",
         "game_id",

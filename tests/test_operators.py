@@ -195,6 +195,8 @@ def test_page_offset_and_past_the_end(spark):
     df = spark.range(1200)
     assert [r.id for r in page(df, [F.col("id").asc()], 1000).collect()] == list(range(1000, 1200))
     assert page(df, [F.col("id").asc()], 1500).count() == 0
+    deep = page(df, [F.col("id").asc()], 1000, small_rows=0)
+    assert sorted(r.id for r in deep.collect()) == list(range(1000, 1200))
 
 
 @pytest.mark.parametrize("values", [[1], [1, 2], [3, 1, 2, 2, 2, 9], [5] * 50 + [1, 2, None]])
