@@ -143,6 +143,11 @@ def _dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimension.dim_games(games, st.dimensions(spark, sf_dir))
 
 
+def _tabled_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension as a written table, for the marts that read it more than once."""
+    return stage(_dim(spark, sf_dir), "dim")
+
+
 def dim_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(_dim(spark, sf_dir))
 
@@ -217,7 +222,7 @@ def mart_hyped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mart_top_rated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(marts.top_rated(stage(_dim(spark, sf_dir), "dim")))
+    return _plain(marts.top_rated(_tabled_dim(spark, sf_dir)))
 
 
 def mart_theme_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,20 +230,20 @@ def mart_theme_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mart_trending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(marts.trending_now(_dim(spark, sf_dir), _fact(spark, sf_dir)))
+    return _plain(marts.trending_now(_tabled_dim(spark, sf_dir), _fact(spark, sf_dir)))
 
 
 def mart_controversial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(marts.controversial_games(_dim(spark, sf_dir), _fact(spark, sf_dir)))
+    return _plain(marts.controversial_games(_tabled_dim(spark, sf_dir), _fact(spark, sf_dir)))
 
 
 def mart_hidden_gems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(marts.hidden_gems(_dim(spark, sf_dir), _fact(spark, sf_dir)))
+    return _plain(marts.hidden_gems(_tabled_dim(spark, sf_dir), _fact(spark, sf_dir)))
 
 
 def mart_rising(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact = stage(_fact(spark, sf_dir), "fact")
-    return _plain(marts.rising_stars(_dim(spark, sf_dir), fact))
+    return _plain(marts.rising_stars(_tabled_dim(spark, sf_dir), fact))
 
 
 # --- Serving -----------------------------------------------------------------

@@ -3,6 +3,8 @@
 ``dim`` is dim_games, ``fact`` is fct_game_popularity; both are read more than
 once by some marts, so pass tables. Every ranking ends with ``game_id`` so that
 ties always fall the same way.
+
+The thresholds, weights, row limits and column lists below are fixed values.
 """
 
 from __future__ import annotations
@@ -130,9 +132,23 @@ def theme_trends(dim: DataFrame, n: int = 50) -> DataFrame:
 
 
 def _with_game(fact: DataFrame, dim: DataFrame, *columns: str) -> DataFrame:
-    """Fact rows with the named dimension columns; rows without a game drop out."""
-    wanted = dict.fromkeys(["game_id", "game_name", *columns, "platform_names", "genre_names", *_CARD])
-    return fact.join(dim.select(*wanted), "game_id")
+    """Fact rows with the dimension columns the ranking needs; rows without a game drop out."""
+    return fact.join(dim.select("game_id", *columns), "game_id")
+
+
+def _best_games(
+    ranked: DataFrame, dim: DataFrame, n: int, order: list[str], output: list[str]
+) -> DataFrame:
+    """Top ``n`` of ``ranked``, completed from ``dim``.
+
+    The ranking joins and sorts narrow rows; texts and name arrays are fetched
+    for the winners only, by a scan against the ``n`` broadcast rows.
+    """
+    by = [*[_desc(c) for c in order], F.col("game_id").asc()]
+    winners = top_n(ranked, n, *by)
+    missing = [c for c in output if c not in winners.columns]
+    complete = dim.select("game_id", *missing).join(F.broadcast(winners), "game_id")
+    return top_n(complete, n, *by).select(*output)
 
 
 def _having(fact: DataFrame, *metrics: str) -> DataFrame:
@@ -145,8 +161,9 @@ def trending_now(dim: DataFrame, fact: DataFrame, n: int = 100) -> DataFrame:
     active = _having(fact, "playing", "played").where(
         (F.col("playing_percentile") >= 50) & (F.col("played_percentile") >= 20)
     )
-    return _ranked(
-        _with_game(active, dim, "aggregated_rating"),
+    return _best_games(
+        _with_game(active, dim),
+        dim,
         n,
         ["playing_percentile", "playing"],
         [
@@ -181,8 +198,9 @@ def controversial_games(dim: DataFrame, fact: DataFrame, n: int = 100) -> DataFr
             weighted_score([(negative, 0.50), (positive, 0.30), (total, 0.20)]),
         )
     )
-    return _ranked(
-        _with_game(divided, dim, "aggregated_rating"),
+    return _best_games(
+        _with_game(divided, dim),
+        dim,
         n,
         ["controversy_score", "steam_total_reviews"],
         [
@@ -217,7 +235,7 @@ def hidden_gems(dim: DataFrame, fact: DataFrame, n: int = 100) -> DataFrame:
         (engagement <= 50) & (total <= 60) & (F.col("negative_reviews_percentile") <= 40)
     )
     gems = (
-        _with_game(quiet, dim, "aggregated_rating", "aggregated_rating_count")
+        _with_game(quiet, dim, "aggregated_rating")
         .where((positive >= 50) | (rating >= 75))
         .withColumn(
             "hidden_score",
@@ -231,8 +249,9 @@ def hidden_gems(dim: DataFrame, fact: DataFrame, n: int = 100) -> DataFrame:
             ),
         )
     )
-    return _ranked(
+    return _best_games(
         gems,
+        dim,
         n,
         ["hidden_score", "aggregated_rating", "positive_reviews_percentile"],
         [
@@ -276,7 +295,10 @@ def rising_stars(
         small_rows=small_rows,
     )
     rising = _with_game(
-        ranked.where(F.col("playing_percentile") >= 30), dim, "aggregated_rating"
+        ranked.where(F.col("playing_percentile") >= 30),
+        dim,
+        "aggregated_rating",
+        "first_release_date",
     ).withColumn(
         "rising_score",
         weighted_score(
@@ -290,8 +312,9 @@ def rising_stars(
             ]
         ),
     )
-    return _ranked(
+    return _best_games(
         rising,
+        dim,
         n,
         ["rising_score", "first_release_date", "playing_percentile"],
         [

@@ -279,6 +279,18 @@ def test_trending_needs_both_metrics_and_thresholds(spark):
     assert len(got.columns) == 15
 
 
+def test_texts_are_fetched_for_winners_only(spark, tmp_path):
+    named_dim(spark, [1, 2]).write.parquet(f"{tmp_path}/dim")
+    dim = spark.read.parquet(f"{tmp_path}/dim").hint("merge")
+    fact_rows(spark, {"game_id": 1}).write.parquet(f"{tmp_path}/fact")
+    plan = plan_of(marts.trending_now(dim, spark.read.parquet(f"{tmp_path}/fact").hint("merge")))
+    # Below each shuffle only narrow rows are read.
+    for below in plan.split("Exchange hashpartitioning")[1:]:
+        scan = below[below.index("FileScan"):].split("\n")[0]
+        assert "game_summary" not in scan
+    assert plan.count("Exchange hashpartitioning") == 2 and "game_summary" in plan
+
+
 def test_controversial_score_and_thresholds(spark):
     reviews = {"steam_negative_reviews": 1.0, "steam_positive_reviews": 1.0, "steam_total_reviews": 1.0}
 
