@@ -1,4 +1,9 @@
-"""Time the headline queries; prints one JSON line."""
+"""Time the headline queries; prints one JSON line.
+
+After the queries on the driver's tables, the models are timed on the stand-in
+games repeated until there are as many as in the published timings (345,000),
+with all scores spread over them; these keys start with ``games345k_``.
+"""
 
 from __future__ import annotations
 
@@ -6,8 +11,18 @@ import json
 import os
 import time
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ludolake.checks import standins as st
 from ludolake.checks.queries import QUERIES
-from ludolake.session import build_session
+from ludolake.operators.quality import run_checks
+from ludolake.plans import BRIDGES, bridge, dim_games, fct_game_popularity, stg_games
+from ludolake.plans.build import CHECKS
+from ludolake.plans.marts import all_marts
+from ludolake.session import build_session, stage
+
+PUBLISHED_GAMES = 345_000
 
 HEADLINE = [
     "stg_games",
@@ -43,6 +58,44 @@ HEADLINE = [
 ]
 
 
+def run(df: DataFrame) -> None:
+    df.write.format("noop").mode("overwrite").save()
+
+
+def repeated(df: DataFrame, copies: int, *keys: str) -> DataFrame:
+    """``copies`` of every row, each with ids of its own."""
+    rows = df.crossJoin(df.sparkSession.range(copies).toDF("_copy"))
+    return rows.withColumns({k: F.col(k) * copies + F.col("_copy") for k in keys}).drop("_copy")
+
+
+def published_scale(spark: SparkSession, sf_dir: str) -> dict[str, float]:
+    """Seconds per model at the number of games of the published timings."""
+    seconds = {}
+
+    def timed(name: str, work):
+        start = time.perf_counter()
+        result = work()
+        seconds[f"games345k_{name}"] = round(time.perf_counter() - start, 3)
+        return result
+
+    games = st.raw_games(spark, sf_dir)
+    copies = max(1, PUBLISHED_GAMES // games.count())
+    raw = stage(repeated(games, copies, "id").repartition(spark.sparkContext.defaultParallelism), "raw")
+    scores = stage(repeated(st.raw_scores(spark, sf_dir), copies, "id", "game_id"), "scores")
+    dims = st.dimensions(spark, sf_dir)
+
+    staged = timed("stg_games", lambda: stage(stg_games(raw), "games"))
+    bridges = {name: bridge(name, staged) for name in BRIDGES}
+    timed("bridges", lambda: [run(rows) for rows in bridges.values()])
+    dim = timed("dim_games", lambda: stage(dim_games(staged, dims), "dim"))
+    fact = timed("fct_game_popularity", lambda: stage(fct_game_popularity(scores), "fact"))
+    timed("marts", lambda: [run(mart) for mart in all_marts(dim, fact, st.AS_OF).values()])
+    models = {f"stg_{name}": rows for name, rows in dims.items()}
+    models.update(bridges, stg_games=staged, dim_games=dim)
+    timed("dq_suite", lambda: run_checks(models, CHECKS).collect())
+    return seconds
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -58,13 +111,14 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     # One untimed query starts the session and loads its classes.
-    QUERIES["mart_top_rated"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    run(QUERIES["mart_top_rated"](spark, sf_dir))
 
     seconds = {}
     for name in HEADLINE:
         start = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        run(QUERIES[name](spark, sf_dir))
         seconds[name] = round(time.perf_counter() - start, 3)
+    seconds.update(published_scale(spark, sf_dir))
     print(
         json.dumps(
             {

@@ -18,10 +18,11 @@ def explode_bridge(
     games: DataFrame, ids: str, target: str, position: str | None = None, key: str = "id"
 ) -> DataFrame:
     """One ``(game_id, target)`` row per array element; NULL and empty arrays give none."""
-    rows = games.where(F.size(ids) > 0).select(
-        F.col(key).alias("game_id"), F.posexplode(ids).alias(position or "_position", target)
-    )
-    return rows if position else rows.drop("_position")
+    filled = games.where(F.size(ids) > 0)
+    game_id = F.col(key).alias("game_id")
+    if position:
+        return filled.select(game_id, F.posexplode(ids).alias(position, target))
+    return filled.select(game_id, F.explode(ids).alias(target))
 
 
 def valid_bridge(bridge: DataFrame, games: DataFrame, key: str = "id") -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,61 +66,68 @@ def type_differs(df: DataFrame, column: str, expected: T.DataType) -> bool:
 def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Run every check: (model, column, check, severity, failures, status).
 
-    All NULL counts and type checks of a model share one pass over it. Models
-    are read once per further check, so pass tables or staged frames.
+    Each column with a uniqueness or relationship check is counted by value
+    once, which also answers for its NULLs; the other columns of the model ride
+    along in one of these passes. Models are read once per pass, so pass tables
+    or staged frames.
     """
-    parts = []
-    for name in dict.fromkeys(check.model for check in checks):
-        df = models[name]
-        scanned = [c for c in checks if c.model == name and c.kind in ("not_null", "column_type")]
-        if scanned:
-            failures = [
-                F.count_if(F.col(c.column).isNull())
-                if c.kind == "not_null"
-                else F.lit(int(type_differs(df, c.column, c.expected))).cast("long")
-                for c in scanned
-            ]
-            # count(*) keeps this an aggregate when a model has type checks only
-            counted = df.agg(
-                F.count(F.lit(1)).alias("_rows"),
-                F.array(*failures).alias("_failures"),
-            )
-            labels = F.array(
-                *[
-                    F.struct(
-                        F.lit(c.model).alias("model"),
-                        F.lit(c.column).alias("column"),
-                        F.lit(c.kind).alias("check"),
-                        F.lit(c.severity).alias("severity"),
-                    )
-                    for c in scanned
-                ]
-            )
-            parts.append(
-                counted.select(F.explode(F.arrays_zip(labels.alias("l"), F.col("_failures").alias("f"))).alias("r"))
-                .select("r.l.*", F.col("r.f").alias("failures"))
-            )
-        for check in checks:
-            if check.model != name or check.kind not in ("unique", "relationships"):
-                continue
-            if check.kind == "unique":
-                count = repeated_values(df, check.column).agg(F.count(F.lit(1)).alias("failures"))
-            else:
-                count = orphan_counts(
-                    df, check.column, models[check.to_model], check.to_column
-                ).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("failures"))
-            parts.append(
-                count.select(
-                    F.lit(check.model).alias("model"),
-                    F.lit(check.column).alias("column"),
-                    F.lit(check.kind).alias("check"),
-                    F.lit(check.severity).alias("severity"),
-                    "failures",
-                )
-            )
+    passes: dict[tuple[str, str | None], list[Check]] = {}
+    for check in checks:
+        if check.kind in ("unique", "relationships"):
+            passes.setdefault((check.model, check.column), []).append(check)
+    for check in checks:
+        if check.kind in ("not_null", "column_type"):
+            own = (check.model, check.column)
+            other = next((key for key in passes if key[0] == check.model), (check.model, None))
+            passes.setdefault(own if own in passes else other, []).append(check)
+
     status = (
         F.when(F.col("failures") == 0, "pass")
         .when(F.col("severity") == "warn", "warn")
         .otherwise("fail")
     )
+    parts = [_run_pass(models, *key, own) for key, own in passes.items()]
     return reduce(DataFrame.unionByName, parts).withColumn("status", status)
+
+
+def _run_pass(
+    models: Mapping[str, DataFrame], model: str, key: str | None, checks: list[Check]
+) -> DataFrame:
+    """Failures of the checks that one pass over ``model`` answers.
+
+    With a ``key`` the model is first counted by its values, so that the joins
+    and the uniqueness test see each value once, however many rows hold it.
+    """
+    df = models[model]
+    nulls = [c.column for c in checks if c.kind == "not_null" and c.column != key]
+    counters = [
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_no_{c}") for c in nulls],
+    ]
+    counted = df.groupBy(*([key] if key else [])).agg(*counters)
+    for i, check in enumerate(checks):
+        if check.kind == "relationships":
+            known = models[check.to_model].select(F.col(check.to_column).alias(key)).distinct()
+            counted = counted.join(known.withColumn(f"_known{i}", F.lit(True)), key, "left")
+
+    def failures(i: int, check: Check) -> Column:
+        if check.kind == "column_type":
+            return F.lit(int(type_differs(df, check.column, check.expected))).cast("long")
+        if check.kind == "unique":
+            return F.count_if(F.col(key).isNotNull() & (F.col("_rows") > 1))
+        if check.kind == "relationships":
+            orphan = F.col(key).isNotNull() & F.col(f"_known{i}").isNull()
+            return F.sum(F.when(orphan, F.col("_rows")))
+        if check.column == key:
+            return F.sum(F.when(F.col(key).isNull(), F.col("_rows")))
+        return F.sum(f"_no_{check.column}")
+
+    found = counted.agg(
+        F.array(*[F.coalesce(failures(i, c), F.lit(0)) for i, c in enumerate(checks)]).alias("n")
+    )
+    labels = ", ".join(
+        f"struct('{c.model}' AS model, '{c.column}' AS column, '{c.kind}' AS check, "
+        f"'{c.severity}' AS severity, n[{i}] AS failures)"
+        for i, c in enumerate(checks)
+    )
+    return found.selectExpr(f"inline(array({labels}))")
