@@ -22,3 +22,9 @@ def children(spark: SparkSession, path: str) -> list[str]:
     if not files.exists(place):
         return []
     return [status.getPath().getName() for status in files.listStatus(place)]
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete ``path`` and all below it; whether there was anything."""
+    files, place = _place(spark, path)
+    return files.delete(place, True)

@@ -59,13 +59,15 @@ def build_all(
     as_of: datetime | None = None,
     full_refresh: bool = False,
     as_views: bool = False,
+    keep_versions: int | None = None,
 ) -> dict[str, DataFrame]:
     """Write dim_games, fct_game_popularity and the marts; return the models by name.
 
     ``stg_games`` is written first, since the dimension and every bridge read
     it. The dimension merges the day's games into its current version, unless
     ``full_refresh`` starts it anew. ``as_views`` writes nothing and names the
-    models as temporary views.
+    models as temporary views. ``keep_versions`` deletes older versions of the
+    written tables at the end.
     """
     dt = dt or run_date()
     as_of = as_of or datetime.now(timezone.utc)
@@ -85,6 +87,9 @@ def build_all(
     marts = all_marts(built["dim_games"], built["fct_game_popularity"], as_of)
     for name, mart in marts.items():
         built[name] = materialize(tables, name, mart, as_views)
+    if keep_versions and not as_views:
+        for name in built:
+            tables.expire(name, keep_versions)
     return built
 
 

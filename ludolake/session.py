@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .files import remove
+
 # Settings the library relies on. A cluster adds its own sizing on top
 # (executors, memory, spark.checkpoint.dir on shared storage).
 DEFAULTS = {
@@ -67,14 +69,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def drop_work(spark: SparkSession) -> bool:
     """Delete everything this application staged; call when its results are out."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(
-        f"{shared_dir(spark)}/ludolake/{spark.sparkContext.applicationId}"
-    )
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files.delete(path, True)
+    return remove(spark, f"{shared_dir(spark)}/ludolake/{spark.sparkContext.applicationId}")
 
 
 def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has no more than ``rows`` rows; stops counting beyond that."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether ``df`` has no more than ``rows`` rows.
+
+    A plain count: every task sends one number, and a Parquet table answers from
+    its footers. (Counting behind a limit would send rows to a single task.)
+    """
+    return df.count() <= rows

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .files import children, exists
+from ..files import children, exists
 
 BATCH_SIZE = 100_000
 DATE = "[0-9]{4}-[0-9]{2}-[0-9]{2}"

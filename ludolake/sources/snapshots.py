@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..files import remove
 from .logs import Log
 
 LOG = "table string, path string, source string"
@@ -47,6 +48,15 @@ class Snapshots:
             raise FileNotFoundError(f"no snapshot of {table} below {self.root}")
         return self.spark.createDataFrame([], schema)
 
+    def expire(self, table: str, keep: int = 2) -> int:
+        """Delete all but the newest ``keep`` versions; return how many went.
+
+        Keep at least two, so that jobs reading the previous version can finish.
+        """
+        versions = self.log.rows().where(F.col("table") == table).orderBy(F.desc("seq"))
+        old = [row.path for row in versions.select("path").collect()][max(keep, 1) :]
+        return sum(remove(self.spark, path) for path in old)
+
     def applied(self, table: str, source: str) -> bool:
         """Whether a version made from ``source`` was already committed."""
         done = (F.col("table") == table) & (F.col("source") == source)

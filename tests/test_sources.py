@@ -254,6 +254,16 @@ def test_snapshot_merged_with_itself_and_old_version_still_readable(spark, root)
     assert tables.applied("t", "s#1") and not tables.applied("t", "s#2")
 
 
+def test_old_versions_expire(spark, root):
+    tables = Snapshots(spark, root)
+    for n in range(1, 5):
+        tables.replace("t", spark.range(n))
+    assert tables.expire("t", keep=2) == 2
+    assert tables.read("t").count() == 4
+    assert len(os.listdir(f"{root}/marts/t")) == 2
+    assert tables.expire("t", keep=2) == 0
+
+
 def test_missing_snapshot(spark, root):
     tables = Snapshots(spark, root)
     assert tables.read("t", POPSCORE).count() == 0
