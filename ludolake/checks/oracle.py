@@ -25,7 +25,8 @@ games AS (
          CASE WHEN c_custkey % 11 = 0 THEN [] ELSE [c_nationkey % 7] END AS player_perspectives,
          CAST(epoch_us(first_order) // 1000000 AS BIGINT) AS first_release_date,
          nullif(n_open, 0) AS hypes,
-         least(100.0::DOUBLE, floor(CAST(cents AS DOUBLE) / (n_orders * 500000) * 64) / 64) AS aggregated_rating,
+         CASE WHEN n_orders > 0 THEN least(100.0::DOUBLE,
+              floor(CAST(cents AS DOUBLE) / (n_orders * 500000) * 64) / 64) END AS aggregated_rating,
          n_orders AS aggregated_rating_count
   FROM customer LEFT JOIN per_customer ON c_custkey = o_custkey)
 """
