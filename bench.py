@@ -80,7 +80,8 @@ def published_scale(spark: SparkSession, sf_dir: str) -> dict[str, float]:
 
     games = st.raw_games(spark, sf_dir)
     copies = max(1, PUBLISHED_GAMES // games.count())
-    raw = stage(repeated(games, copies, "id").repartition(spark.sparkContext.defaultParallelism), "raw")
+    tasks = spark.sparkContext.defaultParallelism
+    raw = stage(repeated(games, copies, "id").repartition(tasks), "raw")
     scores = stage(repeated(st.raw_scores(spark, sf_dir), copies, "id", "game_id"), "scores")
     dims = st.dimensions(spark, sf_dir)
 

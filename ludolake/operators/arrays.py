@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..session import at_most
 
 # Largest dimension broadcast as (id, name) rows.
-SMALL_DIMENSION = 1_000_000
+SMALL_DIMENSION = 200_000
 
 
 def explode_bridge(

@@ -46,7 +46,9 @@ def upsert_latest(
     shuffle on the key.
     """
     newest = stage(latest_by_key(new, key, order), "increment")
-    arriving = newest.select(F.col(key), F.col(order).alias("_new_order"), F.lit(True).alias("_hit"))
+    arriving = newest.select(
+        F.col(key), F.col(order).alias("_new_order"), F.lit(True).alias("_hit")
+    )
     if not at_most(arriving, small_increment):
         both = old.withColumn("_side", F.lit(0)).unionByName(
             newest.withColumn("_side", F.lit(1)), allowMissingColumns=True

@@ -47,7 +47,9 @@ def orphan_rows(child: DataFrame, column: str, parent: DataFrame, parent_column:
     )
 
 
-def orphan_counts(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+def orphan_counts(
+    child: DataFrame, column: str, parent: DataFrame, parent_column: str
+) -> DataFrame:
     """Orphan values with their row counts; the child is counted before the join,
     so a value that fills a third of it joins as one row."""
     counted = (

@@ -86,7 +86,9 @@ def rating_stats(dim: DataFrame) -> DataFrame:
 
     Both come from one pass that sums the ratings per vote count.
     """
-    voted = dim.where(F.col("aggregated_rating").isNotNull() & (F.col("aggregated_rating_count") > 0))
+    voted = dim.where(
+        F.col("aggregated_rating").isNotNull() & (F.col("aggregated_rating_count") > 0)
+    )
     counts = value_counts(
         voted, "aggregated_rating_count", F.sum("aggregated_rating").alias("ratings")
     )

@@ -22,7 +22,9 @@ DEFAULTS = {
 }
 
 
-def build_session(app: str = "ludolake", master: str | None = None, settings: dict | None = None) -> SparkSession:
+def build_session(
+    app: str = "ludolake", master: str | None = None, settings: dict | None = None
+) -> SparkSession:
     """Create (or fetch) a session with the library's defaults; ``settings`` override them."""
     builder = SparkSession.builder.appName(app)
     if master:
@@ -50,9 +52,13 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/ludolake/{spark.sparkContext.applicationId}"
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder, grouped by application."""
-    return f"{shared_dir(spark)}/ludolake/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -69,7 +75,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def drop_work(spark: SparkSession) -> bool:
     """Delete everything this application staged; call when its results are out."""
-    return remove(spark, f"{shared_dir(spark)}/ludolake/{spark.sparkContext.applicationId}")
+    return remove(spark, _own_dir(spark))
 
 
 def at_most(df: DataFrame, rows: int) -> bool:

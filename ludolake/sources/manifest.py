@@ -66,7 +66,10 @@ def file_status(loads: DataFrame, landed: DataFrame | None = None) -> DataFrame:
         .groupBy("entity", "dt", "file")
         .agg((F.max("seq") < F.max("_replaced")).alias("_old"))
         .select(
-            "entity", "dt", "file", F.when(F.col("_old"), "outdated").otherwise("final").alias("status")
+            "entity",
+            "dt",
+            "file",
+            F.when(F.col("_old"), "outdated").otherwise("final").alias("status"),
         )
     )
     if landed is None:

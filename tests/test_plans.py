@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ludolake.__main__ import main
 from ludolake.functions import METRICS
 from ludolake.operators.quality import (
     Check,
@@ -582,6 +583,19 @@ def test_development_build_uses_views(spark, root):
     assert Snapshots(spark, root).path("dim_games") is None
 
 
+def test_command_line(spark, root, tmp_path, capsys):
+    for name in ("games", "popscore", "genres"):
+        sources(spark)[name].write.json(f"{tmp_path}/export/{name}")
+    arguments = ["--root", root, "--source", f"{tmp_path}/export", "--date", "2025-06-01"]
+    # Genre 999 and platform 6 have no dimension row.
+    assert main(arguments) == 1
+    out = capsys.readouterr().out
+    assert "total_records" in out and "relationships" in out
+    assert Snapshots(spark, root).read("dim_games").count() == 2
+    assert main([*arguments, "--load-only", "--full-refresh"]) == 0
+    assert Manifest(spark, root).current().where("entity = 'games'").first().total_count == 2
+
+
 # --- Streaming
 
 
