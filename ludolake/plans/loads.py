@@ -75,7 +75,8 @@ def load_entity(
     if spec.kind == TIME_SERIES:
         rows = wanted_scores(rows)
     if since:
-        rows = changed_since(rows, since)
+        # A few changed rows spread over many tasks would land as many tiny files.
+        rows = changed_since(rows, since).hint("rebalance")
 
     folder = raw_path(root, name, dt)
     if spec.kind == TIME_SERIES:

@@ -1,3 +1,4 @@
+import os
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -510,6 +511,19 @@ def sources(spark):
     }
 
 
+def test_small_increment_lands_in_one_file(spark, root):
+    load_all(spark, root, {"games": sources(spark)["games"]}, dt="2025-06-01")
+    later = int(datetime.now(timezone.utc).timestamp()) + 60
+    many = spark.range(40).repartition(8).selectExpr(
+        "id", "cast(id AS string) AS name", f"cast({later} AS bigint) AS updated_at"
+    )
+    for field in schemas.GAMES.fields:
+        if field.name not in many.columns:
+            many = many.withColumn(field.name, F.lit(None).cast(field.dataType))
+    result = load_all(spark, root, {"games": many}, dt="2025-06-02")[0]
+    assert (result["mode"], result["record_count"], result["file_count"]) == ("incremental", 40, 1)
+
+
 def test_load_and_build_over_three_days(spark, root):
     first = load_all(spark, root, sources(spark), dt="2025-06-01")
     assert [r["entity_name"] for r in first] == LOAD_ORDER
@@ -624,3 +638,10 @@ def test_stream_merges_new_files_only_and_replays_are_skipped(spark, root):
     assert ingest() == want
     assert tables.log.rows().count() == versions
     assert tables.applied("t", f"{root}/checkpoint#0")
+    # As after a crash between the merge and the stream's own commit.
+    last = max(int(n) for n in os.listdir(f"{root}/checkpoint/commits") if n.isdigit())
+    for name in (str(last), f".{last}.crc"):
+        if os.path.exists(f"{root}/checkpoint/commits/{name}"):
+            os.remove(f"{root}/checkpoint/commits/{name}")
+    assert ingest() == want
+    assert tables.log.rows().count() == versions
