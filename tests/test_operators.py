@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timezone
 
 import pytest
@@ -80,6 +81,31 @@ def test_upsert_is_idempotent_and_fills_missing_columns(spark, small):
     assert rows(once, "id") == rows(twice, "id") == [(1, 10, None), (2, 11, "x")]
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("small", [1000, 0])
+def test_upsert_against_brute_force(spark, seed, small):
+    draw = random.Random(seed)
+
+    def versions(n, side):
+        # Key 0 holds a third of the rows; some versions tie across sides.
+        return [
+            (0 if draw.random() < 0.34 else draw.randrange(1, 40), draw.randrange(12), side)
+            for _ in range(n)
+        ]
+
+    schema = "id long, updated_at long, side string"
+    old = latest_by_key(spark.createDataFrame(versions(60, "old"), schema), "id", "updated_at")
+    old = spark.createDataFrame(old.collect(), schema)
+    arriving = versions(80, "new")
+    want = {r.id: (r.updated_at, r.side) for r in old.collect()}
+    for key, version, side in arriving:
+        if key not in want or version >= want[key][0]:
+            want[key] = (version, side)
+    merged = upsert_latest(old, spark.createDataFrame(arriving, schema), "id", "updated_at", small)
+    assert {r.id: (r.updated_at, r.side) for r in merged.collect()} == want
+    assert merged.count() == len(want)
+
+
 def test_small_upsert_does_not_shuffle_the_table(spark):
     old = spark.createDataFrame(OLD, "id long, updated_at long, name string")
     new = spark.createDataFrame(NEW, "id long, updated_at long, name string")

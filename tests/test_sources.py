@@ -1,6 +1,7 @@
 import glob
 import os
 from datetime import datetime, timezone
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -288,6 +289,15 @@ def test_stage_uses_the_shared_folder(spark):
     assert work_path(spark, "a") != work_path(spark, "a")
 
 
+def test_no_machine_local_folder_on_a_cluster():
+    cluster = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default: default),
+        sparkContext=SimpleNamespace(master="yarn", getCheckpointDir=lambda: None),
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(cluster)
+
+
 def test_drop_work_removes_only_this_application(spark):
     path = f"{shared_dir(spark)}/ludolake/other/file"
     write_text(path, "x")
