@@ -70,7 +70,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    copy = df.sparkSession.read.schema(df.schema).parquet(path)
+    copy.staged_at = path
+    return copy
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``stage`` wrote for ``frames``; nothing that still reads them may run later."""
+    for frame in frames:
+        remove(frame.sparkSession, frame.staged_at)
 
 
 def drop_work(spark: SparkSession) -> bool:
