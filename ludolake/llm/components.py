@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import discard, stage
 
 
 def _digest(edges: DataFrame) -> tuple:
@@ -31,7 +31,8 @@ def connected(links: DataFrame) -> DataFrame:
         large = large.where("u <> v").distinct()
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         linked = large.join(small, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stage(linked.union(small.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        last, edges = edges, stage(linked.union(small.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        discard(last)
         now = _digest(edges)
         if now == before:
             break

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import at_most, stage
+from ..session import at_most, discard, stage
 from .common import WordIds, table, texts, windows
 from .components import connected
 
@@ -257,9 +257,11 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
     postings = postings.join(members.select("row", "node"), "row").select("item", "node", "n", "l").distinct()
     postings = stage(postings, "postings")
     lists = postings.groupBy("item").agg(F.count("*").alias("size")).where("size > 1").select("item")
-    postings = stage(postings.join(lists, "item"), "postings")
+    every, postings = postings, stage(postings.join(lists, "item"), "postings")
+    discard(every)
     wanted = _small(postings.select(F.col("node").alias("row")).distinct())
     candidates = stage(sets.select("row", "items").join(wanted, "row", "left_semi"), "candidates")
+    discard(sets)
     fits = f"100 * least(n, m) >= {percent} * greatest(n, m)"
 
     labelled = postings.withColumn("component", F.col("node"))
@@ -296,8 +298,9 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
         F.count("*").alias("common"), F.min(F.least("l", "k")).alias("needed")
     )
     pairs = shared.where("common >= needed").select("a", "b").join(done, ["a", "b"], "left_anti")
-    found = _verified(stage(pairs, "pairs"), candidates, percent)
-    component = connected(stage(links.union(found), "links"))
+    found = stage(_verified(stage(pairs, "pairs"), candidates, percent), "links")
+    discard(candidates)
+    component = connected(links.union(found))
     # A document without words is its own node, so it is a group of its own.
     return members.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
