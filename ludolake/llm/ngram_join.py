@@ -16,9 +16,11 @@ How it stays whole and linear:
 * Postings travel as packed arrays by hash of the n-gram; n-grams that only one
   class has, most of them, end there.
 * Components do not need every pair of a group of near copies: each member of a
-  posting list is first verified against one leader of its list. What is then in
-  one component is not paired again; all other pairs of the lists are counted and
-  verified, so no link between different components can be missed.
+  long posting list is first verified against one leader of its list. What is then
+  in one component is not paired again; all other pairs of the lists are counted,
+  so no link between different components can be missed. Pairs whose shared
+  elements stand too late in either order, or are too few for what lies beyond the
+  prefixes, cannot be similar and are not verified.
 """
 
 from __future__ import annotations
@@ -40,6 +42,8 @@ VERIFY = 16
 PART_BYTES = 8 << 20
 FLUSH = 1 << 21
 LEADER_ROUNDS = 3
+#: Posting lists above this length are first verified against a leader.
+LONG = 64
 #: Rows of ids (8 bytes each) that may be sent to all tasks.
 BROADCAST_IDS = 1 << 20
 
@@ -167,7 +171,7 @@ def matches(weights: np.ndarray, need: int) -> int:
 
 
 def _postings(sets: DataFrame, total: int, percent: int, frequent) -> DataFrame:
-    """(item, row, n, l) of prefix elements that at least two rows have."""
+    """(item, row, n, l, p) of prefix elements that at least two rows have; p is the place in the row's order."""
     parts = max(1, total * 4 // PART_BYTES + 1)
     known = sets.sparkSession.sparkContext.broadcast(frequent)
 
@@ -175,14 +179,14 @@ def _postings(sets: DataFrame, total: int, percent: int, frequent) -> DataFrame:
         values, numbers = known.value
 
         def pack(held):
-            items, rows, ns, ls = (np.concatenate(x) for x in zip(*held))
+            items, rows, ns, ls, ps = (np.concatenate(x) for x in zip(*held))
             order = np.argsort(items, kind="stable")
-            items, rows, ns, ls = items[order], rows[order], ns[order], ls[order]
+            items, rows, ns, ls, ps = items[order], rows[order], ns[order], ls[order], ps[order]
             at = _parts(items, parts)
             full = np.flatnonzero(np.diff(at))
             cut = lambda x: pa.array([x[at[p] : at[p + 1]].tobytes() for p in full], pa.binary())
             return pa.RecordBatch.from_arrays(
-                [pa.array(full, pa.int32()), cut(items), cut(rows), cut(ns), cut(ls)], ["part", "item", "row", "n", "l"]
+                [pa.array(full, pa.int32()), cut(items), cut(rows), cut(ns), cut(ls), cut(ps)], ["part", "item", "row", "n", "l", "p"]
             )
 
         held, size = [], 0
@@ -197,7 +201,7 @@ def _postings(sets: DataFrame, total: int, percent: int, frequent) -> DataFrame:
             l = matches(weights[order], need)
             chosen = items[order[: n - need + l]]
             k = len(chosen)
-            held.append((chosen, np.full(k, row), np.full(k, n, np.int32), np.full(k, l, np.uint8)))
+            held.append((chosen, np.full(k, row), np.full(k, n, np.int32), np.full(k, l, np.uint8), np.arange(k, dtype=np.int32)))
             size += k
             if size >= FLUSH // 2:
                 yield pack(held)
@@ -206,20 +210,20 @@ def _postings(sets: DataFrame, total: int, percent: int, frequent) -> DataFrame:
             yield pack(held)
 
     def shared(group: pa.Table) -> pa.Table:
-        kinds = {"item": np.uint64, "row": np.int64, "n": np.int32, "l": np.uint8}
+        kinds = {"item": np.uint64, "row": np.int64, "n": np.int32, "l": np.uint8, "p": np.int32}
         c = {k: np.concatenate([np.frombuffer(b, t) for b in group.column(k).to_pylist()]) for k, t in kinds.items()}
         order = np.argsort(c["item"], kind="stable")
         items = c["item"][order]
         same = items[1:] == items[:-1]
         keep = order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
         return pa.table(
-            {"item": c["item"][keep].view(np.int64), "row": c["row"][keep], "n": c["n"][keep], "l": c["l"][keep].astype(np.int32)}
+            {"item": c["item"][keep].view(np.int64), "row": c["row"][keep], "n": c["n"][keep], "l": c["l"][keep].astype(np.int32), "p": c["p"][keep]}
         )
 
     rows = sets.select("row", "n", "key", "items").mapInArrow(
-        prefixes, "part int, item binary, row binary, n binary, l binary"
+        prefixes, "part int, item binary, row binary, n binary, l binary, p binary"
     )
-    return rows.groupBy("part").applyInArrow(shared, "item long, row long, n int, l int")
+    return rows.groupBy("part").applyInArrow(shared, "item long, row long, n int, l int, p int")
 
 
 def _small(ids: DataFrame) -> DataFrame:
@@ -247,6 +251,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
     """(row, id, digest, n, node, component) of each document; digest is of its text."""
+    spark = docs.sparkSession
     sets = _sets(docs, id_col, text_col, size)
     classes = sets.where("key IS NOT NULL").groupBy("key").agg(F.min("row").alias("node"))
     members = sets.select("row", "id", "digest", "n", "key").join(classes, "key", "left")
@@ -254,51 +259,58 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
     total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     frequent = _frequent(sets, total)
     postings = _postings(sets, total, percent, frequent)
-    postings = postings.join(members.select("row", "node"), "row").select("item", "node", "n", "l").distinct()
+    postings = postings.join(members.select("row", "node"), "row").select("item", "node", "n", "l", "p").distinct()
     postings = stage(postings, "postings")
-    lists = postings.groupBy("item").agg(F.count("*").alias("size")).where("size > 1").select("item")
+    lists = postings.groupBy("item").agg(F.count("*").alias("size")).where("size > 1")
     every, postings = postings, stage(postings.join(lists, "item"), "postings")
     discard(every)
     wanted = _small(postings.select(F.col("node").alias("row")).distinct())
     candidates = stage(sets.select("row", "items").join(wanted, "row", "left_semi"), "candidates")
     discard(sets)
-    fits = f"100 * least(n, m) >= {percent} * greatest(n, m)"
 
-    labelled = postings.withColumn("component", F.col("node"))
-    links, done = None, None
+    # A shared element at places p and q leaves room for this overlap only.
+    room = "least(p, q) + least(n - p, m - q)"
+    fits = f"{100 + percent} * ({room}) >= {percent} * (n + m) AND 100 * least(n, m) >= {percent} * greatest(n, m)"
+    links = spark.createDataFrame([], "a long, b long")
+    done, labelled, left = links, postings.withColumn("component", F.col("node")), None
+    # A member of many long lists is likely the text that the others are copies of.
+    weight = postings.groupBy("node").agg(F.sum("size").alias("weight"))
     for turn in range(LEADER_ROUNDS):
+        long = labelled.where(F.col("size") > LONG)
+        if at_most(long, 0) or left is not None and (left["pairs"] or 0) <= 4 * left["rows"]:
+            break
         # Another leader each time; partial aggregation keeps a hot list off any single task.
-        rank = F.struct(F.xxhash64(F.lit(turn), "node").alias("h"), "node", F.col("n").alias("m"), "component")
-        leaders = labelled.groupBy("item").agg(F.min(rank).alias("s"))
-        leaders = leaders.select("item", F.col("s.node").alias("b"), "s.m", F.col("s.component").alias("other"))
-        pairs = labelled.join(leaders, "item").where("component <> other").where(fits)
+        first = F.col("weight") if turn == 0 else F.xxhash64(F.lit(turn), "node")
+        rank = F.struct(first.alias("h"), "node", F.col("n").alias("m"), F.col("p").alias("q"), "component")
+        leaders = long.join(weight, "node").groupBy("item").agg(F.max(rank).alias("s"))
+        leaders = leaders.select("item", F.col("s.node").alias("b"), "s.m", "s.q", F.col("s.component").alias("other"))
+        pairs = long.join(leaders, "item").where("component <> other").where(fits)
         pairs = pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        found = stage(_verified(pairs, candidates, percent), "links")
-        links = found if links is None else links.union(found)
-        done = pairs if done is None else done.union(pairs)
+        pairs = stage(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
+        links = links.union(stage(_verified(pairs, candidates, percent), "links"))
+        done = done.union(pairs)
         labelled, left = _relabelled(postings, connected(links))
-        if left["pairs"] is None or left["pairs"] <= 8 * left["rows"]:
-            break
     # All that the leaders left: pairs across components, of which one is outside the largest of the list.
-    sizes = labelled.groupBy("item", "component").agg(F.count("*").alias("size"))
-    largest = sizes.groupBy("item").agg(F.max(F.struct("size", "component")).alias("s"))
+    sizes = labelled.groupBy("item", "component").agg(F.count("*").alias("k"))
+    largest = sizes.groupBy("item").agg(F.max(F.struct("k", "component")).alias("s"))
     largest = largest.select("item", F.col("s.component").alias("largest"))
-    outside = labelled.join(largest, "item").where("component <> largest")
-    inner = labelled.join(largest, "item").where("component = largest").selectExpr(
-        "item", "node AS b", "n AS m", "l AS k", "component AS other"
-    )
-    others = outside.selectExpr("item", "node AS b", "n AS m", "l AS k", "component AS other")
-    across = (F.col("component") != F.col("other")) & F.expr(fits)
-    shared = outside.join(others, "item").where(across & (F.col("node") < F.col("b"))).select("node", "b", "l", "k")
-    shared = shared.union(outside.join(inner, "item").where(across).select("node", "b", "l", "k"))
-    shared = shared.groupBy(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).agg(
-        F.count("*").alias("common"), F.min(F.least("l", "k")).alias("needed")
+    judged = labelled.join(largest, "item")
+    outside, inside = judged.where("component <> largest"), judged.where("component = largest")
+    names = ("item", "node AS b", "n AS m", "l AS k", "p AS q", "component AS other")
+    across = f"component <> other AND {fits}"
+    shared = outside.join(outside.selectExpr(*names), "item").where(f"{across} AND node < b")
+    shared = shared.select("node", "b", "n", "m", "l", "k")
+    shared = shared.union(outside.join(inside.selectExpr(*names), "item").where(across).select("node", "b", "n", "m", "l", "k"))
+    shared = shared.select(
+        F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"), "n", "m", "l", "k"
+    ).groupBy("a", "b").agg(
+        F.count("*").alias("common"), F.min(F.least("l", "k")).alias("needed"), F.min(F.col("n") + F.col("m")).alias("both"),
+        # Beyond the shorter prefix lie need - l elements of its document.
+        F.max(F.greatest(F.ceil(percent * F.col("n") / 100) - F.col("l"), F.ceil(percent * F.col("m") / 100) - F.col("k"))).alias("beyond"),
     )
-    pairs = shared.where("common >= needed").select("a", "b").join(done, ["a", "b"], "left_anti")
-    found = stage(_verified(stage(pairs, "pairs"), candidates, percent), "links")
+    pairs = shared.where("common >= needed").where(f"{100 + percent} * (common + beyond) >= {percent} * both")
+    pairs = stage(pairs.select("a", "b").join(done, ["a", "b"], "left_anti"), "pairs")
+    found = stage(_verified(pairs, candidates, percent), "links")
     discard(candidates)
     component = connected(links.union(found))
     # A document without words is its own node, so it is a group of its own.
