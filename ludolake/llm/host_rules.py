@@ -118,11 +118,9 @@ def op8_host_rules(spark, sf_dir) -> DataFrame:
 
 
 def passing(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass, unchanged."""
-    docs = docs.withColumns({"_text": F.col("text")})
-    return judged(docs, [c for c in docs.columns if c != "_text"], text_col="_text").where("kept").select(
-        *[c for c in docs.columns if c != "_text"]
-    )
+    """The rows of ``docs`` that pass, unchanged; extra columns may have any name."""
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), "source", "text")
+    return judged(rows, ["doc"]).where("kept").select("doc.*")
 
 
 OP8_SQL = r"""

@@ -275,18 +275,19 @@ def hidden(text: str, terms: set[int]) -> str:
 def sanitised(docs: DataFrame, support: int = SUPPORT, disclosed: float = DISCLOSED) -> DataFrame:
     """``docs`` (with text and n_chars among its columns) with personal data hidden; null texts stay null."""
     names = docs.columns
-    others = [c for c in names if c not in ("text", "n_chars")]
+    others = F.struct(*(c for c in names if c not in ("text", "n_chars"))).alias("doc")
     found = disclosing(docs, "doc_id", "text", support, disclosed)
-    rows = _annotated(docs, others, "text", found)
+    rows = _annotated(docs, [others], "text", found).select("_text", "_terms", "doc")
 
     def run(batches):
         for batch in batches:
-            text = [None if t is None else hidden(t, set(m or ())) for t, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(text, pa.string())], [*batch.schema.names[2:], "text"])
+            pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            text = [None if t is None else hidden(t, set(m or ())) for t, m in pairs]
+            yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(text, pa.string())], ["doc", "text"])
 
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others)
-    rows = rows.select("_text", "_terms", *others).mapInArrow(run, f"{kinds}, text string")
-    return rows.withColumn("n_chars", F.length("text").cast("long")).select(*names)
+    rows = rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, text string")
+    made = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return rows.select(*(made.get(c, F.col("doc")[c]).alias(c) for c in names))
 
 
 def op10_pii(spark, sf_dir) -> DataFrame:

@@ -1,8 +1,8 @@
 """Substring deduplication by hashing lines and what they are made of.
 
 A text is cut into units at line ends, at sentence ends and, so that long lines are
-not all or nothing, after words whose hash says so; the last kind of cut depends on
-the words only, so a passage is cut alike wherever it stands. Units are normalised
+not all or nothing, after words whose hash is the least of their neighbourhood; such
+a cut depends on near words only, so a passage is cut alike wherever it stands. Units are normalised
 (lower case, no punctuation at the ends of words) and hashed, digests are grouped
 globally, and of each digest the earliest occurrence by (document, place) stays.
 Later ones are removed where they form a run of at least ``LEAST_WORDS`` words;
@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from ..session import at_most, stage
 from .common import mixed, table
 
-#: A unit may also end after a word whose hash is a multiple of this.
-CUT = 12
+#: A unit also ends after a word whose hash is the least among so many words to either side.
+CUT = 5
 LEAST_WORDS = 30
 PART_BYTES = 16 << 20
 FLUSH = 1 << 20
@@ -54,7 +54,10 @@ def units(text: str, normal: Normal) -> tuple[np.ndarray, ...]:
         return np.empty(0, np.uint64), none, none, none
     found = [normal[text[a:b]] for a, b in spans]
     ids = np.fromiter((f[0] for f in found), np.uint64, len(found))
-    ends = np.fromiter((f[1] for f in found), bool, len(found)) | (mixed(ids) % np.uint64(CUT) == 0)
+    hashes = mixed(ids)
+    around = np.pad(hashes, CUT, constant_values=np.uint64(2**64 - 1))
+    least = np.lib.stride_tricks.sliding_window_view(around, 2 * CUT + 1).min(axis=1)
+    ends = np.fromiter((f[1] for f in found), bool, len(found)) | (hashes == least)
     starts, stops = (np.array(x, np.int32) for x in zip(*spans))
     breaks, at = [], text.find("\n")
     while at >= 0:
