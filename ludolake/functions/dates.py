@@ -30,13 +30,21 @@ def epoch_minute_text(seconds: Column) -> Column:
     """``yyyy-MM-dd HH:mm`` in UTC."""
     minute = F.pmod(F.floor(seconds / F.lit(60)), F.lit(1440))
     clock = F.format_string("%02d:%02d", F.floor(minute / F.lit(60)), F.pmod(minute, F.lit(60)))
-    return F.concat_ws(" ", epoch_day_text(seconds), clock)
+    # concat, not concat_ws: no day, no text.
+    return F.concat(epoch_day_text(seconds), F.lit(" "), clock)
 
 
 def iso_timestamp(text: Column) -> Column:
-    """Instant of an ISO-8601 text; one without an offset counts as UTC."""
-    has_offset = text.rlike(r"(Z|[+-]\d{2}:?\d{2})$")
-    return F.to_timestamp(F.when(has_offset, text).otherwise(F.concat(text, F.lit("Z"))))
+    """Instant of an ISO-8601 date or time; one without an offset counts as UTC, and junk is NULL."""
+    clock = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}.*"
+    offset = F.regexp_extract(text, clock + r"?([+-]\d{2}(:?\d{2})?)$", 1)
+    # Offsets in the one form that the parser takes everywhere: +hh:mm.
+    hours, minutes = F.substring(offset, 1, 3), F.regexp_extract(offset, r"^.\d{2}:?(\d{2})$", 1)
+    minutes = F.when(minutes == "", "00").otherwise(minutes)
+    bare = F.substring(text, F.lit(1), F.length(text) - F.length(offset))
+    full = F.when(offset != "", F.concat(bare, hours, F.lit(":"), minutes)).when(text.endswith("Z"), text)
+    known = text.rlike(clock + "$") | text.rlike(r"^\d{4}-\d{2}-\d{2}$")
+    return F.try_to_timestamp(F.when(known, F.coalesce(full, F.concat(text, F.when(text.contains(":"), "Z").otherwise("T00:00:00Z")))))
 
 
 def epoch_of(moment: datetime) -> int:

@@ -65,7 +65,9 @@ def assemble_name_arrays(
     bridge = games.select(key, F.expr(f"explode(concat({entries})) AS entry")).select(
         key, "entry.*"
     )
+    # A repeated id has the greatest of its names, so that it adds no rows.
     dimension = _dimension_rows([rows for _, rows in kinds.values()])
+    dimension = dimension.groupBy("kind", "dim_id").agg(F.max("name").alias("name"))
     if at_most(dimension, small_dimension):
         dimension = F.broadcast(dimension)
     named = bridge.join(dimension, ["kind", "dim_id"], "left")
@@ -81,25 +83,28 @@ def assemble_name_arrays(
             for kind, output in enumerate(kinds)
         ],
     )
-    return games.join(arrays, key, "left")
+    arrays = arrays.withColumnRenamed(key, "_key")
+    return games.join(arrays, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
 
 
 def lookup_name_arrays(games: DataFrame, kinds: Mapping[str, tuple[str, DataFrame]]) -> DataFrame:
     """The same arrays with no shuffle, for dimensions of at most a few thousand rows.
 
     The dimensions travel as one broadcast row of id-to-name maps and each id
-    array is translated in place. The caller checks the size of the dimensions;
-    each must be unique by id.
+    array is translated in place. The caller checks the size of the dimensions.
     """
     dimension = _dimension_rows([rows for _, rows in kinds.values()])
+    entries = [
+        F.expr(f"array_sort(collect_list(struct(dim_id, name)) FILTER (WHERE kind = {kind})) AS _e{kind}")
+        for kind in range(len(kinds))
+    ]
+    # Of a repeated id the last entry in order, that with the greatest name, counts.
     maps = [
-        F.expr(
-            "map_from_entries(collect_list(struct(dim_id, name)) "
-            f"FILTER (WHERE kind = {kind})) AS _names{kind}"
-        )
+        f"map_from_entries(filter(_e{kind}, (e, i) -> "
+        f"i + 1 = size(_e{kind}) OR get(_e{kind}, i + 1).dim_id <> e.dim_id)) AS _names{kind}"
         for kind in range(len(kinds))
     ]
-    names = F.broadcast(dimension.groupBy().agg(*maps))
+    names = F.broadcast(dimension.groupBy().agg(*entries).selectExpr(*maps))
     translated = [
         f"CASE WHEN size({ids}) > 0 THEN "
         f"transform({ids}, x -> try_element_at(_names{kind}, cast(x AS bigint))) END AS {output}"

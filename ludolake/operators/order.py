@@ -9,6 +9,7 @@ result is the same row for row.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -123,9 +124,9 @@ def percentile_buckets(
 ) -> DataFrame:
     """Add ``NTILE(buckets)`` over each metric, ascending, ties by the unique ``key``.
 
-    ``df`` is read several times, so pass a table or a staged frame. All metrics
-    are ranked together: one range shuffle of narrow (metric, value, key) rows
-    and one aggregation back to the key, however many metrics there are.
+    ``df`` is read several times, so pass a table or a staged frame. Metrics
+    of one type are ranked together: one range shuffle of narrow (metric, value,
+    key) rows and one aggregation back to the key. A NULL key is a key.
     """
     if at_most(df, small_rows):
         return df.withColumns(
@@ -136,23 +137,29 @@ def percentile_buckets(
                 for name, metric in metrics.items()
             }
         )
-    values = df.select(
-        F.col(key).alias("_key"),
-        F.posexplode(F.array(*[m.cast("double") for m in metrics.values()])).alias(
-            "_metric", "_value"
-        ),
-    )
+    # Values keep their types, so those that doubles cannot tell apart keep their order.
+    numbered = list(enumerate(metrics.values()))
+    types = df.select(*[m.alias(f"_{i}") for i, m in numbered]).schema
     order = [F.col("_value").asc_nulls_last(), F.col("_key").asc()]
-    ranked = _indexed(values, "_metric", order, "buckets").select(
-        "_key", "_metric", _bucket(F.col("_index"), F.col("_total"), buckets).alias("_bucket")
-    )
+    parts = []
+    for kind in dict.fromkeys(f.dataType for f in types):
+        cells = [
+            F.struct(F.lit(i).alias("_metric"), m.alias("_value"))
+            for i, m in numbered
+            if types[i].dataType == kind
+        ]
+        values = df.select(F.col(key).alias("_key"), F.inline(F.array(*cells)))
+        ranks = _indexed(values, "_metric", order, "buckets")
+        bucket = _bucket(F.col("_index"), F.col("_total"), buckets).alias("_bucket")
+        parts.append(ranks.select("_key", "_metric", bucket))
+    ranked = reduce(DataFrame.unionByName, parts)
     wide = ranked.groupBy("_key").agg(
         *[
             F.max(F.when(F.col("_metric") == i, F.col("_bucket"))).alias(name)
             for i, name in enumerate(metrics)
         ]
     )
-    return df.join(wide.withColumnRenamed("_key", key), key)
+    return df.join(wide, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
 
 
 def value_counts(df: DataFrame, column: str, *also: Column) -> DataFrame:

@@ -72,6 +72,8 @@ def build_all(
     dt = dt or run_date()
     as_of = as_of or datetime.now(timezone.utc)
     tables = Snapshots(spark, root)
+    if full_refresh and not Manifest(spark, root).files("games", dt):
+        raise ValueError(f"no games landed for {dt}: a full refresh would empty the dimension")
     models = staging_models(spark, root, dt)
 
     built = {"stg_games": materialize(tables, "stg_games", models["stg_games"], as_views)}

@@ -33,7 +33,9 @@ def fetch_mart(name: str, mart: DataFrame, limit: int = 10) -> DataFrame:
     """First rows of a mart in its own ranking."""
     label = "theme" if name == "mart_theme_trends" else "game_name"
     order = [F.col(c).desc_nulls_last() for c in MART_ORDER[name]]
-    return top_n(mart, limit, *order, F.col(label).asc_nulls_last())
+    # Ties as the marts break them: by game, where they have it.
+    tie = "game_id" if "game_id" in mart.columns else label
+    return top_n(mart, limit, *order, F.col(tie).asc_nulls_last())
 
 
 def search_games(dim: DataFrame, term: str | None, limit: int = 100) -> DataFrame:
@@ -45,7 +47,8 @@ def search_games(dim: DataFrame, term: str | None, limit: int = 100) -> DataFram
     rows = dim.withColumn("release_year", F.year(epoch_date(F.col("first_release_date"))))
     if not term:
         return rows.select(*card).limit(0)
-    found = rows.where(F.col("game_name").ilike(f"%{term.strip()}%"))
+    pattern = term.strip().replace("\\", "\\\\")  # a backslash is a character, not an escape
+    found = rows.where(F.col("game_name").ilike(f"%{pattern}%"))
     return top_n(
         found, limit, F.col("first_release_date").desc_nulls_last(), F.col("game_id").asc()
     ).select(*card)

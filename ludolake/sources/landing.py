@@ -22,20 +22,37 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 def read_json_lines(
     spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, multi_line: bool = False
 ) -> DataFrame:
-    """Read JSON Lines files, dropping lines that do not parse.
+    """Read JSON Lines files, dropping lines that are not JSON objects.
 
-    A file listed twice is read once; an empty list gives an empty frame with
-    the full schema. ``multi_line`` reads files that hold one JSON array.
+    A value that does not fit its field is NULL and the rest of its line stays, so
+    the rows do not depend on which columns are read. A file listed twice is read
+    once; an empty list gives an empty frame with the full schema. ``multi_line``
+    reads files that hold one JSON array.
     """
     paths = [paths] if isinstance(paths, str) else list(dict.fromkeys(paths))
     if not paths:
         return empty(spark, schema)
-    return (
-        spark.read.schema(schema)
-        .option("mode", "DROPMALFORMED")
-        .option("multiLine", multi_line)
-        .json(paths)
-    )
+    reader = tolerant(spark.read, schema).option("multiLine", multi_line)
+    return objects(reader.json(paths), schema)
+
+
+_BROKEN = "_broken_line"
+
+
+def tolerant(reader, schema: T.StructType):
+    """A JSON reader, of files or of a stream, that keeps the text of lines that do not fit."""
+    noted = T.StructType([*schema.fields, T.StructField(_BROKEN, T.StringType())])
+    reader = reader.schema(noted).option("mode", "PERMISSIVE")
+    return reader.option("columnNameOfCorruptRecord", _BROKEN)
+
+
+def objects(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Without lines that are no JSON objects."""
+    line = F.col(_BROKEN)
+    whole = F.trim(line).startswith("{") & F.get_json_object(line, "$").isNotNull()
+    # The first field is named too, since Spark does not read the broken lines alone.
+    first = F.col(f"`{schema.fields[0].name}`").isNotNull()
+    return rows.where(line.isNull() | whole | (first & whole)).drop(_BROKEN)
 
 
 def read_entity(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
@@ -43,12 +60,14 @@ def read_entity(spark: SparkSession, base: str, schema: T.StructType) -> DataFra
     dated = T.StructType([*schema.fields, T.StructField("dt", T.StringType())])
     if not exists(spark, base):
         return empty(spark, dated)
-    return spark.read.schema(dated).option("mode", "DROPMALFORMED").json(base)
+    return objects(tolerant(spark.read, dated).json(base), dated)
 
 
 def read_partition(spark: SparkSession, base: str, schema: T.StructType, dt: str) -> DataFrame:
-    """One date; the others are pruned by path and never listed as input."""
-    return read_entity(spark, base, schema).where(F.col("dt") == dt).drop("dt")
+    """One date; only its folder is listed."""
+    if not exists(spark, f"{base}/dt={dt}"):
+        return empty(spark, schema)
+    return objects(tolerant(spark.read, schema).json(f"{base}/dt={dt}"), schema)
 
 
 def partition_of(path: Column) -> Column:

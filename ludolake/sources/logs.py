@@ -32,8 +32,10 @@ class Log:
         return self.spark.read.schema(self.schema).parquet(self.path)
 
     def append(self, **values) -> None:
-        """Add one row, numbered by the time it is added."""
-        text = json.dumps({"seq": time.time_ns(), **values}, default=datetime.isoformat)
+        """Add one row, numbered by the time it is added, and after all earlier ones whatever the clock says."""
+        last = self.rows().agg(F.max("seq")).first()[0] or 0
+        seq = max(time.time_ns(), last + 1)
+        text = json.dumps({"seq": seq, **values}, default=datetime.isoformat)
         row = F.from_json(F.lit(text), self.schema).alias("row")
         frame = self.spark.range(1, numPartitions=1).select(row).select("row.*")
         frame.write.mode("append").parquet(self.path)

@@ -51,4 +51,8 @@ class RunState:
     def get(self, entity: str) -> datetime | None:
         entries = self.log.rows().where(F.col("entity") == entity)
         text = entries.agg(F.max_by("last_run_time", "seq")).first()[0]
-        return datetime.fromisoformat(text) if text else None
+        try:
+            moment = datetime.fromisoformat(text) if text else None
+        except ValueError:  # unreadable state means a full load
+            return None
+        return moment.replace(tzinfo=timezone.utc) if moment and moment.tzinfo is None else moment

@@ -299,3 +299,56 @@ def test_bayesian_rating(spark):
     df = spark.createDataFrame([(80.0, 10, 70.0, 5.0)], "r double, v long, c double, m double")
     got = df.select(lf.bayesian_rating(F.col("r"), F.col("v"), F.col("c"), F.col("m"))).first()[0]
     assert got == pytest.approx(10 / 15 * 80 + 5 / 15 * 70)
+
+
+@pytest.mark.parametrize("small", [1000, 0])
+def test_buckets_on_both_sides_of_the_bound(spark, small):
+    """NULL keys, longs that doubles cannot tell apart, a hot value and text, in one ranking or in ranges."""
+    rows = [(i if i else None, 2**60 + i % 7, "a" if i % 3 else f"t{i}", 1.0) for i in range(90)]
+    df = spark.createDataFrame(rows, "id long, big long, word string, hot double").repartition(5)
+    metrics = {name: F.col(c) for name, c in (("b1", "big"), ("b2", "word"), ("b3", "hot"))}
+    got = {r.id: r for r in percentile_buckets(df, "id", metrics, buckets=10, small_rows=small).collect()}
+    assert len(got) == 90
+    for name, column in (("b1", 1), ("b2", 2), ("b3", 3)):
+        order = sorted(rows, key=lambda r: (r[column], -1 if r[0] is None else r[0]))
+        assert all(got[r[0]][name] == k // 9 + 1 for k, r in enumerate(order))
+
+
+@pytest.mark.parametrize("small", [1000, 0])
+def test_upsert_on_both_sides_of_the_bound(spark, small):
+    schema = "k long, at long, v string"
+    old = spark.createDataFrame([(None, 1, "old"), (1, 5, "old"), (2**53 + 1, 1, "old"), (4, None, "old")], schema)
+    new = spark.createDataFrame(
+        [(None, 2, "new"), (None, 1, "older"), (1, 4, "new"), (2**53, 1, "new"), (4, None, "new"), *[(7, i, "hot") for i in range(50)]], schema
+    )
+    got = sorted(map(tuple, upsert_latest(old, new, "k", "at", small_increment=small).collect()), key=repr)
+    want = [(None, 2, "new"), (1, 5, "old"), (2**53 + 1, 1, "old"), (2**53, 1, "new"), (4, None, "new"), (7, 49, "hot")]
+    assert got == sorted(want, key=repr)
+
+
+def test_latest_of_rows_with_maps(spark):
+    df = spark.createDataFrame([(1, 1, {"a": 1}), (1, 1, {"b": 2})], "k long, at long, m map<string,int>")
+    assert latest_by_key(df, "k", "at").count() == 1
+
+
+def test_name_arrays_agree_on_repeated_ids_and_null_keys(spark):
+    games = spark.createDataFrame([(None, [1, 2]), (1, [2, 9])], "id long, genres array<long>")
+    names = spark.createDataFrame([(1, "a"), (1, None), (2, "b"), (2, "c")], "id long, name string")
+    kinds = {"genre_names": ("genres", names)}
+    want = [(None, ["a", "c"]), (1, ["c", None])]
+    for make in (lookup_name_arrays, assemble_name_arrays):
+        got = [(r.id, r.genre_names) for r in make(games, kinds).collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_texts_of_times_that_are_none(spark):
+    df = spark.createDataFrame([(None,), (10**15,), (60,)], "s long")
+    got = [r[0] for r in df.select(lf.epoch_minute_text(F.col("s"))).collect()]
+    assert got == [None, None, "1970-01-01 00:01"]
+    texts = {
+        "2024-01-02": 1704153600, "2024-01-02T03:04:05+05": 1704146645, "2024-01-02T03:04:05-0130": 1704170045,
+        "2024-01-02T03:04:05Z": 1704164645, "2024-01-02 03:04:05": 1704164645, "junk": None, "2024-13-99": None, "": None,
+    }
+    df = spark.createDataFrame(list(texts.items()), "t string, want long")
+    rows = df.select("t", "want", F.unix_seconds(lf.iso_timestamp(F.col("t"))).alias("got")).collect()
+    assert [(r.t, r.got) for r in rows] == [(r.t, r.want) for r in rows]
