@@ -5,8 +5,8 @@ keyed Feistel permutation with cycle-walking gives each sequence its global slot
 so the order needs no sort key, no state and no memory of other sequences, and can
 be recomputed or inverted for any slot. Slots are dealt to shards by range. Each
 shard is a file of fixed-stride records: record ``i`` of shard ``s`` is slot
-``s * per_shard + i`` and begins at byte ``i * stride * 4``, so a reader can resume
-anywhere by arithmetic alone.
+``s * per_shard + i`` and begins at byte ``i * stride * width``, so a reader can resume
+anywhere by arithmetic alone. Ids take two bytes where the vocabulary allows it.
 
 A shard file is written under another name and then renamed, and its bytes follow
 from the input only, so a task that runs twice after a lost executor does no harm.
@@ -57,8 +57,15 @@ def permuted(values: np.ndarray, size: int, key: int, inverse: bool = False) ->
     return out.astype(np.int64)
 
 
-def _stream(docs: DataFrame, id_col: str, text_col: str, path: str) -> tuple[DataFrame, int]:
-    """(part, start, ids): the stream of ids; ``start`` is the place in the whole stream."""
+def id_type(path: str) -> str:
+    """Little-endian ids as wide as the vocabulary asks for."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else "<u4"
+
+
+def _stream(docs: DataFrame, text_col: str, path: str, kind: str) -> tuple[DataFrame, int]:
+    """(start, ids): the stream of ids; ``start`` is the place in the whole stream."""
 
     def run(batches):
         tokens, at = TokenBytes(path), 0
@@ -68,17 +75,14 @@ def _stream(docs: DataFrame, id_col: str, text_col: str, path: str) -> tuple[Dat
                 ids.append(tokens.of(text))
                 starts.append(at)
                 at += len(ids[-1]) // 4
-            # Two bytes an id are enough for vocabularies of up to 65,536.
-            packed = [np.frombuffer(x, "<u4") for x in ids]
-            packed = [(x.astype("<u2") if not len(x) or x.max() < 65536 else x).tobytes() for x in packed]
-            wide = [len(p) == len(x) for p, x in zip(packed, ids)]
+            packed = [np.frombuffer(x, "<u4").astype(kind).tobytes() for x in ids]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(starts, pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(wide), pa.array(packed, pa.binary())],
-                ["local", "tokens", "wide", "ids"],
+                [pa.array(starts, pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(packed, pa.binary())],
+                ["local", "tokens", "ids"],
             )
 
     rows = docs.select(F.col(text_col).cast("string").alias("text"))
-    rows = rows.mapInArrow(run, "local long, tokens long, wide boolean, ids binary")
+    rows = rows.mapInArrow(run, "local long, tokens long, ids binary")
     rows = stage(rows.withColumn("part", F.spark_partition_id()), "stream")
     # One row per task of the write above: a bounded table, and checked before it is sent.
     sums = rows.groupBy("part").agg(F.sum("tokens").alias("n"))
@@ -87,11 +91,11 @@ def _stream(docs: DataFrame, id_col: str, text_col: str, path: str) -> tuple[Dat
     total = bases.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bases = bases.select("part", "base")
     bases = F.broadcast(bases) if at_most(bases, MAX_TASKS) else bases
-    return rows.join(bases, "part").select((F.col("base") + F.col("local")).alias("start"), "wide", "ids"), total
+    return rows.join(bases, "part").select((F.col("base") + F.col("local")).alias("start"), "ids"), total
 
 
 def materialise(
-    docs: DataFrame, folder: str, key: int = 0, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, folder: str, key: int = 0, text_col: str = "text",
     stride: int = STRIDE, per_shard: int = PER_SHARD, path: str | None = None,
 ) -> DataFrame:
     """Write the shards below ``folder``; one row per sequence.
@@ -103,26 +107,27 @@ def materialise(
     and no file. Ids and other columns are not read.
     """
     path = path or tokenizer_path()
-    stream, total = _stream(docs, id_col, text_col, path)
+    kind = id_type(path)
+    width = np.dtype(kind).itemsize
+    stream, total = _stream(docs, text_col, path, kind)
     count = -(-total // stride)
 
     def cut(batches):
         for batch in batches:
-            sequences, offsets, wides, pieces = [], [], [], []
-            for start, wide, ids in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                width, at = 4 if wide else 2, start
+            sequences, offsets, pieces = [], [], []
+            for start, ids in zip(*(batch.column(i).to_pylist() for i in range(2))):
+                at = start
                 end = start + len(ids) // width
                 while at < end:
                     stop = min(end, (at // stride + 1) * stride)
                     sequences.append(at // stride)
                     offsets.append(at % stride)
-                    wides.append(wide)
                     pieces.append(ids[(at - start) * width : (stop - start) * width])
                     at = stop
             slots = permuted(np.array(sequences, np.int64), count, key)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(slots // per_shard), pa.array(slots), pa.array(sequences, pa.int64()), pa.array(offsets, pa.int64()), pa.array(wides, pa.bool_()), pa.array(pieces, pa.binary())],
-                ["shard", "slot", "sequence", "offset", "wide", "ids"],
+                [pa.array(slots // per_shard), pa.array(slots), pa.array(sequences, pa.int64()), pa.array(offsets, pa.int64()), pa.array(pieces, pa.binary())],
+                ["shard", "slot", "sequence", "offset", "ids"],
             )
 
     def write(group: pa.Table) -> pa.Table:
@@ -130,10 +135,10 @@ def materialise(
 
         shard = group.column("shard")[0].as_py()
         rows = min(per_shard, count - shard * per_shard)
-        records = np.full((rows, stride), END, "<u4")
+        records = np.full((rows, stride), END, kind)
         sequence, filled = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
-        for slot, seq, offset, wide, ids in zip(*(group.column(c).to_pylist() for c in ("slot", "sequence", "offset", "wide", "ids"))):
-            ids, i = np.frombuffer(ids, "<u4" if wide else "<u2"), slot - shard * per_shard
+        for slot, seq, offset, ids in zip(*(group.column(c).to_pylist() for c in ("slot", "sequence", "offset", "ids"))):
+            ids, i = np.frombuffer(ids, kind), slot - shard * per_shard
             records[i, offset : offset + len(ids)] = ids
             sequence[i] = seq
             filled[i] += len(ids)
@@ -147,12 +152,12 @@ def materialise(
         return pa.table(
             {
                 "sequence_id": sequence, "slot": shard * per_shard + np.arange(rows), "shard": np.full(rows, shard),
-                "record": np.arange(rows), "byte_offset": np.arange(rows) * stride * 4, "n_tokens": filled,
-                "ids_crc32": [zlib.crc32(records[i, : filled[i]].tobytes()) for i in range(rows)],
+                "record": np.arange(rows), "byte_offset": np.arange(rows) * stride * width, "n_tokens": filled,
+                "ids_crc32": [zlib.crc32(records[i, : filled[i]].astype("<u4").tobytes()) for i in range(rows)],
             }
         )
 
-    pieces = stream.mapInArrow(cut, "shard long, slot long, sequence long, offset long, wide boolean, ids binary")
+    pieces = stream.mapInArrow(cut, "shard long, slot long, sequence long, offset long, ids binary")
     return pieces.groupBy("shard").applyInArrow(
         write, "sequence_id long, slot long, shard long, record long, byte_offset long, n_tokens long, ids_crc32 long"
     )
@@ -162,14 +167,14 @@ def shard_name(shard: int) -> str:
     return f"shard-{shard:09d}.bin"
 
 
-def read_records(folder: str, shard: int, record: int = 0, stride: int = STRIDE) -> np.ndarray:
+def read_records(folder: str, shard: int, record: int = 0, stride: int = STRIDE, kind: str = "<u2") -> np.ndarray:
     """The records of a shard from ``record`` on, read from there only."""
     from pyarrow import fs
 
     system, place = fs.FileSystem.from_uri(folder)
     with system.open_input_file(f"{place}/{shard_name(shard)}") as file:
-        file.seek(record * stride * 4)
-        return np.frombuffer(file.read(), "<u4").reshape(-1, stride)
+        file.seek(record * stride * np.dtype(kind).itemsize)
+        return np.frombuffer(file.read(), kind).reshape(-1, stride)
 
 
 def op1_training_order(spark, sf_dir) -> DataFrame:
