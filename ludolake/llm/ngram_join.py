@@ -28,7 +28,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import at_most, discard, stage
@@ -262,14 +262,17 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
     postings = postings.join(members.select("row", "node"), "row").select("item", "node", "n", "l", "p").distinct()
     postings = stage(postings, "postings")
     lists = postings.groupBy("item").agg(F.count("*").alias("size")).where("size > 1")
-    every, postings = postings, stage(postings.join(lists, "item"), "postings")
+    # r counts the elements before p that any other class has: only these can be shared too.
+    before = Window.partitionBy("node").orderBy("p")
+    shared = postings.join(lists, "item").withColumn("r", F.row_number().over(before) - 1)
+    every, postings = postings, stage(shared, "postings")
     discard(every)
     wanted = _small(postings.select(F.col("node").alias("row")).distinct())
     candidates = stage(sets.select("row", "items").join(wanted, "row", "left_semi"), "candidates")
     discard(sets)
 
     # A shared element at places p and q leaves room for this overlap only.
-    room = "least(p, q) + least(n - p, m - q)"
+    room = "least(r, s) + least(n - p, m - q)"
     fits = f"{100 + percent} * ({room}) >= {percent} * (n + m) AND 100 * least(n, m) >= {percent} * greatest(n, m)"
     links = spark.createDataFrame([], "a long, b long")
     done, labelled, left = links, postings.withColumn("component", F.col("node")), None
@@ -281,9 +284,9 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
             break
         # Another leader each time; partial aggregation keeps a hot list off any single task.
         first = F.col("weight") if turn == 0 else F.xxhash64(F.lit(turn), "node")
-        rank = F.struct(first.alias("h"), "node", F.col("n").alias("m"), F.col("p").alias("q"), "component")
-        leaders = long.join(weight, "node").groupBy("item").agg(F.max(rank).alias("s"))
-        leaders = leaders.select("item", F.col("s.node").alias("b"), "s.m", "s.q", F.col("s.component").alias("other"))
+        rank = F.struct(first.alias("h"), "node", F.col("n").alias("m"), F.col("p").alias("q"), F.col("r").alias("s"), "component")
+        leaders = long.join(weight, "node").groupBy("item").agg(F.max(rank).alias("best"))
+        leaders = leaders.select("item", F.col("best.node").alias("b"), "best.m", "best.q", "best.s", F.col("best.component").alias("other"))
         pairs = long.join(leaders, "item").where("component <> other").where(fits)
         pairs = pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
         pairs = stage(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
@@ -296,7 +299,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
     largest = largest.select("item", F.col("s.component").alias("largest"))
     judged = labelled.join(largest, "item")
     outside, inside = judged.where("component <> largest"), judged.where("component = largest")
-    names = ("item", "node AS b", "n AS m", "l AS k", "p AS q", "component AS other")
+    names = ("item", "node AS b", "n AS m", "l AS k", "p AS q", "r AS s", "component AS other")
     across = f"component <> other AND {fits}"
     shared = outside.join(outside.selectExpr(*names), "item").where(f"{across} AND node < b")
     shared = shared.select("node", "b", "n", "m", "l", "k")
