@@ -15,6 +15,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,7 +27,11 @@ from .common import mixed, table
 CUT = 5
 LEAST_WORDS = 30
 PART_BYTES = 16 << 20
-FLUSH = 1 << 20
+#: Units that a task sorts at once, and rows of text that it holds as Python objects.
+FLUSH = 1 << 18
+SLICE = 256
+#: Repeats found within a task are dealt to the groups in pieces of this size.
+DEAL = 1 << 14
 BROADCAST_DOCS = 1 << 16
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -78,6 +83,7 @@ def units(text: str, normal: Normal) -> tuple[np.ndarray, ...]:
 
 
 _KINDS = {"digest": np.uint64, "doc": np.int64, "text": np.int64, "unit": np.int32, "words": np.int32, "start": np.int32, "end": np.int32}
+_FOUND = {**{k: t for k, t in _KINDS.items() if k != "digest"}, "first": np.int64}
 _NO_ID = np.int64(2**63 - 1)
 
 
@@ -96,7 +102,7 @@ def _later(held, later, heads):
     """Later occurrences with the document that has the unit earlier; the very same place is no repeat."""
     same = (held["doc"][later] == held["doc"][heads]) & (held["text"][later] == held["text"][heads]) & (held["unit"][later] == held["unit"][heads])
     later, heads = later[~same], heads[~same]
-    return {**{k: held[k][later] for k in _KINDS if k != "digest"}, "first": held["doc"][heads]}
+    return {**{k: held[k][later] for k in _FOUND if k != "first"}, "first": held["doc"][heads]}
 
 
 _SENT = ("digest", "doc", "text", "unit", "words", "start", "end", "first")
@@ -120,7 +126,11 @@ def _repeats(docs: DataFrame, id_col: str, text_col: str, parts: int) -> DataFra
             # a unit in a third of all documents is sent once per flush.
             all_of = {k: np.concatenate([h[k] for h in held]) for k in _KINDS}
             heads, later, of = _earliest(all_of)
-            rows = [{"part": -1, **_later(all_of, later, of)}] if len(later) else []
+            done, rows = _later(all_of, later, of), []
+            for at in range(0, len(done["doc"]), DEAL):
+                cut = {k: v[at : at + DEAL] for k, v in done.items()}
+                place = mixed((cut["doc"][:1] ^ cut["text"][:1]).view(np.uint64))[0] % np.uint64(parts)
+                rows.append({"part": int(place), **cut})
             where = (all_of["digest"][heads] % np.uint64(parts)).astype(np.int64)
             order = np.argsort(where, kind="stable")
             at = np.searchsorted(where[order], np.arange(parts + 1))
@@ -128,7 +138,8 @@ def _repeats(docs: DataFrame, id_col: str, text_col: str, parts: int) -> DataFra
                 rows.append({"part": int(p), **{k: all_of[k][heads[order[at[p] : at[p + 1]]]] for k in _KINDS}})
             return _sent(rows)
 
-        for batch in batches:
+        slices = (batch.slice(at, SLICE) for batch in batches for at in range(0, batch.num_rows, SLICE))
+        for batch in slices:
             for doc, digest, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 digests, words, start, end = units(text or "", normal)
                 n = len(digests)
@@ -144,23 +155,23 @@ def _repeats(docs: DataFrame, id_col: str, text_col: str, parts: int) -> DataFra
             yield flush()
 
     def merge(group: pa.Table) -> pa.Table:
-        held = {k: np.concatenate([np.frombuffer(b, t) for b in group.column(k).to_pylist()]) for k, t in _KINDS.items()}
-        _, later, heads = _earliest(held)
-        return pa.table(_later(held, later, heads))
-
-    def unpack(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                kinds = {**{k: t for k, t in _KINDS.items() if k != "digest"}, "first": np.int64}
-                yield pa.RecordBatch.from_pydict({k: np.frombuffer(batch.column(k)[i].as_py(), t) for k, t in kinds.items()})
+        # Rows that name the first document are repeats that a task found by itself.
+        known = group.column("first").is_valid()
+        read = lambda rows, kinds: {
+            k: np.concatenate([np.empty(0, t), *(np.frombuffer(b, t) for b in rows.column(k).to_pylist())]) for k, t in kinds.items()
+        }
+        out = read(group.filter(known), _FOUND)
+        held = read(group.filter(pc.invert(known)), _KINDS)
+        if len(held["digest"]):
+            _, later, heads = _earliest(held)
+            more = _later(held, later, heads)
+            out = {k: np.concatenate([out[k], more[k]]) for k in _FOUND}
+        return pa.table(out)
 
     found = "doc long, text long, unit int, words int, start int, end int, first long"
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("digest"), text.alias("text"))
-    rows = stage(rows.mapInArrow(gather, _SENT_SCHEMA), "units")
-    there = rows.where("part >= 0").groupBy("part").applyInArrow(merge, found)
-    here = rows.where("part < 0").select(*[k for k in _SENT if k != "digest"]).mapInArrow(unpack, found)
-    return there.union(here)
+    return rows.mapInArrow(gather, _SENT_SCHEMA).groupBy("part").applyInArrow(merge, found)
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
