@@ -19,6 +19,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,17 +66,17 @@ def id_type(path: str) -> str:
 
 
 def _stream(docs: DataFrame, text_col: str, path: str, kind: str) -> tuple[DataFrame, int]:
-    """(start, ids): the stream of ids; ``start`` is the place in the whole stream."""
+    """(start, ids): the stream of ids, compressed; ``start`` is the place in the whole stream."""
 
     def run(batches):
-        tokens, at = TokenBytes(path), 0
+        tokens, at, small = TokenBytes(path), 0, zstandard.ZstdCompressor(level=1)
         for batch in batches:
             starts, ids = [], []
             for text in texts(batch.column(0)):
                 ids.append(tokens.of(text))
                 starts.append(at)
                 at += len(ids[-1]) // 4
-            packed = [np.frombuffer(x, "<u4").astype(kind).tobytes() for x in ids]
+            packed = [small.compress(np.frombuffer(x, "<u4").astype(kind).tobytes()) for x in ids]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(starts, pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(packed, pa.binary())],
                 ["local", "tokens", "ids"],
@@ -113,16 +114,17 @@ def materialise(
     count = -(-total // stride)
 
     def cut(batches):
+        small, full = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
         for batch in batches:
             sequences, offsets, pieces = [], [], []
             for start, ids in zip(*(batch.column(i).to_pylist() for i in range(2))):
-                at = start
+                at, ids = start, full.decompress(ids)
                 end = start + len(ids) // width
                 while at < end:
                     stop = min(end, (at // stride + 1) * stride)
                     sequences.append(at // stride)
                     offsets.append(at % stride)
-                    pieces.append(ids[(at - start) * width : (stop - start) * width])
+                    pieces.append(small.compress(ids[(at - start) * width : (stop - start) * width]))
                     at = stop
             slots = permuted(np.array(sequences, np.int64), count, key)
             yield pa.RecordBatch.from_arrays(
@@ -137,8 +139,9 @@ def materialise(
         rows = min(per_shard, count - shard * per_shard)
         records = np.full((rows, stride), END, kind)
         sequence, filled = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
+        full = zstandard.ZstdDecompressor()
         for slot, seq, offset, ids in zip(*(group.column(c).to_pylist() for c in ("slot", "sequence", "offset", "ids"))):
-            ids, i = np.frombuffer(ids, kind), slot - shard * per_shard
+            ids, i = np.frombuffer(full.decompress(ids), kind), slot - shard * per_shard
             records[i, offset : offset + len(ids)] = ids
             sequence[i] = seq
             filled[i] += len(ids)
