@@ -66,7 +66,7 @@ def id_type(path: str) -> str:
 
 
 def _stream(docs: DataFrame, text_col: str, path: str, kind: str) -> tuple[DataFrame, int]:
-    """(start, ids): the stream of ids, compressed; ``start`` is the place in the whole stream."""
+    """(start, tokens, ids): the stream of ids, compressed; ``start`` is the place in the whole stream."""
 
     def run(batches):
         tokens, at, small = TokenBytes(path), 0, zstandard.ZstdCompressor(level=1)
@@ -92,7 +92,7 @@ def _stream(docs: DataFrame, text_col: str, path: str, kind: str) -> tuple[DataF
     total = bases.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bases = bases.select("part", "base")
     bases = F.broadcast(bases) if at_most(bases, MAX_TASKS) else bases
-    return rows.join(bases, "part").select((F.col("base") + F.col("local")).alias("start"), "ids"), total
+    return rows.join(bases, "part").select((F.col("base") + F.col("local")).alias("start"), "tokens", "ids"), total
 
 
 def materialise(
@@ -117,14 +117,15 @@ def materialise(
         small, full = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
         for batch in batches:
             sequences, offsets, pieces = [], [], []
-            for start, ids in zip(*(batch.column(i).to_pylist() for i in range(2))):
-                at, ids = start, full.decompress(ids)
-                end = start + len(ids) // width
+            for start, tokens, ids in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                at, end = start, start + tokens
+                whole = start // stride == (end - 1) // stride  # most documents are not cut
+                raw = None if whole else full.decompress(ids)
                 while at < end:
                     stop = min(end, (at // stride + 1) * stride)
                     sequences.append(at // stride)
                     offsets.append(at % stride)
-                    pieces.append(small.compress(ids[(at - start) * width : (stop - start) * width]))
+                    pieces.append(ids if whole else small.compress(raw[(at - start) * width : (stop - start) * width]))
                     at = stop
             slots = permuted(np.array(sequences, np.int64), count, key)
             yield pa.RecordBatch.from_arrays(
