@@ -31,6 +31,9 @@ STRIDE = 2048
 PER_SHARD = 2048
 ROUNDS = 6
 MAX_TASKS = 1 << 20
+#: Ids that are compressed together; the pieces of a chunk travel to each shard as one row.
+CHUNK = 1 << 18
+LEVEL = 3
 
 
 def _rounds(values: np.ndarray, half: int, keys: np.ndarray, inverse: bool) -> np.ndarray:
@@ -66,22 +69,33 @@ def id_type(path: str) -> str:
 
 
 def _stream(docs: DataFrame, text_col: str, path: str, kind: str) -> tuple[DataFrame, int]:
-    """(start, tokens, ids): the stream of ids, compressed; ``start`` is the place in the whole stream."""
+    """(start, tokens, ids): the stream of ids in compressed chunks; ``start`` is the place in the whole stream."""
 
     def run(batches):
-        tokens, at, small = TokenBytes(path), 0, zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            starts, ids = [], []
-            for text in texts(batch.column(0)):
-                ids.append(tokens.of(text))
-                starts.append(at)
-                at += len(ids[-1]) // 4
-            packed = [small.compress(np.frombuffer(x, "<u4").astype(kind).tobytes()) for x in ids]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(starts, pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(packed, pa.binary())],
+        tokens, at, small = TokenBytes(path), 0, zstandard.ZstdCompressor(level=LEVEL)
+
+        def chunks(held):
+            nonlocal at
+            ids = np.frombuffer(b"".join(held), "<u4").astype(kind)
+            cuts = [ids[k : k + CHUNK] for k in range(0, len(ids), CHUNK)]
+            starts = [at + k for k in range(0, len(ids), CHUNK)]
+            at += len(ids)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(starts, pa.int64()), pa.array(map(len, cuts), pa.int64()), pa.array([small.compress(x.tobytes()) for x in cuts], pa.binary())],
                 ["local", "tokens", "ids"],
             )
 
+        held, size = [], 0
+        for batch in batches:
+            for text in texts(batch.column(0)):
+                held.append(tokens.of(text))
+                size += len(held[-1]) // 4
+                if size >= CHUNK:
+                    yield chunks(held)
+                    held, size = [], 0
+        if held:
+            yield chunks(held)
+
     rows = docs.select(F.col(text_col).cast("string").alias("text"))
     rows = rows.mapInArrow(run, "local long, tokens long, ids binary")
     rows = stage(rows.withColumn("part", F.spark_partition_id()), "stream")
@@ -114,24 +128,25 @@ def materialise(
     count = -(-total // stride)
 
     def cut(batches):
-        small, full = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+        small, full = zstandard.ZstdCompressor(level=LEVEL), zstandard.ZstdDecompressor()
         for batch in batches:
-            sequences, offsets, pieces = [], [], []
             for start, tokens, ids in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                at, end = start, start + tokens
-                whole = start // stride == (end - 1) // stride  # most documents are not cut
-                raw = None if whole else full.decompress(ids)
-                while at < end:
-                    stop = min(end, (at // stride + 1) * stride)
-                    sequences.append(at // stride)
-                    offsets.append(at % stride)
-                    pieces.append(ids if whole else small.compress(raw[(at - start) * width : (stop - start) * width]))
-                    at = stop
-            slots = permuted(np.array(sequences, np.int64), count, key)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(slots // per_shard), pa.array(slots), pa.array(sequences, pa.int64()), pa.array(offsets, pa.int64()), pa.array(pieces, pa.binary())],
-                ["shard", "slot", "sequence", "offset", "ids"],
-            )
+                ids = np.frombuffer(full.decompress(ids), kind)
+                sequences = np.arange(start // stride, (start + tokens - 1) // stride + 1)
+                begin = np.maximum(sequences * stride, start)
+                length = np.minimum((sequences + 1) * stride, start + tokens) - begin
+                pieces = np.stack([sequences, begin % stride, length], axis=1)
+                shards = permuted(sequences, count, key) // per_shard
+                own = [np.flatnonzero(shards == shard) for shard in np.unique(shards)]
+                joined = [np.concatenate([ids[begin[i] - start :][: length[i]] for i in rows]) for rows in own]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([shards[rows[0]] for rows in own], pa.int64()),
+                        pa.array([pieces[rows].tobytes() for rows in own], pa.binary()),
+                        pa.array([small.compress(x.tobytes()) for x in joined], pa.binary()),
+                    ],
+                    ["shard", "pieces", "ids"],
+                )
 
     def write(group: pa.Table) -> pa.Table:
         from pyarrow import fs
@@ -141,11 +156,14 @@ def materialise(
         records = np.full((rows, stride), END, kind)
         sequence, filled = np.zeros(rows, np.int64), np.zeros(rows, np.int64)
         full = zstandard.ZstdDecompressor()
-        for slot, seq, offset, ids in zip(*(group.column(c).to_pylist() for c in ("slot", "sequence", "offset", "ids"))):
-            ids, i = np.frombuffer(full.decompress(ids), kind), slot - shard * per_shard
-            records[i, offset : offset + len(ids)] = ids
-            sequence[i] = seq
-            filled[i] += len(ids)
+        for pieces, ids in zip(group.column("pieces").to_pylist(), group.column("ids").to_pylist()):
+            pieces, ids, at = np.frombuffer(pieces, np.int64).reshape(-1, 3), np.frombuffer(full.decompress(ids), kind), 0
+            records_of = permuted(pieces[:, 0], count, key) - shard * per_shard
+            for i, (seq, offset, length) in zip(records_of.tolist(), pieces.tolist()):
+                records[i, offset : offset + length] = ids[at : at + length]
+                at += length
+                sequence[i] = seq
+                filled[i] += length
         system, place = fs.FileSystem.from_uri(folder)
         system.create_dir(place, recursive=True)
         name = f"{place}/{shard_name(shard)}"
@@ -161,7 +179,7 @@ def materialise(
             }
         )
 
-    pieces = stream.mapInArrow(cut, "shard long, slot long, sequence long, offset long, ids binary")
+    pieces = stream.mapInArrow(cut, "shard long, pieces binary, ids binary")
     return pieces.groupBy("shard").applyInArrow(
         write, "sequence_id long, slot long, shard long, record long, byte_offset long, n_tokens long, ids_crc32 long"
     )
