@@ -13,7 +13,7 @@ How it stays whole and linear:
 * Any total order gives the same result. Frequencies cover all documents (32-bit
   buckets, counted in one packed shuffle); the ``ORDERED`` most frequent buckets,
   8 MB, are sent to the tasks, all others count as rare.
-* Postings travel as packed arrays by hash of the n-gram; n-grams that only one
+* Postings travel as packed, compressed arrays by hash of the n-gram; n-grams that only one
   class has, most of them, end there.
 * Components do not need every pair of a group of near copies: each member of a
   long posting list is first verified against one leader of its list. What is then
@@ -28,6 +28,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,6 +58,8 @@ def shingles(text: bytes | None, ids: WordIds, size: int = 5) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """Size and key of each document's set, beside its text, which takes less room than the set."""
+
     def run(batches):
         ids = WordIds()
         for batch in batches:
@@ -67,27 +70,53 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
                     batch.column(2),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                    batch.column(1),
                 ],
-                ["id", "digest", "n", "key", "items"],
+                ["id", "digest", "n", "key", "t"],
             )
 
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("t"), F.xxhash64(text).alias("digest"))
-    rows = rows.mapInArrow(run, "id long, digest long, n long, key binary, items binary")
+    rows = rows.mapInArrow(run, "id long, digest long, n long, key binary, t string")
     return stage(rows.withColumn("row", F.monotonically_increasing_id()), "sets")
 
 
-def _unseen(batches):
+def _unseen(batches, size: int):
     """(row, n, items) of rows whose set this task has not had yet; copies elsewhere are merged later."""
-    seen = set()
+    seen, ids = set(), WordIds()
     for batch in batches:
-        for row, n, key, items in zip(*(batch.column(i).to_pylist() for i in range(4))):
+        rows, ns, keys = (batch.column(i).to_pylist() for i in range(3))
+        for row, n, key, text in zip(rows, ns, keys, texts(batch.column(3))):
             if key is not None and key not in seen:
                 if len(seen) >= 500_000:
                     seen.clear()
                 seen.add(key)
-                yield row, n, np.frombuffer(items, np.uint64)
+                yield row, n, shingles(text, ids, size)
+
+
+def _with_items(sets: DataFrame, size: int) -> DataFrame:
+    def run(batches):
+        ids = WordIds()
+        for batch in batches:
+            items = [shingles(t, ids, size).tobytes() for t in texts(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, pa.binary())], ["row", "items"])
+
+    return sets.select("row", "t").mapInArrow(run, "row long, items binary")
+
+
+def _squeezed(values: np.ndarray, rising: bool = False) -> bytes:
+    """Integers by byte plane, compressed; of sorted ones the steps from each to the next."""
+    if rising:
+        values = np.diff(values, prepend=values.dtype.type(0))
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def _expanded(data: bytes, kind, rising: bool = False) -> np.ndarray:
+    kind = np.dtype(kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(kind.itemsize, -1)
+    values = np.ascontiguousarray(planes.T).view(kind).ravel()
+    return np.cumsum(values, dtype=kind) if rising else values
 
 
 def _bucket(items: np.ndarray) -> np.ndarray:
@@ -101,7 +130,7 @@ def _parts(values: np.ndarray, parts: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(values, cuts), [len(values)]])
 
 
-def _frequent(sets: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
+def _frequent(sets: DataFrame, total: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """The ``ORDERED`` most frequent buckets of n-grams, sorted, and their numbers of documents."""
     parts = max(1, total * 4 // PART_BYTES + 1)
 
@@ -113,7 +142,7 @@ def _frequent(sets: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
             at = _parts(v, parts)
             for p in np.flatnonzero(np.diff(at)):
                 cut = slice(at[p], at[p + 1])
-                yield int(p), v[cut].tobytes(), c[cut].tobytes() if many else None
+                yield int(p), _squeezed(v[cut], True), _squeezed(c[cut]) if many else None
 
     def count(batches):
         def out(rows):
@@ -121,21 +150,21 @@ def _frequent(sets: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
             kinds = (pa.int32(), pa.binary(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["part", "v", "c"])
 
-        held, size = [], 0
-        for _, n, items in _unseen(batches):
+        held, waiting = [], 0
+        for _, n, items in _unseen(batches, size):
             held.append(_bucket(items))
-            size += n
-            if size >= FLUSH:
+            waiting += n
+            if waiting >= FLUSH:
                 yield out(packed(held))
-                held, size = [], 0
+                held, waiting = [], 0
         if held:
             yield out(packed(held))
 
     def merge(group: pa.Table) -> pa.Table:
         values, counts = [], []
         for v, c in zip(group.column("v").to_pylist(), group.column("c").to_pylist()):
-            values.append(np.frombuffer(v, np.uint32))
-            counts.append(np.ones(len(values[-1]), np.int64) if c is None else np.frombuffer(c, np.uint32).astype(np.int64))
+            values.append(_expanded(v, np.uint32, True))
+            counts.append(np.ones(len(values[-1]), np.int64) if c is None else _expanded(c, np.uint32).astype(np.int64))
         values, counts = np.concatenate(values), np.concatenate(counts)
         order = np.argsort(values, kind="stable")
         values, counts = values[order], counts[order]
@@ -144,7 +173,7 @@ def _frequent(sets: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray]:
         keep = sums > 1
         return pa.table({"v": values[first][keep].astype(np.int64), "n": sums[keep]})
 
-    rows = sets.select("row", "n", "key", "items").mapInArrow(count, "part int, v binary, c binary")
+    rows = sets.select("row", "n", "key", "t").mapInArrow(count, "part int, v binary, c binary")
     counted = rows.groupBy("part").applyInArrow(merge, "v long, n long")
     top = counted.orderBy(F.desc("n"), "v").limit(ORDERED).toArrow()
     values = top.column("v").to_numpy().astype(np.uint32)
@@ -170,7 +199,7 @@ def matches(weights: np.ndarray, need: int) -> int:
     return best
 
 
-def _postings(sets: DataFrame, total: int, percent: int, frequent) -> DataFrame:
+def _postings(sets: DataFrame, total: int, size: int, percent: int, frequent) -> DataFrame:
     """(item, row, n, l, p) of prefix elements that at least two rows have; p is the place in the row's order."""
     parts = max(1, total * 4 // PART_BYTES + 1)
     known = sets.sparkSession.sparkContext.broadcast(frequent)
@@ -184,13 +213,13 @@ def _postings(sets: DataFrame, total: int, percent: int, frequent) -> DataFrame:
             items, rows, ns, ls, ps = items[order], rows[order], ns[order], ls[order], ps[order]
             at = _parts(items, parts)
             full = np.flatnonzero(np.diff(at))
-            cut = lambda x: pa.array([x[at[p] : at[p + 1]].tobytes() for p in full], pa.binary())
+            cut = lambda x: pa.array([_squeezed(x[at[p] : at[p + 1]], x is items) for p in full], pa.binary())
             return pa.RecordBatch.from_arrays(
                 [pa.array(full, pa.int32()), cut(items), cut(rows), cut(ns), cut(ls), cut(ps)], ["part", "item", "row", "n", "l", "p"]
             )
 
-        held, size = [], 0
-        for row, n, items in _unseen(batches):
+        held, waiting = [], 0
+        for row, n, items in _unseen(batches, size):
             weights = np.ones(n, np.int64)
             if len(values):
                 bucket = _bucket(items)
@@ -202,16 +231,16 @@ def _postings(sets: DataFrame, total: int, percent: int, frequent) -> DataFrame:
             chosen = items[order[: n - need + l]]
             k = len(chosen)
             held.append((chosen, np.full(k, row), np.full(k, n, np.int32), np.full(k, l, np.uint8), np.arange(k, dtype=np.int32)))
-            size += k
-            if size >= FLUSH // 2:
+            waiting += k
+            if waiting >= FLUSH // 2:
                 yield pack(held)
-                held, size = [], 0
+                held, waiting = [], 0
         if held:
             yield pack(held)
 
     def shared(group: pa.Table) -> pa.Table:
         kinds = {"item": np.uint64, "row": np.int64, "n": np.int32, "l": np.uint8, "p": np.int32}
-        c = {k: np.concatenate([np.frombuffer(b, t) for b in group.column(k).to_pylist()]) for k, t in kinds.items()}
+        c = {k: np.concatenate([_expanded(b, t, k == "item") for b in group.column(k).to_pylist()]) for k, t in kinds.items()}
         order = np.argsort(c["item"], kind="stable")
         items = c["item"][order]
         same = items[1:] == items[:-1]
@@ -220,7 +249,7 @@ def _postings(sets: DataFrame, total: int, percent: int, frequent) -> DataFrame:
             {"item": c["item"][keep].view(np.int64), "row": c["row"][keep], "n": c["n"][keep], "l": c["l"][keep].astype(np.int32), "p": c["p"][keep]}
         )
 
-    rows = sets.select("row", "n", "key", "items").mapInArrow(
+    rows = sets.select("row", "n", "key", "t").mapInArrow(
         prefixes, "part int, item binary, row binary, n binary, l binary, p binary"
     )
     return rows.groupBy("part").applyInArrow(shared, "item long, row long, n int, l int, p int")
@@ -257,8 +286,8 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
     members = sets.select("row", "id", "digest", "n", "key").join(classes, "key", "left")
     members = stage(members.select("row", "id", "digest", "n", F.coalesce("node", "row").alias("node")), "members")
     total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    frequent = _frequent(sets, total)
-    postings = _postings(sets, total, percent, frequent)
+    frequent = _frequent(sets, total, size)
+    postings = _postings(sets, total, size, percent, frequent)
     postings = postings.join(members.select("row", "node"), "row").select("item", "node", "n", "l", "p").distinct()
     postings = stage(postings, "postings")
     lists = postings.groupBy("item").agg(F.count("*").alias("size")).where("size > 1")
@@ -268,7 +297,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
     every, postings = postings, stage(shared, "postings")
     discard(every)
     wanted = _small(postings.select(F.col("node").alias("row")).distinct())
-    candidates = stage(sets.select("row", "items").join(wanted, "row", "left_semi"), "candidates")
+    candidates = stage(_with_items(sets.select("row", "t").join(wanted, "row", "left_semi"), size), "candidates")
     discard(sets)
 
     # A shared element at places p and q leaves room for this overlap only.

@@ -83,6 +83,16 @@ def test_keep_one(odd, clashing, none):
     assert ngram_join.keep_one(none).count() == 0
 
 
+@pytest.mark.parametrize("kind", [np.uint8, np.int32, np.uint32, np.int64, np.uint64])
+@pytest.mark.parametrize("n", [0, 1, 1000])
+def test_squeezed_round_trip(kind, n):
+    top = np.iinfo(kind).max
+    values = np.random.default_rng(n).integers(0, top, n, kind, endpoint=True)
+    for given, rising in ((values, False), (np.sort(values), True)):
+        back = ngram_join._expanded(ngram_join._squeezed(given, rising), kind, rising)
+        assert back.dtype == kind and (back == given).all()
+
+
 @pytest.mark.parametrize("n", [1, 2, 5, 40, 300])
 def test_prefixes_share_enough(n):
     rnd = np.random.default_rng(n)
@@ -167,7 +177,9 @@ def test_slot_permutation(n):
     assert (training_order.permuted(there, n, 11, inverse=True) == np.arange(n)).all()
 
 
-def test_shards_round_trip(spark, odd, none):
+@pytest.mark.parametrize("chunk", [100, 1 << 18])
+def test_shards_round_trip(spark, odd, none, monkeypatch, chunk):
+    monkeypatch.setattr(training_order, "CHUNK", chunk)
     folder = work_path(spark, "shards")
     rows = training_order.materialise(odd, folder, key=4, stride=64, per_shard=128).toPandas()
     total = sum(len(TokenBytes(tokenizer_path()).of((t or "").encode())) // 4 for _, t, *_ in ODD)
