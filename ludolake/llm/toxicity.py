@@ -12,8 +12,9 @@ ln(K n)``, adds up to the evidence of a text, which a logistic curve fitted on t
 training rows turns into a score.
 
 Everything that is learned comes from labelled rows outside the held-out fold, all
-of them; only sums leave the tasks. The word list sent to the tasks holds at most
-``VOCABULARY`` entries, those with the strongest evidence.
+of them; only sums leave the tasks. Every feature of at least ``LEAST_COUNT`` words
+counts: the ``VOCABULARY`` most frequent ones are sent to the tasks, the others are
+joined to the texts that hold them.
 """
 
 from __future__ import annotations
@@ -42,6 +43,7 @@ DRIFT = -1.0
 SIGNIFICANT = 0.01
 FOLDS = 5
 BROADCAST_LABELS = 1 << 20
+BROADCAST_DOCS = 1 << 17
 _EDGES = re.compile(r"^[^\w]+|[^\w]+$")
 
 
@@ -101,39 +103,110 @@ def _counted(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "feature long, y1 long, y0 long")
 
 
-def log_odds(rows: DataFrame, limit: int = VOCABULARY) -> dict[int, float]:
-    """Feature to smoothed log-odds, for the ``limit`` features that differ most clearly from the prior."""
+def log_odds(rows: DataFrame, limit: int | None = None) -> tuple[dict[int, float], DataFrame | None]:
+    """Smoothed log-odds of every feature: a dict of the ``limit`` most frequent ones, and a staged table (feature, d) of the others, if any."""
+    limit = VOCABULARY if limit is None else limit
     sums = stage(_counted(rows).groupBy("feature").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0")), "counts")
     total = sums.where("feature IS NULL").first()
     if total is None or not total["y1"] or not total["y0"]:
-        return {}
+        return {}, None
     n1, n0 = float(total["y1"]), float(total["y0"])
     y1, y0 = F.col("y1"), F.col("y0")
     prior = (y1 + y0) * (PRIOR / (n1 + n0))
     delta = F.log((y1 + prior) / (n1 + PRIOR - y1 - prior)) - F.log((y0 + prior) / (n0 + PRIOR - y0 - prior))
-    scored = sums.where("feature IS NOT NULL").where(y1 + y0 >= LEAST_COUNT)
-    scored = scored.select("feature", delta.alias("d"), (delta / F.sqrt(1 / (y1 + prior) + 1 / (y0 + prior))).alias("z"))
-    top = scored.orderBy(F.desc(F.abs("z")), "feature").limit(limit).toArrow()
-    return dict(zip(top.column("feature").to_pylist(), top.column("d").to_pylist()))
+    scored = sums.where("feature IS NOT NULL").where(y1 + y0 >= LEAST_COUNT).select("feature", delta.alias("d"), (y1 + y0).alias("n"))
+    # Features of one count are all sent or all joined; their scores do not depend on it.
+    sent, least = 0, LEAST_COUNT
+    if not at_most(scored, limit):
+        least = None
+        for n, many in scored.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
+            sent += many
+            if sent > limit:
+                break
+            least = n
+    top = scored.where(F.col("n") >= least).toArrow() if least is not None else None
+    odds = dict(zip(top.column("feature").to_pylist(), top.column("d").to_pylist())) if top else {}
+    if least == LEAST_COUNT:
+        return odds, None
+    others = scored.where(F.col("n") < least) if least is not None else scored
+    return odds, stage(others.select("feature", "d"), "others")
+
+
+def _with_others(rows: DataFrame, odds, others: DataFrame | None) -> DataFrame:
+    """``rows`` (text among them) with ``others``: the features of the text that are joined, with their log-odds."""
+    if others is None:
+        return rows.withColumn("others", F.lit(None).cast("map<bigint, double>"))
+
+    def run(batches):
+        memory: dict[bytes, list[int]] = {}
+        for batch in batches:
+            digests, features = [], []
+            for digest, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
+                asked: set[int] = set()
+                for word in set((text or b"").split()):
+                    more = memory.get(word)
+                    if more is None:
+                        more = _before(word, odds.value)
+                        if len(memory) < 300_000:
+                            memory[word] = more
+                    asked.update(more)
+                digests += [digest] * len(asked)
+                features += asked
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.int64()), pa.array(features, pa.int64())], ["digest", "feature"])
+
+    digest = F.xxhash64("text")
+    asked = rows.select(digest.alias("digest"), "text").mapInArrow(run, "digest long, feature long").distinct()
+    found = asked.join(others, "feature").groupBy("digest").agg(F.map_from_entries(F.collect_list(F.struct("feature", "d"))).alias("others"))
+    found = stage(found.withColumnRenamed("digest", "_digest"), "found")
+    found = F.broadcast(found) if at_most(found, BROADCAST_DOCS) else found
+    return rows.withColumn("_digest", digest).join(found, "_digest", "left").drop("_digest")
+
+
+def _before(word: bytes, odds: dict[int, float]) -> list[int]:
+    """The features of a word that would come before the first one in ``odds``."""
+    plain, out = _plain(word), []
+    for f in _features(plain) if plain else ():
+        if f in odds:
+            break
+        out.append(f)
+    return out
 
 
 class Scores(dict):
     """Word to score; at most 300,000 words are remembered."""
 
     def __init__(self, odds: dict[int, float], shift: float):
-        self.odds, self.shift = odds, shift
+        self.odds, self.shift, self.asked = odds, shift, {}
+
+    def before(self, word: bytes) -> list[int]:
+        found = self.asked.get(word)
+        if found is None:
+            found = _before(word, self.odds)
+            if len(self.asked) < 300_000:
+                self.asked[word] = found
+        return found
+
+    def value(self, features: list[int], others: dict[int, float]) -> float:
+        found = next((self.odds.get(f, others.get(f)) for f in features if f in self.odds or f in others), 0.0)
+        return min(max(found, -4.0), 6.0) - self.shift
 
     def __missing__(self, word: bytes) -> float:
         plain = _plain(word)
-        found = next((self.odds[f] for f in _features(plain) if f in self.odds), 0.0) if plain else 0.0
-        value = min(max(found, -4.0), 6.0) - self.shift
+        value = self.value(_features(plain) if plain else [], {})
         if len(self) < 300_000:
             self[word] = value
         return value
 
-    def of(self, text: bytes | None) -> np.ndarray:
+    def of(self, text: bytes | None, others: list[tuple[int, float]] | None = None) -> np.ndarray:
+        """The scores of the words; ``others`` are the features of the text that ``odds`` lacks."""
         words = (text or b"").split()
-        return np.fromiter(map(self.__getitem__, words), float, len(words))
+        if not others:
+            return np.fromiter(map(self.__getitem__, words), float, len(words))
+        more, own = dict(others), {}
+        for word in set(words):
+            asked = self.before(word)
+            own[word] = self.value(asked, more) if asked and not more.keys().isdisjoint(asked) else self[word]
+        return np.fromiter(map(own.__getitem__, words), float, len(words))
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -161,9 +234,9 @@ def _mean(rows: DataFrame, odds) -> float:
     def run(batches):
         own, total, n = Scores(odds.value, 0.0), 0.0, 0
         for batch in batches:
-            for text, toxic in zip(texts(batch.column(0)), batch.column(1).to_pylist()):
+            for text, toxic, others in zip(texts(batch.column(0)), *(batch.column(i).to_pylist() for i in (1, 2))):
                 if toxic <= 0:
-                    got = own.of(text)
+                    got = own.of(text, others)
                     total += got.sum()
                     n += len(got)
         yield pa.RecordBatch.from_arrays([pa.array([total], pa.float64()), pa.array([n], pa.int64())], ["s", "n"])
@@ -183,8 +256,8 @@ def _observed(rows: DataFrame, odds, shift: float) -> DataFrame:
         kinds = [pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.int64()]
         for batch in batches:
             out = []
-            for text, toxic in zip(texts(batch.column(0)), batch.column(1).to_pylist()):
-                got = own.of(text)
+            for text, toxic, others in zip(texts(batch.column(0)), *(batch.column(i).to_pylist() for i in (1, 2))):
+                got = own.of(text, others)
                 out.append((int(toxic > 0), len(got), [s for _, _, s in segments(got)], None))
                 if toxic <= 0:
                     bins.update(np.round(got / STEP).astype(int).tolist())
@@ -222,12 +295,13 @@ def logistic(x: np.ndarray, positive: np.ndarray, total: np.ndarray) -> tuple[fl
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
-    """The model: log-odds, shift, extreme-value parameters and the logistic curve. Without both classes it is empty."""
+    """The model: log-odds (sent and joined), shift, extreme-value parameters and the logistic curve. Without both classes it is empty."""
     rows = _training(docs, labels)
-    odds = log_odds(rows)
-    if not odds:
-        return {"odds": {}, "shift": 1.0, "rate": 1.0, "k": 1.0, "a": -5.0, "b": 0.0}
+    odds, others = log_odds(rows)
+    if not odds and others is None:
+        return {"odds": {}, "others": None, "shift": 1.0, "rate": 1.0, "k": 1.0, "a": -5.0, "b": 0.0}
     known = docs.sparkSession.sparkContext.broadcast(odds)
+    rows = _with_others(rows, known, others)
     shift = _mean(rows, known) - DRIFT
     seen = _observed(rows, known, shift)
     bins = seen.where("bin IS NOT NULL").groupBy("bin").agg(F.sum("n").alias("n")).toPandas()  # a few dozen steps
@@ -240,7 +314,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     cells = seen.where("toxic IS NOT NULL").select("toxic", F.round(F.log1p(above) * 20).alias("x"))
     cells = cells.groupBy("x").agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).orderBy("x").toPandas()  # some hundred steps
     a, b = logistic(cells["x"].to_numpy() / 20, cells["t"].to_numpy(float), cells["n"].to_numpy(float))
-    return {"odds": odds, "shift": shift, "rate": rate, "k": k, "a": a, "b": b}
+    return {"odds": odds, "others": others, "shift": shift, "rate": rate, "k": k, "a": a, "b": b}
 
 
 def scored(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -249,7 +323,9 @@ def scored(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     Null, empty and blank texts have no evidence and get the lowest score. Rows are
     scored one by one from their text alone, so repeated rows and null ids are like any other.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    spark = docs.sparkSession
+    others = model["others"]
+    sent = spark.sparkContext.broadcast({k: v for k, v in model.items() if k != "others"})
 
     def run(batches):
         m = sent.value
@@ -257,8 +333,8 @@ def scored(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
         least = -math.log(SIGNIFICANT)
         for batch in batches:
             scores, passages = [], []
-            for text in texts(batch.column(1)):
-                got = own.of(text)
+            for text, others in zip(texts(batch.column(1)), batch.column(2).to_pylist()):
+                got = own.of(text, others)
                 expected = math.log(m["k"] * max(len(got), 1))
                 above = [(s, e, m["rate"] * x - expected) for s, e, x in segments(got)]
                 evidence = sum(max(0.0, x) for _, _, x in above)
@@ -271,7 +347,8 @@ def scored(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(id_col, F.col(text_col).cast("string"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    rows = _with_others(rows, spark.sparkContext.broadcast(model["odds"]) if others is not None else None, others).select("id", "text", "others")
     return rows.mapInArrow(run, f"id {kind}, score double, predicted int, n_passages long, passages string")
 
 
