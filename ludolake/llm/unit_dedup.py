@@ -2,7 +2,8 @@
 
 A text is cut into units at line ends, at sentence ends and, so that long lines are
 not all or nothing, after words whose hash is the least of their neighbourhood; such
-a cut depends on near words only, so a passage is cut alike wherever it stands. Units are normalised
+a cut depends on near words of the same sentence and line only, so lines and sentences are cut alike
+wherever they stand, and passages but for their first and last words. Units are normalised
 (lower case, no punctuation at the ends of words) and hashed, digests are grouped
 globally, and of each digest the earliest occurrence by (document, place) stays.
 Later ones are removed where they form a run of at least ``LEAST_WORDS`` words;
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from ..session import at_most, stage
 from .common import mixed, table
 
-#: A unit also ends after a word whose hash is the least among so many words to either side.
+#: A unit also ends after a word whose hash is the least among so many words of its sentence to either side.
 CUT = 5
 LEAST_WORDS = 30
 PART_BYTES = 16 << 20
@@ -60,9 +61,7 @@ def units(text: str, normal: Normal) -> tuple[np.ndarray, ...]:
     found = [normal[text[a:b]] for a, b in spans]
     ids = np.fromiter((f[0] for f in found), np.uint64, len(found))
     hashes = mixed(ids)
-    around = np.pad(hashes, CUT, constant_values=np.uint64(2**64 - 1))
-    least = np.lib.stride_tricks.sliding_window_view(around, 2 * CUT + 1).min(axis=1)
-    ends = np.fromiter((f[1] for f in found), bool, len(found)) | (hashes == least)
+    ends = np.fromiter((f[1] for f in found), bool, len(found))
     starts, stops = (np.array(x, np.int32) for x in zip(*spans))
     breaks, at = [], text.find("\n")
     while at >= 0:
@@ -72,6 +71,12 @@ def units(text: str, normal: Normal) -> tuple[np.ndarray, ...]:
         lines = np.searchsorted(np.array(breaks), starts)
         ends[:-1] |= lines[1:] != lines[:-1]
     ends[-1] = True
+    # A gap between sentences and lines keeps what lies beyond them out of the neighbourhood.
+    at = np.arange(len(hashes)) + CUT * (1 + np.cumsum(ends) - ends)
+    around = np.full(at[-1] + CUT + 1, np.uint64(2**64 - 1))
+    around[at] = hashes
+    least = np.lib.stride_tricks.sliding_window_view(around, 2 * CUT + 1).min(axis=1)
+    ends |= hashes == least[at - CUT]
     last = np.flatnonzero(ends)
     first = np.concatenate([[0], last[:-1] + 1])
     # A polynomial over the words of each unit, by differences of a running sum of mixed ids and places.
