@@ -2,8 +2,8 @@
 
 The base finds e-mail addresses, IP addresses, card and phone numbers. Each found
 value is a protected entity. The corpus then tells which ordinary terms give an
-entity away: the corpus is a set of units of ``UNIT`` words, ``p(t)`` is the share
-of units that a term falls in, and the words around each mention of an entity are
+entity away: the corpus is a set of units of ``UNIT`` words, units of the same terms
+counting once, ``p(t)`` is the share of units that a term falls in, and the words around each mention of an entity are
 its contexts. A term discloses
 
     PMI(t; e) / IC(e),   PMI = log p(t, e) / (p(t) p(e)),   IC = -log p(e)
@@ -117,59 +117,109 @@ def _number(term: str) -> int:
     return xxhash.xxh3_64_intdigest(term.encode()) >> 1
 
 
+def _terms(text: str, memory: dict[str, str | None]) -> list[str | None]:
+    """The terms of a text, word by word; at most 300,000 words are remembered."""
+    terms = []
+    for word in text.split() if text.isascii() else _WORD.findall(text):
+        if word in memory:
+            terms.append(memory[word])
+        else:
+            terms.append(_term(word))
+            if len(memory) < 300_000 and len(word) < 64:
+                memory[word] = terms[-1]
+    return terms
+
+
+def _units(terms: list[str | None]):
+    """(number, terms) of the units of a text; units of the same terms have the same number."""
+    for k in range(0, len(terms), UNIT):
+        unit = set(terms[k : k + UNIT]) - {None}
+        yield _set_number(unit), unit
+
+
+def _set_number(terms: set[str]) -> int:
+    return xxhash.xxh3_64_intdigest("\n".join(sorted(terms)).encode()) >> 1
+
+
 def _gathered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows of three sorts: corpus counts (term, units), contexts (entity, context, term) with the document, and unit totals."""
+    """Rows of three sorts: counts (term, units) among the different units of part of a task, contexts (entity, context, term) with the document, and units (context alone)."""
 
     def run(batches):
         names = ["digest", "entity", "context", "term", "units"]
-        counts, units = Counter(), 0
+        counts, seen = Counter(), set()
 
         def counted():
-            numbers = [_number(t) for t in counts]
-            none = pa.nulls(len(numbers), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, none, pa.array(numbers, pa.int64()), pa.array(list(counts.values()), pa.int64())], names)
+            none = lambda n: pa.nulls(n, pa.int64())
+            numbers, n, u = [_number(t) for t in counts], len(counts), len(seen)
+            counted = [none(n), none(n), none(n), pa.array(numbers, pa.int64()), pa.array(list(counts.values()), pa.int64())]
+            different = [none(u), none(u), pa.array(list(seen), pa.int64()), none(u), none(u)]
+            counts.clear()
+            seen.clear()
+            return [pa.RecordBatch.from_arrays(c, names) for c in (counted, different)]
 
         memory: dict[str, str | None] = {}
         for batch in batches:
             rows = []
             for digest, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 text = text or ""
-                words = text.split() if text.isascii() else _WORD.findall(text)
-                terms = []
-                for word in words:
-                    if word in memory:
-                        terms.append(memory[word])
-                    else:
-                        terms.append(_term(word))
-                        if len(memory) < 300_000 and len(word) < 64:
-                            memory[word] = terms[-1]
-                for k in range(0, len(terms), UNIT):
-                    counts.update(set(terms[k : k + UNIT]))
-                    units += 1
+                terms = _terms(text, memory)
+                for number, unit in _units(terms):
+                    if number not in seen:
+                        seen.add(number)
+                        counts.update(unit)
                 found = entities(text)
                 if found:
                     starts = [m.start() for m in _WORD.finditer(text)]
                     for start, kind, end in found:
                         low, high = _around(starts, start, end)
                         near = set(terms[max(0, low - UNIT // 2) : low] + terms[high : high + UNIT // 2]) - {None}
-                        context = xxhash.xxh3_64_intdigest("\n".join(sorted(near)).encode()) >> 1
+                        context = _set_number(near)
                         entity = _value(text, start, kind, end)
                         rows += [(digest, entity, context, _number(t), None) for t in near] or [(digest, entity, context, None, None)]
-            counts.pop(None, None)
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
-            if len(counts) > 300_000:
-                yield counted()
-                counts.clear()
-        counts.pop(None, None)
-        yield counted()
-        yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64()) for v in (None, None, None, None, units)], names)
+            if len(counts) + len(seen) > 300_000:
+                yield from counted()
+        yield from counted()
 
     text = F.col(text_col).cast("string")
     rows = docs.select(F.xxhash64(text).alias("digest"), text.alias("text"))
     return rows.mapInArrow(run, "digest long, entity long, context long, term long, units long")
 
 
+def _unit_counts(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
+    """(term, n_t): in how many different units of the corpus each of the ``wanted`` terms (staged) falls."""
+    few = at_most(wanted, BROADCAST_DOCS)
+    sent = docs.sparkSession.sparkContext.broadcast(set(wanted.toArrow().column("term").to_pylist()) if few else None)
+
+    def run(batches):
+        memory: dict[str, str | None] = {}
+        numbers: dict[str, int | None] = {}
+        asked, out, size = sent.value, set(), 300_000
+        batch_of = lambda: pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], ["unit", "term"])
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                for unit, terms in _units(_terms(text or "", memory)):
+                    for term in terms:
+                        if term in numbers:
+                            number = numbers[term]
+                        else:
+                            number = _number(term)
+                            number = number if asked is None or number in asked else None
+                            if len(numbers) < size:
+                                numbers[term] = number
+                        if number is not None:
+                            out.add((unit, number))
+                if len(out) > size:
+                    yield batch_of()
+                    out.clear()
+        yield batch_of()
+
+    pairs = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "unit long, term long")
+    pairs = pairs if few else pairs.join(wanted, "term", "left_semi")
+    return pairs.distinct().groupBy("term").agg(F.count("*").alias("n_t"))
+
+
 def _around(starts: list[int], start: int, end: int) -> tuple[int, int]:
     """The words that a span touches: from the one it begins in to the first that begins after it."""
     from bisect import bisect_left, bisect_right
@@ -181,18 +231,21 @@ def disclosing(docs: DataFrame, id_col: str, text_col: str, support: int, disclo
     """(digest, terms): the terms to hide in the documents of that digest, as numbers."""
     rows = stage(_gathered(docs, id_col, text_col), "gathered")
     contexts = rows.where("entity IS NOT NULL")
-    units = rows.where("entity IS NULL AND term IS NULL").agg(F.coalesce(F.sum("units"), F.lit(0))).first()[0]
+    units = rows.where("entity IS NULL AND term IS NULL").select("context").distinct().count()
     joint = contexts.where("term IS NOT NULL").select("entity", "context", "term").distinct()
     joint = joint.groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= support)
     single = contexts.select("entity", "context").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
     wanted = joint.select("term").distinct()
     wanted = F.broadcast(wanted) if at_most(wanted, BROADCAST_DOCS) else wanted
     corpus = rows.where("entity IS NULL AND term IS NOT NULL").join(wanted, "term", "left_semi")
-    corpus = corpus.groupBy("term").agg(F.sum("units").alias("n_t"))
+    corpus = corpus.groupBy("term").agg(F.max("units").alias("n_t"))
     total = float(max(units, 1))
     pmi = F.log(F.col("n_te") * total / (F.col("n_t") * F.col("n_e")))
     content = -F.log(F.least(F.col("n_e") / total, F.lit(1 - 1e-12)))
-    pairs = joint.join(corpus, "term").join(single, "entity").where(pmi >= disclosed * content).select("entity", "term")
+    # Different units of part of a task are no more than those of the corpus: no pair is lost to this bound.
+    pairs = stage(joint.join(corpus, "term").join(single, "entity").where(pmi >= disclosed * content).drop("n_t"), "bounded")
+    exact = _unit_counts(docs, text_col, stage(pairs.select("term").distinct(), "wanted"))
+    pairs = pairs.join(exact, "term").where(pmi >= disclosed * content).select("entity", "term")
     holders = contexts.select("digest", "entity").distinct()
     return holders.join(pairs, "entity").groupBy("digest").agg(F.collect_set("term").alias("terms"))
 
