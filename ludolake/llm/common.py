@@ -61,7 +61,9 @@ def positions(df: DataFrame, groups: list[str], order: list[Column], size: Colum
     """``df`` with ``start``: the sum of ``size`` over all earlier rows of its group.
 
     Rows are spread over hash buckets of about ``rows_each`` rows; only one sum per
-    bucket is ranked per group, so a hot group is never gathered in one task.
+    bucket is ranked per group, so a hot group is never gathered in one task. ``order``
+    decides the buckets too: it must tell rows apart by content alone where results
+    are not to depend on the layout of the partitions.
     """
     from pyspark.sql import Window
 

@@ -149,7 +149,13 @@ def mixed(docs: DataFrame, key: int = 0, id_col: str = "doc_id", text_col: str =
     sources = stage(targets(sizes), "targets")
     blocks = sources.select("source", "source_size", F.ceil(F.col("source_size") / block).alias("blocks"), "target")
     # A document's words are words start .. start + size - 1 of its source.
-    placed = positions(rows.where("size > 0"), ["source"], [F.xxhash64("id", "digest"), F.col("id"), F.col("row")], F.col("size"))
+    # Equal rows stand side by side, in any order; the place of a row comes from its content, not from ``row``.
+    equal = rows.where("size > 0").groupBy("source", "id", "digest", "size").agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    equal = stage(equal, "equal")
+    many = F.size("rows")
+    placed = positions(equal, ["source"], [F.xxhash64("id", "digest"), F.col("id"), F.col("digest")], F.col("size") * many)
+    placed = placed.select("source", "size", "start", F.posexplode("rows").alias("at", "row"))
+    placed = placed.withColumn("start", F.col("start") + F.col("at") * F.col("size"))
     first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)
     parts = placed.select("row", "source", "start", "size", F.explode(F.sequence(first, last)).alias("block"))
     low, high = F.greatest(F.col("block") * block, "start"), F.least((F.col("block") + 1) * block, F.col("start") + F.col("size"))
