@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 import os
 
-from . import host_rules, merkle_manifest, mixing, ngram_join, packing, permutation_index, pii, toxicity, training_order, unit_dedup, url_rules
+from . import host_rules, merkle_manifest, mixing, ngram_join, packing, permutation_index, pii, spelling_variants, toxicity, training_order, unit_dedup, url_rules
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -38,7 +38,13 @@ QUERIES = {
         permutation_index.op9_permutation_index,
         pii.op10_pii,
         merkle_manifest.op11_merkle_manifest,
+        spelling_variants.op13_spelling_variants,
     )
 }
 
-ORACLE = {"op4_url_rules": url_rules.OP4_SQL, "op8_host_rules": host_rules.OP8_SQL, "op11_merkle_manifest": merkle_manifest.OP11_SQL}
+ORACLE = {
+    "op4_url_rules": url_rules.OP4_SQL,
+    "op8_host_rules": host_rules.OP8_SQL,
+    "op11_merkle_manifest": merkle_manifest.OP11_SQL,
+    "op13_spelling_variants": spelling_variants.OP13_SQL,
+}
