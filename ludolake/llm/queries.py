@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 import os
 
-from . import host_rules, merkle_manifest, mixing, ngram_join, packing, permutation_index, pii, spelling_variants, toxicity, training_order, unit_dedup, url_rules
+from . import host_rules, merkle_manifest, mixing, ngram_join, packing, permutation_index, pii, quality_discriminant, spelling_variants, toxicity, training_order, unit_dedup, url_rules
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -38,6 +38,7 @@ QUERIES = {
         permutation_index.op9_permutation_index,
         pii.op10_pii,
         merkle_manifest.op11_merkle_manifest,
+        quality_discriminant.op12_quality_discriminant,
         spelling_variants.op13_spelling_variants,
     )
 }
