@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from .files import exists
 from .operators.runs import run_totals
@@ -21,13 +21,15 @@ from .session import build_session
 from .sources import LOAD_ORDER, entity, read_json_lines
 
 
-def exported(spark: SparkSession, source: str) -> dict[str, DataFrame]:
-    """The entities that have a folder below ``source``."""
-    return {
-        name: read_json_lines(spark, f"{source}/{name}", entity(name).schema)
-        for name in LOAD_ORDER
-        if exists(spark, f"{source}/{name}")
+def exported(spark: SparkSession, source: str) -> tuple[dict[str, DataFrame], dict[str, Observation]]:
+    """The entities that have a folder below ``source``, and what will be noted about their dropped lines."""
+    found = [name for name in LOAD_ORDER if exists(spark, f"{source}/{name}")]
+    broken = {name: Observation() for name in found}
+    rows = {
+        name: read_json_lines(spark, f"{source}/{name}", entity(name).schema, broken=broken[name])
+        for name in found
     }
+    return rows, broken
 
 
 def main(arguments: list[str] | None = None) -> int:
@@ -42,12 +44,9 @@ def main(arguments: list[str] | None = None) -> int:
 
     spark = build_session()
     if options.source:
+        rows, broken = exported(spark, options.source)
         results = load_all(
-            spark,
-            options.root,
-            exported(spark, options.source),
-            options.date,
-            options.full_refresh,
+            spark, options.root, rows, options.date, options.full_refresh, broken=broken
         )
         if results:
             run_totals(spark.createDataFrame(results, RUN_LOG)).show()

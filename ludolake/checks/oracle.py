@@ -414,6 +414,11 @@ WITH {SCORES} SELECT * FROM scores WHERE dt = (SELECT max(dt) FROM scores)""",
 WITH {SCORES} SELECT dt, count(*) AS n_rows, max(value) AS max_value FROM scores GROUP BY dt""",
     "file_dates": f"WITH {SCORES} SELECT dt AS file_date, count(*) AS n_rows FROM scores GROUP BY dt",
     "json_lines_roundtrip": ALL_SCORES,
+    "json_malformed": f"""
+WITH {SCORES}
+SELECT shape, id, CAST(game_id AS BIGINT) AS game_id, CASE WHEN id % 10 <> 4 THEN popularity_type END AS popularity_type,
+       CASE WHEN id % 10 NOT IN (0, 1) THEN value END AS value
+FROM scores, (VALUES ('lines'), ('arrays')) AS v(shape) WHERE id % 10 NOT IN (2, 5)""",
     "batched_write": "SELECT count(*) AS n_rows, CAST(1 AS BIGINT) AS bound_held FROM events",
     "partition_replace": f"""
 WITH {SCORES}

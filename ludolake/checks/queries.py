@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..files import children
 from ..functions.dates import epoch_day_text, epoch_minute_text
 from ..operators import arrays, latest, order, pivot, quality, runs
 from ..plans import build, dimension, loads, marts, popularity, serving, staging
@@ -366,6 +367,46 @@ def json_lines_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.read_json_lines(spark, path, schemas.POPSCORE)
 
 
+def _lines_and_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, line, element): scores as JSON, some drifted, led by a tab, cut off or no objects."""
+    scores = st.raw_scores(spark, sf_dir)
+    whole = F.to_json(F.struct("id", "game_id", "popularity_type", "value"))
+    kind = F.col("id") % 10
+
+    def with_text(column: str, text) -> F.Column:
+        fields = [f for f in schemas.POPSCORE.fieldNames() if f != column]
+        rest = F.to_json(F.struct(*fields))
+        return F.concat(F.lit("{"), F.lit(f'"{column}": '), text, F.lit(", "), F.substring(rest, 2, 1 << 20))
+
+    drifted = (
+        F.when(kind == 0, with_text("value", F.lit('"x"')))
+        .when(kind == 1, F.concat(F.lit("\t"), with_text("value", F.lit('{"v": 1}'))))
+        .when(kind == 3, with_text("game_id", F.concat(F.lit('"'), F.col("game_id").cast("string"), F.lit('"'))))
+        .when(kind == 4, with_text("popularity_type", F.lit("[1, 2]")))
+        .when(kind == 5, F.concat(F.lit("["), whole, F.lit("]")))
+        .otherwise(whole)
+    )
+    cut = F.when(kind == 2, F.substring(whole, 1, 12)).otherwise(drifted)
+    return scores.select("id", cut.alias("line"), F.when(kind == 2, "5").otherwise(drifted).alias("element"))
+
+
+def json_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of lines, and of array files of a thousand elements, that do not all fit."""
+    texts = _lines_and_elements(spark, sf_dir)
+    lines, arrays = work_path(spark, "lines"), work_path(spark, "arrays")
+    texts.select(F.col("line").alias("value")).write.text(lines)
+    part = F.expr("id div 1000").alias("part")
+    joined = texts.groupBy(part).agg(F.concat_ws(",\n", F.collect_list("element")).alias("all"))
+    files = joined.select("part", F.concat(F.lit("["), "all", F.lit("]")).alias("value"))
+    files.write.partitionBy("part").text(arrays)
+    shapes = [("lines", lines, False), ("arrays", f"{arrays}/*", True)]
+    rows = [
+        landing.read_json_lines(spark, path, schemas.POPSCORE, multi_line).select(F.lit(name).alias("shape"), "*")
+        for name, path, multi_line in shapes
+    ]
+    return rows[0].unionByName(rows[1])
+
+
 def batched_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per file of at most 300 each: totals and whether the bound held."""
     path = work_path(spark, "batches")
@@ -393,23 +434,21 @@ def _two_loads(spark: SparkSession, sf_dir: str, refresh: bool) -> tuple[str, ma
     book = manifest.Manifest(spark, root)
     scores = st.raw_scores(spark, sf_dir)
     for i, rows in enumerate([scores.where("id % 2 = 0"), scores.where("id % 2 = 1")]):
-        folder = raw_path(root, "scores", "2024-02-01")
-        before = set(landing.data_files(spark, folder, schemas.POPSCORE))
+        folder = landing.new_load(raw_path(root, "scores", "2024-02-01"))
         count = landing.write_json_lines(rows, folder)
-        files = [f for f in landing.data_files(spark, folder, schemas.POPSCORE) if f not in before]
-        book.record("scores", "2024-02-01", files, count, LOADED_AT, refresh and i == 1)
+        book.record("scores", "2024-02-01", [folder], count, LOADED_AT, refresh and i == 1)
     return root, book
 
 
 def manifest_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the manifest's files after two loads that add up."""
+    """Rows of the manifest's folders after two loads that add up."""
     _, book = _two_loads(spark, sf_dir, refresh=False)
     files = book.files("scores", "2024-02-01")
     return landing.read_json_lines(spark, files + files, schemas.POPSCORE)
 
 
 def manifest_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of the manifest's files when the second load replaces the first."""
+    """Rows of the manifest's folders when the second load replaces the first."""
     _, book = _two_loads(spark, sf_dir, refresh=True)
     files = book.files("scores", "2024-02-01")
     return landing.read_json_lines(spark, files, schemas.POPSCORE)
@@ -430,23 +469,22 @@ def manifest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows in files of each status: replaced, current, and landed but not recorded."""
+    """Rows in load folders of each status: replaced, current, and landed but not recorded."""
     root, book = _two_loads(spark, sf_dir, refresh=True)
-    folder = raw_path(root, "scores", "2024-02-01")
-    landing.write_json_lines(st.raw_scores(spark, sf_dir), folder)
-    files = landing.data_files(spark, folder, schemas.POPSCORE)
+    base = raw_path(root, "scores", "2024-02-01")
+    landing.write_json_lines(st.raw_scores(spark, sf_dir), landing.new_load(base))
+    folders = [f"{base}/{name}" for name in children(spark, base)]  # three loads
     landed = spark.createDataFrame(
-        [("scores", "2024-02-01", f) for f in files], "entity string, dt string, file string"
-    )
-    statuses = book.statuses(landed).select(_file_name("file").alias("name"), "status")
-    rows = landing.read_json_lines(spark, files, schemas.POPSCORE)
-    per_file = rows.groupBy(_file_name(F.input_file_name()).alias("name")).agg(
-        F.count("id").alias("n")
+        [("scores", "2024-02-01", f) for f in folders], "entity string, dt string, file string"
     )
-    return per_file.join(statuses, "name").groupBy("status").agg(F.sum("n").alias("n_rows"))
+    statuses = book.statuses(landed).select(_folder_name("file").alias("name"), "status")
+    rows = landing.read_json_lines(spark, folders, schemas.POPSCORE)
+    read_from = _folder_name(F.regexp_replace(F.input_file_name(), "/[^/]*$", ""))
+    per_folder = rows.groupBy(read_from.alias("name")).agg(F.count("id").alias("n"))
+    return per_folder.join(statuses, "name").groupBy("status").agg(F.sum("n").alias("n_rows"))
 
 
-def _file_name(path) -> F.Column:
+def _folder_name(path) -> F.Column:
     return F.substring_index(path, "/", -1)
 
 
@@ -592,19 +630,17 @@ def speedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def run_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State saved for each event type at its last event, one reset, then listed."""
-    root = work_path(spark, "lake")
-    states = RunState(spark, root)
-    last = (
-        st.events_as_updates(spark, sf_dir)
-        .groupBy("event_type")
-        .agg(F.max("updated_at").alias("seconds"))
-        .orderBy("event_type")
+    states = RunState(spark, work_path(spark, "lake"))
+    last = st.events_as_updates(spark, sf_dir).groupBy("event_type").agg(
+        F.max("updated_at").alias("seconds")
     )
-    # One row per event type: five entities.
-    for row in last.collect():
-        moment = datetime.fromtimestamp(row.seconds, timezone.utc)
-        states.save(row.event_type, moment - timedelta(days=1), now=LOADED_AT)
-        states.save(row.event_type, moment, now=LOADED_AT)
+    for days in (1, 0):  # an earlier run, then the last one
+        moment = F.timestamp_seconds(F.col("seconds") - days * 86_400)
+        text = F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ssXXX")
+        states.save_all(
+            last.select(F.col("event_type").alias("entity"), F.regexp_replace(text, "Z$", "+00:00").alias("last_run_time")),
+            now=LOADED_AT,
+        )
     states.reset("view", now=LOADED_AT)
     return states.all().join(
         states.times().select("entity", F.unix_seconds("last_run").alias("last_run")), "entity"
@@ -654,6 +690,7 @@ QUERIES = {
         all_partitions,
         file_dates,
         json_lines_roundtrip,
+        json_malformed,
         batched_write,
         partition_replace,
         manifest_scan,

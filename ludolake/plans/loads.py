@@ -6,11 +6,12 @@ from collections.abc import Mapping
 from datetime import datetime, timedelta, timezone
 from time import perf_counter
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..files import age_of, children, count_files, remove
 from ..functions.dates import epoch_of, run_date
-from ..sources.landing import BATCH_SIZE, data_files, write_json_lines, write_partition
+from ..sources.landing import BATCH_SIZE, new_load, write_json_lines
 from ..sources.logs import Log
 from ..sources.manifest import Manifest
 from ..sources.registry import LOAD_ORDER, TIME_SERIES, Entity, entity, raw_path
@@ -21,7 +22,8 @@ from .popularity import wanted_scores
 OVERLAP = timedelta(minutes=5)
 
 RUN_LOG = (
-    "entity_name string, record_count long, file_count long, elapsed_seconds double, mode string"
+    "entity_name string, record_count long, file_count long, elapsed_seconds double, mode string, "
+    "dropped_lines long"
 )
 
 
@@ -60,12 +62,15 @@ def load_entity(
     dt: str,
     full_refresh: bool = False,
     batch_size: int = BATCH_SIZE,
+    broken: Observation | None = None,
 ) -> dict:
     """Land one entity from ``source`` and return its run log row.
 
-    Order of commits: data, manifest, state. Earlier files go out of date with
-    the manifest row, so a load that fails before it changes nothing a reader
-    sees. The state is the start of the load and is saved for no rows too.
+    The rows go to a folder of this load alone. Order of commits: data, manifest,
+    state. Earlier loads go out of date with the manifest row, so a load that fails
+    before it changes nothing a reader sees, time series included. The state is the
+    start of the load and is saved for no rows too. ``broken`` is what the reader of
+    ``source`` noted about dropped lines; the run log keeps it.
     """
     spec = entity(name)
     started, clock = datetime.now(timezone.utc), perf_counter()
@@ -78,25 +83,20 @@ def load_entity(
         # A few changed rows spread over many tasks would land as many tiny files.
         rows = changed_since(rows, since).hint("rebalance")
 
-    folder = raw_path(root, name, dt)
-    if spec.kind == TIME_SERIES:
-        count = write_partition(rows, raw_path(root, name), dt, batch_size)
-        files = data_files(spark, folder, spec.schema) if count else []
-    else:
-        before = set(data_files(spark, folder, spec.schema))
-        count = write_json_lines(rows, folder, batch_size)
-        landed = data_files(spark, folder, spec.schema) if count else []
-        files = [f for f in landed if f not in before]
+    folder = new_load(raw_path(root, name, dt))
+    count = write_json_lines(rows, folder, batch_size)
+    files = count_files(spark, folder) if count else 0
     if count:
-        manifest.record(name, dt, files, count, started, full_refresh)
+        manifest.record(name, dt, [folder], count, started, full_refresh)
     states.save(name, started)
 
     result = {
         "entity_name": name,
         "record_count": count,
-        "file_count": len(files),
+        "file_count": files,
         "elapsed_seconds": perf_counter() - clock,
         "mode": mode,
+        "dropped_lines": broken.get.get("dropped", 0) if broken is not None else None,
     }
     run_log(spark, root).append(**result)
     return result
@@ -113,23 +113,39 @@ def load_all(
     dt: str | None = None,
     full_refresh: bool = False,
     batch_size: int = BATCH_SIZE,
+    broken: Mapping[str, Observation] | None = None,
 ) -> list[dict]:
     """Land every given entity, dimensions before facts."""
     dt = dt or run_date()
     return [
-        load_entity(spark, root, name, sources[name], dt, full_refresh, batch_size)
+        load_entity(spark, root, name, sources[name], dt, full_refresh, batch_size, (broken or {}).get(name))
         for name in LOAD_ORDER
         if name in sources
     ]
 
 
-def landed_files(spark: SparkSession, root: str, dt: str) -> DataFrame:
-    """(entity, dt, file) of the data files of every entity for one date."""
+def landed_folders(spark: SparkSession, root: str, dt: str) -> DataFrame:
+    """(entity, dt, file) of the folders of all loads of one date, recorded or not."""
     found = [
-        (name, Manifest.slot(name, dt), file)
+        (name, Manifest.slot(name, dt), f"{raw_path(root, name, dt)}/{child}")
         for name in LOAD_ORDER
-        for file in data_files(spark, raw_path(root, name, dt), entity(name).schema)
+        for child in children(spark, raw_path(root, name, dt))
+        if child.startswith("load=")
     ]
     return spark.createDataFrame(found, "entity string, dt string, file string")
 
 
+def expire_loads(spark: SparkSession, root: str, dt: str | None = None, temp_after: timedelta = timedelta(days=7)) -> int:
+    """Delete the folders of loads that later ones have replaced; return how many went.
+
+    Run it when no reader of an older state is left. With ``dt``, folders of that date
+    that no load has recorded go too, once they are ``temp_after`` old.
+    """
+    book = Manifest(spark, root)
+    gone = sum(remove(spark, path) for path in book.expired())
+    if dt:
+        temp = book.statuses(landed_folders(spark, root, dt)).where("status = 'temp'")
+        for row in temp.select("file").collect():
+            if age_of(spark, row.file) >= temp_after.total_seconds():
+                gone += remove(spark, row.file)
+    return gone

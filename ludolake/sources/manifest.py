@@ -1,6 +1,8 @@
 """Which files of the landing zone count, per entity and date.
 
-Every load appends one row; the manifest and each file's status follow from
+Every load appends one row that names what it landed: the folder of the load, or
+single files. What stands in a folder is listed by the scan that reads it, so the
+log does not grow with the files. The manifest and each entry's status follow from
 the rows. A load that replaces (a full refresh, or any load of a time series
 date) starts its manifest anew; any other load adds to it.
 """
@@ -146,11 +148,19 @@ class Manifest:
         return file_status(self.log.rows(), landed)
 
     def files(self, entity: str, dt: str | None = None) -> list[str]:
-        """Files to read, one name each; none when nothing is recorded."""
+        """Folders or files to read, one name each; none when nothing is recorded.
+
+        Their number grows with the loads since the last one that replaced, not with the data.
+        """
         here = (F.col("entity") == entity) & (F.col("dt") == self.slot(entity, dt))
         rows = self.current().where(here).select(F.explode("files").alias("file")).distinct()
         return sorted(row.file for row in rows.collect())
 
+    def expired(self) -> list[str]:
+        """Folders or files that a later load has replaced."""
+        rows = self.statuses().where("status = 'outdated'").select("file").distinct()
+        return sorted(row.file for row in rows.collect())
+
     def latest_date(self, entity: str) -> str | None:
         """Newest recorded date of a dated entity."""
         dates = self.log.rows().where((F.col("entity") == entity) & (F.col("dt") != NO_DATE))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..files import remove
+from ..files import remove, replace_text
 from .logs import Log
 
 LOG = "table string, path string, source string"
@@ -20,6 +20,9 @@ class Snapshots:
     A version is written to a folder of its own and becomes current by one row
     in the commit log. A reader, or a job that merges a table with itself, keeps
     the version it started from; a failed write leaves the old one current.
+
+    Readers that do not know the log find the current version by a stable address:
+    the file ``current/<table>`` holds its folder, seen from ``root``.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -31,8 +34,13 @@ class Snapshots:
         path = f"{self.root}/marts/{table}/{uuid.uuid4().hex}"
         df.write.option("compression", "snappy").parquet(path)
         self.log.append(table=table, path=path, source=source)
+        replace_text(self.spark, self.address(table), path[len(self.root) + 1 :])
         return self.spark.read.parquet(path)
 
+    def address(self, table: str) -> str:
+        """The file that names the folder of the current version."""
+        return f"{self.root}/current/{table}"
+
     def path(self, table: str) -> str | None:
         row = (
             self.log.rows().where(F.col("table") == table).agg(F.max_by("path", "seq")).first()

@@ -35,6 +35,11 @@ class RunState:
         stamp = iso_utc(now or datetime.now(timezone.utc))
         self.log.append(entity=entity, last_run_time=iso_utc(run_time), updated_at=stamp)
 
+    def save_all(self, entries: DataFrame, now: datetime | None = None) -> None:
+        """Save the (entity, last_run_time) rows of a frame in one commit; the times are ISO text."""
+        stamp = iso_utc(now or datetime.now(timezone.utc))
+        self.log.append_rows(entries.select("entity", "last_run_time", F.lit(stamp).alias("updated_at")))
+
     def reset(self, entity: str, now: datetime | None = None) -> None:
         """Forget the entity, so that its next load is a full one."""
         stamp = iso_utc(now or datetime.now(timezone.utc))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.latest import latest_by_key, upsert_latest
-from ..sources.landing import objects, tolerant
+from ..sources.landing import parsed
 from ..sources.snapshots import Snapshots
 
 
@@ -38,11 +38,11 @@ def ingest_available(
             merged = upsert_latest(tables.read(table), batch, key, order)
         tables.replace(table, merged, source)
 
-    reader = tolerant(spark.readStream, schema)
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     query = (
-        objects(reader.json(landing), schema)
+        parsed(reader.text(landing), schema)
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

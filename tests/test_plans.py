@@ -39,7 +39,8 @@ from ludolake.plans import (
 from ludolake.plans import marts, serving
 from ludolake.plans.build import CHECKS, check_all, read_scores
 from ludolake.plans.dimension import DIM_GAMES
-from ludolake.plans.loads import changed_since, landed_files, run_log
+from ludolake.__main__ import exported
+from ludolake.plans.loads import changed_since, expire_loads, landed_folders, load_entity, run_log
 from ludolake.plans.staging import NAME_ARRAYS
 from ludolake.sources import LOAD_ORDER, Manifest, RunState, Snapshots, entity, schemas
 from ludolake.streaming import ingest_available
@@ -569,7 +570,7 @@ def test_load_and_build_over_three_days(spark, root):
     load_all(spark, root, {"popscore": sources(spark)["popscore"]}, dt="2025-06-02")
     assert read_scores(spark, root).count() == 11
     assert run_log(spark, root).rows().count() == 17
-    landed = landed_files(spark, root, "2025-06-02")
+    landed = landed_folders(spark, root, "2025-06-02")
     status = Manifest(spark, root).statuses(landed).groupBy("status").count().collect()
     assert {r.status: r["count"] for r in status}.keys() == {"final", "outdated"}
 
@@ -590,6 +591,45 @@ def test_failed_load_leaves_manifest_and_state(spark, root):
     assert {r.status for r in Manifest(spark, root).statuses().collect()} == {"final"}
 
 
+@pytest.mark.parametrize("died_at", ["record", "save"])
+def test_load_that_dies_after_its_data_changes_nothing(spark, root, monkeypatch, died_at):
+    """Dying before the manifest leaves the old rows; dying before the state leaves a load that can be run again."""
+    scores = sources(spark)["popscore"]
+    load_all(spark, root, {"popscore": scores}, dt="2025-06-01")
+    place = Manifest if died_at == "record" else RunState
+    newer = scores.withColumn("value", F.lit(7.0))
+
+    def dies(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(place, died_at, dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            load_entity(spark, root, "popscore", newer, "2025-06-01")
+    rows = read_scores(spark, root)
+    assert rows.count() == 11
+    assert (rows.where("value = 7").count() == 11) == (died_at == "save")
+    if died_at == "record":
+        # What the dead load landed is known as such and goes once it is old.
+        status = Manifest(spark, root).statuses(landed_folders(spark, root, "2025-06-01"))
+        assert sorted(r.status for r in status.collect()) == ["final", "temp"]
+        assert expire_loads(spark, root, "2025-06-01") == 0
+        assert expire_loads(spark, root, "2025-06-01", timedelta(0)) == 1
+    load_entity(spark, root, "popscore", newer, "2025-06-01")
+    assert read_scores(spark, root).where("value = 7").count() == 11
+    assert expire_loads(spark, root) >= 1
+    assert read_scores(spark, root).where("value = 7").count() == 11
+
+
+def test_run_log_counts_dropped_lines(spark, root, tmp_path):
+    (tmp_path / "genres").mkdir()
+    (tmp_path / "genres" / "a.json").write_text('{"id": 1, "name": "A"}\n{"id": 2, "na\nnone\n{"id": "x"}')
+    rows, broken = exported(spark, str(tmp_path))
+    result = load_all(spark, root, rows, dt="2025-06-01", broken=broken)[0]
+    assert (result["record_count"], result["dropped_lines"]) == (2, 2)
+    assert run_log(spark, root).rows().first().dropped_lines == 2
+
+
 def test_development_build_uses_views(spark, root):
     load_all(spark, root, sources(spark), dt="2025-06-01")
     build_all(spark, root, dt="2025-06-01", as_of=NOON, as_views=True)

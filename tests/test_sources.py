@@ -1,8 +1,10 @@
 import glob
 import os
+import shutil
 from datetime import datetime, timezone
 from types import SimpleNamespace
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,7 +25,9 @@ from ludolake.sources import (
     write_json_lines,
     write_partition,
 )
+from ludolake.sources import logs
 from ludolake.sources.landing import data_files
+from ludolake.sources.logs import Log
 from ludolake.sources.manifest import from_json, to_json
 
 AT = datetime(2025, 1, 1, 12, tzinfo=timezone.utc)
@@ -320,3 +324,144 @@ def test_lines_that_do_not_fit(spark, tmp_path):
     assert sorted(r.id for r in rows.collect()) == [1, 2, 3]
     assert rows.count() == rows.select("id").count() == rows.select("value").count() == 3
     assert rows.where("id = 2").first().value == 0.5
+
+
+# Tabs, text in numbers, numbers as text, keys twice, elements of another kind, trailing returns.
+DRIFTED = [
+    ('{"id": 1, "name": "A", "hypes": 4, "genres": [1, "x", null, "3"]}', (1, "A", 4, [1, None, None, 3])),
+    ('\t{"id": 2, "name": 5, "hypes": "x"}', (2, "5", None, None)),
+    ('  {"id": "3", "hypes": "7", "genres": {}}\r', (3, None, 7, None)),
+    ('{"id": 4, "hypes": 1.5, "genres": "none"}', (4, None, None, None)),
+    ('{"id": 5, "hypes": true, "name": {"en": "B"}}', (5, '{"en":"B"}', None, None)),
+    ('{"id": 6, "id": 7, "name": "twice"}', (7, "twice", None, None)),
+    ('{"id": null, "name": "é"}', (None, "é", None, None)),
+]
+BROKEN = ['{"id": 8, "na', "[1]", "text", "5", "null"]
+
+
+def drifted(spark, tmp_path, multi_line):
+    good = [line for line, _ in DRIFTED]
+    if multi_line:
+        text = "[" + ",\n".join([*good, *(b for b in BROKEN if b in ("[1]", "5", "null"))]) + "]"
+    else:
+        text = "\n".join([BROKEN[0], *good, "", " \t ", *BROKEN[1:]])
+    write_text(f"{tmp_path}/a.json", text)
+    return read_json_lines(spark, str(tmp_path), schemas.GAMES, multi_line)
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_every_projection_has_the_same_rows(spark, tmp_path, multi_line):
+    rows = drifted(spark, tmp_path, multi_line)
+    picked = ["id", "name", "hypes", "genres"]
+    want = [row for _, row in DRIFTED]
+    assert sorted(map(tuple, rows.select(*picked).collect()), key=repr) == sorted(want, key=repr)
+    assert rows.count() == len(rows.collect()) == len(want)
+    for i, name in enumerate(picked):
+        assert sorted((r[0] for r in rows.select(name).collect()), key=repr) == sorted((w[i] for w in want), key=repr)
+    assert rows.select("name").count() == rows.select("slug", "hypes").count() == len(want)
+    assert rows.schema.fieldNames() == schemas.GAMES.fieldNames()
+
+
+def test_array_files_of_any_form(spark, tmp_path):
+    write_text(f"{tmp_path}/a.json", '[{"id": 1},\n {"id": 2, "hypes": "x"}]')
+    write_text(f"{tmp_path}/b.json", '{\n "id": 3\n}')
+    write_text(f"{tmp_path}/c.json", '[{"id": 4}, {"id":')  # cut off, so nothing of it counts
+    write_text(f"{tmp_path}/d.json", " []\n")
+    write_text(f"{tmp_path}/e.json", "")
+    rows = read_json_lines(spark, str(tmp_path), schemas.GAMES, multi_line=True)
+    assert sorted(r.id for r in rows.collect()) == [1, 2, 3]
+
+
+def test_dropped_lines_are_counted(spark, tmp_path):
+    write_text(f"{tmp_path}/a.json", "\n".join([*(line for line, _ in DRIFTED), "", *BROKEN]))
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    rows = read_json_lines(spark, str(tmp_path), schemas.GAMES, broken=seen)
+    assert rows.select("slug").where("slug IS NULL").count() == len(DRIFTED)
+    assert seen.get["dropped"] == len(BROKEN)
+
+
+@pytest.mark.parametrize("n", [0, 7])
+def test_a_write_evaluates_its_rows_once(spark, tmp_path, n):
+    seen = spark.sparkContext.accumulator(0)
+
+    def watch(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = scores(spark, 20).mapInArrow(watch, POPSCORE).where(F.col("id") < n)
+    assert write_json_lines(rows, f"{tmp_path}/a") == n
+    assert seen.value == 20
+    assert os.path.exists(f"{tmp_path}/a") == bool(n)
+    assert write_partition(rows, f"{tmp_path}/b", "2025-01-01") == n
+    assert seen.value == 40
+    assert os.path.exists(f"{tmp_path}/b/dt=2025-01-01") == bool(n)
+
+
+# --- Logs and addresses
+
+
+def test_log_of_many_commits_opens_few_files(spark, root):
+    log = Log(spark, f"{root}/log", "n long, t string")
+    commits = 2 * logs.MERGE_AFTER + 5
+    for n in range(commits):
+        log.append(n=n, t=f"row {n}")
+        assert len(log.rows().inputFiles()) <= 2 * logs.MERGE_AFTER
+    rows = log.rows().orderBy("seq").collect()
+    assert [r.n for r in rows] == list(range(commits)) and rows[3].t == "row 3"
+    assert len({r.seq for r in rows}) == commits
+    assert len(os.listdir(f"{root}/log/commits")) <= 2 * logs.MERGE_AFTER
+    assert len(os.listdir(f"{root}/log/merged")) <= 2
+
+
+def test_log_ignores_a_commit_that_died(spark, root):
+    log = Log(spark, f"{root}/log", "n long")
+    log.append(n=1)
+    done = os.listdir(f"{root}/log/commits")[0]
+    half = f"{root}/log/commits/{int(done) + 1:020d}"
+    os.makedirs(half)
+    for name in os.listdir(f"{root}/log/commits/{done}"):
+        if name.endswith(".parquet"):
+            shutil.copy(f"{root}/log/commits/{done}/{name}", half)
+    assert log.rows().count() == 1
+    log.append(n=2)
+    assert sorted(r.n for r in log.rows().collect()) == [1, 2]
+
+
+def test_many_rows_in_one_commit(spark, root):
+    log = Log(spark, f"{root}/log", "n long, t string")
+    log.append_rows(spark.range(500, numPartitions=3).selectExpr("id AS n", "'x' AS t"))
+    log.append(n=-1, t=None)
+    assert log.rows().count() == 501 and log.rows().select("seq").distinct().count() == 2
+    assert log.rows().agg(F.min_by("n", "seq"), F.max_by("n", "seq")).first()[1] == -1
+
+
+def test_states_of_many_entities_in_one_commit(spark, root):
+    states = RunState(spark, root)
+    entries = spark.range(300).selectExpr("concat('e', id) AS entity", "'2025-01-01T00:00:00' AS last_run_time")
+    states.save_all(entries, now=AT)
+    states.save("e7", AT)
+    assert states.all().count() == 300 and len(os.listdir(f"{root}/meta/state/commits")) == 2
+    assert states.get("e7") == AT and states.get("e8") == datetime(2025, 1, 1, tzinfo=timezone.utc)
+
+
+def test_other_engines_follow_the_address(spark, root):
+    """DuckDB finds the current version by the stable address, before and after a rebuild."""
+    tables = Snapshots(spark, root)
+
+    def outside():
+        folder = open(tables.address("t")).read()
+        where = f"{root}/{folder}/*.parquet"
+        return duckdb.sql(f"SELECT sum(id) FROM read_parquet('{where}')").fetchall()[0][0]
+
+    tables.replace("t", spark.range(4))
+    assert outside() == 6
+    old = open(tables.address("t")).read()
+    tables.replace("t", spark.range(5))
+    assert outside() == 10 and open(tables.address("t")).read() != old
+    with pytest.raises(Exception):
+        tables.replace("t", spark.range(3).selectExpr("raise_error('no') AS id"))
+    assert outside() == 10
+    assert tables.expire("t", keep=1) == 1 and outside() == 10
