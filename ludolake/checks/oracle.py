@@ -255,6 +255,7 @@ ORACLE = {
     "latest_by_key": LATEST,
     "upsert_latest": MERGED,
     "upsert_latest_shuffled": MERGED,
+    "upsert_buckets": MERGED,
     "stg_games": f"""
 WITH {GAMES}
 SELECT id, name, slug, summary, game_type, CAST(NULL AS BIGINT) AS parent_game, cover, url,

@@ -14,6 +14,7 @@ from ..operators import arrays, latest, order, pivot, quality, runs
 from ..plans import build, dimension, loads, marts, popularity, serving, staging
 from ..sources import landing, manifest, schemas
 from ..sources.registry import ENTITIES, entity, raw_path
+from ..sources.buckets import Buckets
 from ..sources.snapshots import Snapshots
 from ..sources.state import RunState
 from ..session import stage, work_path
@@ -54,7 +55,7 @@ def _order_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _merge_orders(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+def _order_lots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Orders before 1999 as the table; all later ones, and 1998 again, as the increment."""
     rows = _order_versions(spark, sf_dir)
     # One order per customer and day: the greatest key.
@@ -65,6 +66,11 @@ def _merge_orders(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     old = latest.latest_by_key(rows.where(F.col("updated_at") < until), "o_custkey", "updated_at")
     old = stage(old, "old")
     new = rows.where(F.col("updated_at") >= since)
+    return old, new
+
+
+def _merge_orders(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    old, new = _order_lots(spark, sf_dir)
     return latest.upsert_latest(old, new, "o_custkey", "updated_at", **options)
 
 
@@ -72,6 +78,16 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merge_orders(spark, sf_dir)
 
 
+def upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same merge into a table kept in buckets, the increment in two commits."""
+    old, new = _order_lots(spark, sf_dir)
+    tables = Buckets(spark, work_path(spark, "lake"), total=8)
+    tables.replace("orders", old, "o_custkey")
+    half = F.col("updated_at") < _epoch(2000, 1, 1)
+    tables.upsert("orders", new.where(half), "o_custkey", "updated_at")
+    return tables.upsert("orders", new.where(~half), "o_custkey", "updated_at")
+
+
 def upsert_latest_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The path an increment too large to broadcast takes."""
     return _merge_orders(spark, sf_dir, small_increment=0)
@@ -508,7 +524,7 @@ def _epoch(*date: int) -> int:
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events landed in two lots, the second overlapping the first, each ingested as it lands."""
     root = work_path(spark, "lake")
-    tables = Snapshots(spark, root)
+    tables = Buckets(spark, root)
     versions = st.events_as_updates(spark, sf_dir)
     table = None
     for lot in [
@@ -653,6 +669,7 @@ QUERIES = {
         latest_by_key,
         upsert_latest,
         upsert_latest_shuffled,
+        upsert_buckets,
         stg_games,
         stg_dimensions,
         bridge_explode,

@@ -68,68 +68,102 @@ def type_differs(df: DataFrame, column: str, expected: T.DataType) -> bool:
 def run_checks(models: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Run every check: (model, column, check, severity, failures, status).
 
-    Each column with a uniqueness or relationship check is counted by value
-    once, which also answers for its NULLs; the other columns of the model ride
-    along in one of these passes. Models are read once per pass, so pass tables
-    or staged frames.
+    Each model is scanned once, for all of its checks. The values of a column with a
+    uniqueness or relationship check are counted under the column they refer to, side by
+    side with that column's own values, so one aggregation answers for uniqueness,
+    references and NULLs of all models at once, without a join; it is combined before its
+    one shuffle, so a value that fills a third of the rows arrives as one row a task.
+    Columns that only must not be NULL send their NULLs and nothing else.
     """
-    passes: dict[tuple[str, str | None], list[Check]] = {}
-    for check in checks:
-        if check.kind in ("unique", "relationships"):
-            passes.setdefault((check.model, check.column), []).append(check)
-    for check in checks:
-        if check.kind in ("not_null", "column_type"):
-            own = (check.model, check.column)
-            other = next((key for key in passes if key[0] == check.model), (check.model, None))
-            passes.setdefault(own if own in passes else other, []).append(check)
+    places = _places_of(checks)
+    kinds = {
+        models[m].schema[c].dataType.simpleString() for m, c in {(c.model, c.column) for c in checks if c.kind in _KEYED}
+    }
+    kind = kinds.pop() if len(kinds) == 1 else "string"
+    width = 1 + max((slot for own in places.values() for _, slot in own), default=0)
+    parts = [_cells(models[m], m, places, checks, kind) for m in dict.fromkeys(m for m, _ in places)]
+    slots = [F.count_if(F.col("slot") == i).alias(f"n{i}") for i in range(width)]
+    counted = reduce(DataFrame.unionByName, parts).groupBy("target", "v").agg(*slots)
+
+    missing, known = F.col("v").isNull(), F.col("v").isNotNull()
+    found = counted.groupBy("target").agg(
+        *[F.sum(F.when(missing, F.col(f"n{i}"))).alias(f"null{i}") for i in range(width)],
+        *[F.count_if(known & (F.col(f"n{i}") > 1)).alias(f"twice{i}") for i in range(width)],
+        *[F.sum(F.when(known & (F.col("n0") == 0), F.col(f"n{i}"))).alias(f"orphan{i}") for i in range(width)],
+    )
+    fields = F.struct(*[c for c in found.columns if c != "target"])
+    by_target = found.agg(F.map_from_entries(F.collect_list(F.struct("target", fields))).alias("found"))
+
+    def failures(check: Check) -> str:
+        if check.kind == "column_type":
+            return f"{int(type_differs(models[check.model], check.column, check.expected))}L"
+        own = places[check.model, check.column]
+        wanted = None if check.kind != "relationships" else (check.to_model, check.to_column)
+        target, slot = next((t, s) for t, s in own if wanted is None or _target_of(places, wanted) == t)
+        word = {"not_null": "null", "unique": "twice", "relationships": "orphan"}[check.kind]
+        return f"coalesce(try_element_at(found, {target}).{word}{slot}, 0L)"
 
+    labels = ", ".join(
+        f"struct('{c.model}' AS model, '{c.column}' AS column, '{c.kind}' AS check, "
+        f"'{c.severity}' AS severity, {failures(c)} AS failures)"
+        for c in checks
+    )
     status = (
         F.when(F.col("failures") == 0, "pass")
         .when(F.col("severity") == "warn", "warn")
         .otherwise("fail")
     )
-    parts = [_run_pass(models, *key, own) for key, own in passes.items()]
-    return reduce(DataFrame.unionByName, parts).withColumn("status", status)
+    return by_target.selectExpr(f"inline(array({labels}))").withColumn("status", status)
 
 
-def _run_pass(
-    models: Mapping[str, DataFrame], model: str, key: str | None, checks: list[Check]
-) -> DataFrame:
-    """Failures of the checks that one pass over ``model`` answers.
+_KEYED = ("unique", "relationships")
 
-    With a ``key`` the model is first counted by its values, so that the joins
-    and the uniqueness test see each value once, however many rows hold it.
-    """
-    df = models[model]
-    nulls = [c.column for c in checks if c.kind == "not_null" and c.column != key]
-    counters = [
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(f"_no_{c}") for c in nulls],
-    ]
-    counted = df.groupBy(*([key] if key else [])).agg(*counters)
-    for i, check in enumerate(checks):
-        if check.kind == "relationships":
-            known = models[check.to_model].select(F.col(check.to_column).alias(key)).distinct()
-            counted = counted.join(known.withColumn(f"_known{i}", F.lit(True)), key, "left")
 
-    def failures(i: int, check: Check) -> Column:
-        if check.kind == "column_type":
-            return F.lit(int(type_differs(df, check.column, check.expected))).cast("long")
-        if check.kind == "unique":
-            return F.count_if(F.col(key).isNotNull() & (F.col("_rows") > 1))
+def _places_of(checks: Sequence[Check]) -> dict[tuple[str, str], list[tuple[int, int]]]:
+    """(model, column) to the (target, slot) pairs its values are counted under.
+
+    A target is a column that others refer to, or that stands for itself; its own values
+    have slot 0 and each column that refers to it a slot of its own.
+    """
+    targets: dict[tuple[str, str], list[tuple[str, str]]] = {}
+    for check in checks:
         if check.kind == "relationships":
-            orphan = F.col(key).isNotNull() & F.col(f"_known{i}").isNull()
-            return F.sum(F.when(orphan, F.col("_rows")))
-        if check.column == key:
-            return F.sum(F.when(F.col(key).isNull(), F.col("_rows")))
-        return F.sum(f"_no_{check.column}")
-
-    found = counted.agg(
-        F.array(*[F.coalesce(failures(i, c), F.lit(0)) for i, c in enumerate(checks)]).alias("n")
-    )
-    labels = ", ".join(
-        f"struct('{c.model}' AS model, '{c.column}' AS column, '{c.kind}' AS check, "
-        f"'{c.severity}' AS severity, n[{i}] AS failures)"
-        for i, c in enumerate(checks)
-    )
-    return found.selectExpr(f"inline(array({labels}))")
+            parent = (check.to_model, check.to_column)
+            members = targets.setdefault(parent, [parent])
+            if (check.model, check.column) not in members[1:]:
+                members.append((check.model, check.column))
+    referring = {member for members in targets.values() for member in members}
+    for check in checks:
+        own = (check.model, check.column)
+        if check.kind != "column_type" and own not in referring:
+            targets.setdefault(own, [own])
+    places: dict[tuple[str, str], list[tuple[int, int]]] = {}
+    for number, members in enumerate(targets.values()):
+        for slot, member in enumerate(members):
+            places.setdefault(member, []).append((number, slot))
+    return places
+
+
+def _target_of(places: Mapping, parent: tuple[str, str]) -> int:
+    return next(target for target, slot in places[parent] if slot == 0)
+
+
+def _cells(df: DataFrame, model: str, places: Mapping, checks: Sequence[Check], kind: str) -> DataFrame:
+    """(target, slot, v) of every counted value of a model, by one scan."""
+    keyed = {(c.model, c.column) for c in checks if c.kind in _KEYED}
+    keyed |= {(c.to_model, c.to_column) for c in checks if c.kind == "relationships"}
+    values, target, slot, sparse = {}, F.lit(None).cast("int"), F.lit(None).cast("int"), []
+    for (owner, column), own in places.items():
+        for t, s in own if owner == model else ():
+            value, name = F.col(f"`{column}`"), f"{t}.{s}"
+            if (model, column) not in keyed:  # only its NULLs matter
+                value = F.when(value.isNotNull(), F.lit(0))
+                sparse.append(name)
+            values[name] = value.cast(kind)
+            here = F.col("cell") == name
+            target, slot = F.when(here, t).otherwise(target), F.when(here, s).otherwise(slot)
+    wide = df.select(*[value.alias(name) for name, value in values.items()])
+    long = wide.unpivot([], [f"`{name}`" for name in values], "cell", "v")
+    if sparse:
+        long = long.where(F.col("v").isNull() | ~F.col("cell").isin(sparse))
+    return long.select(target.alias("target"), slot.alias("slot"), "v")

@@ -11,6 +11,7 @@ from ..operators.quality import Check, run_checks
 from ..sources.landing import read_json_lines
 from ..sources.manifest import Manifest
 from ..sources.registry import entity
+from ..sources.buckets import Buckets
 from ..sources.snapshots import Snapshots
 from .dimension import DIM_GAMES, dim_games, merge_dim_games
 from .marts import all_marts
@@ -64,8 +65,8 @@ def build_all(
     """Write dim_games, fct_game_popularity and the marts; return the models by name.
 
     ``stg_games`` is written first, since the dimension and every bridge read
-    it. The dimension merges the day's games into its current version, unless
-    ``full_refresh`` starts it anew. ``as_views`` writes nothing and names the
+    it. The dimension is kept in buckets of its key and merges the day's games into
+    those they fall into, unless ``full_refresh`` starts it anew. ``as_views`` writes nothing and names the
     models as temporary views. ``keep_versions`` deletes older versions of the
     written tables at the end.
     """
@@ -79,9 +80,15 @@ def build_all(
     built = {"stg_games": materialize(tables, "stg_games", models["stg_games"], as_views)}
     dimensions = {dim: models[f"stg_{dim}"] for _, dim in NAME_ARRAYS.values()}
     new = dim_games(built["stg_games"], dimensions)
-    if not full_refresh:
-        new = merge_dim_games(tables.read("dim_games", DIM_GAMES), new)
-    built["dim_games"] = materialize(tables, "dim_games", new, as_views)
+    keyed = Buckets(spark, root)
+    if as_views:
+        if not full_refresh:
+            new = merge_dim_games(keyed.read("dim_games", DIM_GAMES), new)
+        built["dim_games"] = materialize(tables, "dim_games", new, as_view=True)
+    elif full_refresh:
+        built["dim_games"] = keyed.replace("dim_games", new, "game_id")
+    else:
+        built["dim_games"] = keyed.upsert("dim_games", new, "game_id", "updated_at")
     # The fact needs no labels, so it reads the scores without the join.
     built["fct_game_popularity"] = materialize(
         tables, "fct_game_popularity", fct_game_popularity(read_scores(spark, root)), as_views
@@ -91,7 +98,7 @@ def build_all(
         built[name] = materialize(tables, name, mart, as_views)
     if keep_versions and not as_views:
         for name in built:
-            tables.expire(name, keep_versions)
+            (keyed if name == "dim_games" else tables).expire(name, keep_versions)
     return built
 
 
@@ -102,7 +109,7 @@ def check_all(
     tables = Snapshots(spark, root)
     models = staging_models(spark, root, dt or run_date())
     models["stg_games"] = tables.read("stg_games")
-    models["dim_games"] = tables.read("dim_games", DIM_GAMES)
+    models["dim_games"] = Buckets(spark, root).read("dim_games", DIM_GAMES)
     for name in BRIDGES:
         models[name] = bridge(name, models["stg_games"])
     return run_checks(models, checks)

@@ -9,6 +9,7 @@ The thresholds, weights, row limits and column lists below are fixed values.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
@@ -24,6 +25,7 @@ from ..operators.order import (
     top_n,
     value_counts,
 )
+from ..session import stage
 
 # Columns every game card shows.
 _CARD = ["first_release_date", "game_summary", "cover", "url"]
@@ -33,8 +35,36 @@ def _desc(name: str) -> Column:
     return F.col(name).desc_nulls_last()
 
 
-def _ranked(rows: DataFrame, n: int, order: list[str], output: list[str]) -> DataFrame:
-    return top_n(rows, n, *[_desc(c) for c in order], F.col("game_id").asc()).select(*output)
+@dataclass(frozen=True)
+class Ranking:
+    """The first ``n`` of ``rows`` by ``order``, to be shown with the columns of ``output``.
+
+    ``rows`` has ``game_id`` and what the order needs. The ranking works on narrow rows;
+    texts and name arrays are fetched from the dimension for the winners only.
+    """
+
+    rows: DataFrame
+    n: int
+    order: list[str]
+    output: list[str]
+
+    def by(self) -> list[Column]:
+        return [*[_desc(c) for c in self.order], F.col("game_id").asc()]
+
+    def winners(self, dim: DataFrame) -> DataFrame:
+        """At most ``n`` rows with what the dimension does not hold, and the order."""
+        held = [c for c in dim.columns if c not in ("game_id", *self.order)]
+        kept = [c for c in dict.fromkeys(["game_id", *self.order, *self.output]) if c in self.rows.columns and c not in held]
+        return top_n(self.rows.select(*kept), self.n, *self.by())
+
+    def completed(self, winners: DataFrame, dim: DataFrame) -> DataFrame:
+        """The mart, from its winners and a dimension that has their rows."""
+        missing = [c for c in self.output if c not in winners.columns]
+        complete = dim.select("game_id", *missing).join(F.broadcast(winners), "game_id")
+        return top_n(complete, self.n, *self.by()).select(*self.output)
+
+    def mart(self, dim: DataFrame) -> DataFrame:
+        return self.completed(self.winners(dim), dim)
 
 
 def recent_games(dim: DataFrame, as_of: datetime, n: int = 50) -> DataFrame:
@@ -42,8 +72,12 @@ def recent_games(dim: DataFrame, as_of: datetime, n: int = 50) -> DataFrame:
 
     The stored epoch is compared as it is, so the filter reaches the scan.
     """
+    return _recent(dim, as_of, n).mart(dim)
+
+
+def _recent(dim: DataFrame, as_of: datetime, n: int = 50) -> Ranking:
     released = dim.where(F.col("first_release_date") <= epoch_of(as_of))
-    return _ranked(
+    return Ranking(
         released,
         n,
         ["first_release_date"],
@@ -61,9 +95,13 @@ def recent_games(dim: DataFrame, as_of: datetime, n: int = 50) -> DataFrame:
 
 def top_hyped(dim: DataFrame, as_of: datetime, n: int = 50) -> DataFrame:
     """Most anticipated games that are unreleased at ``as_of`` or have no date."""
+    return _hyped(dim, as_of, n).mart(dim)
+
+
+def _hyped(dim: DataFrame, as_of: datetime, n: int = 50) -> Ranking:
     release = F.col("first_release_date")
     upcoming = dim.where((F.col("hypes") > 0) & (release.isNull() | (release > epoch_of(as_of))))
-    return _ranked(
+    return Ranking(
         upcoming,
         n,
         ["hypes"],
@@ -99,6 +137,10 @@ def rating_stats(dim: DataFrame) -> DataFrame:
 
 def top_rated(dim: DataFrame, n: int = 50, min_votes: int = 5) -> DataFrame:
     """Bayesian average rating of games with at least ``min_votes`` votes."""
+    return _rated(dim, n, min_votes).mart(dim)
+
+
+def _rated(dim: DataFrame, n: int = 50, min_votes: int = 5) -> Ranking:
     rated = dim.where(
         F.col("aggregated_rating").isNotNull() & (F.col("aggregated_rating_count") >= min_votes)
     )
@@ -109,7 +151,7 @@ def top_rated(dim: DataFrame, n: int = 50, min_votes: int = 5) -> DataFrame:
         F.col("min_votes_threshold"),
     )
     weighted = rated.crossJoin(F.broadcast(rating_stats(dim))).withColumn("weighted_rating", score)
-    return _ranked(
+    return Ranking(
         weighted,
         n,
         ["weighted_rating", "aggregated_rating_count"],
@@ -138,21 +180,6 @@ def _with_game(fact: DataFrame, dim: DataFrame, *columns: str) -> DataFrame:
     return fact.join(dim.select("game_id", *columns), "game_id")
 
 
-def _best_games(
-    ranked: DataFrame, dim: DataFrame, n: int, order: list[str], output: list[str]
-) -> DataFrame:
-    """Top ``n`` of ``ranked``, completed from ``dim``.
-
-    The ranking joins and sorts narrow rows; texts and name arrays are fetched
-    for the winners only, by a scan against the ``n`` broadcast rows.
-    """
-    by = [*[_desc(c) for c in order], F.col("game_id").asc()]
-    winners = top_n(ranked, n, *by)
-    missing = [c for c in output if c not in winners.columns]
-    complete = dim.select("game_id", *missing).join(F.broadcast(winners), "game_id")
-    return top_n(complete, n, *by).select(*output)
-
-
 def _having(fact: DataFrame, *metrics: str) -> DataFrame:
     """Rows that have every named metric, as filters a scan can take."""
     return reduce(lambda rows, name: rows.where(F.col(name).isNotNull()), metrics, fact)
@@ -160,12 +187,15 @@ def _having(fact: DataFrame, *metrics: str) -> DataFrame:
 
 def trending_now(dim: DataFrame, fact: DataFrame, n: int = 100) -> DataFrame:
     """Games being played most, with some history of being played."""
+    return _trending(dim, fact, n).mart(dim)
+
+
+def _trending(dim: DataFrame, fact: DataFrame, n: int = 100) -> Ranking:
     active = _having(fact, "playing", "played").where(
         (F.col("playing_percentile") >= 50) & (F.col("played_percentile") >= 20)
     )
-    return _best_games(
+    return Ranking(
         _with_game(active, dim),
-        dim,
         n,
         ["playing_percentile", "playing"],
         [
@@ -187,6 +217,10 @@ def trending_now(dim: DataFrame, fact: DataFrame, n: int = 100) -> DataFrame:
 
 def controversial_games(dim: DataFrame, fact: DataFrame, n: int = 100) -> DataFrame:
     """Games with many negative and many positive reviews."""
+    return _controversial(dim, fact, n).mart(dim)
+
+
+def _controversial(dim: DataFrame, fact: DataFrame, n: int = 100) -> Ranking:
     negative = F.col("negative_reviews_percentile")
     positive = F.col("positive_reviews_percentile")
     total = F.col("total_reviews_percentile")
@@ -200,9 +234,8 @@ def controversial_games(dim: DataFrame, fact: DataFrame, n: int = 100) -> DataFr
             weighted_score([(negative, 0.50), (positive, 0.30), (total, 0.20)]),
         )
     )
-    return _best_games(
+    return Ranking(
         _with_game(divided, dim),
-        dim,
         n,
         ["controversy_score", "steam_total_reviews"],
         [
@@ -229,6 +262,10 @@ def hidden_gems(dim: DataFrame, fact: DataFrame, n: int = 100) -> DataFrame:
     Engagement and the percentiles are never NULL in the fact, so only the
     rating needs a default.
     """
+    return _gems(dim, fact, n).mart(dim)
+
+
+def _gems(dim: DataFrame, fact: DataFrame, n: int = 100) -> Ranking:
     positive = F.col("positive_reviews_percentile")
     engagement = F.col("engagement_percentile")
     total = F.col("total_reviews_percentile")
@@ -251,9 +288,8 @@ def hidden_gems(dim: DataFrame, fact: DataFrame, n: int = 100) -> DataFrame:
             ),
         )
     )
-    return _best_games(
+    return Ranking(
         gems,
-        dim,
         n,
         ["hidden_score", "aggregated_rating", "positive_reviews_percentile"],
         [
@@ -284,6 +320,12 @@ def rising_stars(
     Twitch and velocity are ranked among all games being played, before games
     missing from the dimension drop out and before the activity threshold.
     """
+    return _rising(dim, fact, n, small_rows).mart(dim)
+
+
+def _rising(
+    dim: DataFrame, fact: DataFrame, n: int = 100, small_rows: int = SMALL_ROWS
+) -> Ranking:
     moving = _having(fact, "playing").withColumn(
         "velocity_ratio", guarded_ratio(F.col("playing"), F.col("played"))
     )
@@ -314,9 +356,8 @@ def rising_stars(
             ]
         ),
     )
-    return _best_games(
+    return Ranking(
         rising,
-        dim,
         n,
         ["rising_score", "first_release_date", "playing_percentile"],
         [
@@ -343,13 +384,33 @@ def rising_stars(
 
 
 def all_marts(dim: DataFrame, fact: DataFrame, as_of: datetime) -> dict[str, DataFrame]:
-    return {
-        "mart_recent_games": recent_games(dim, as_of),
-        "mart_top_hyped": top_hyped(dim, as_of),
-        "mart_top_rated": top_rated(dim),
-        "mart_theme_trends": theme_trends(dim),
-        "mart_trending_now": trending_now(dim, fact),
-        "mart_controversial_games": controversial_games(dim, fact),
-        "mart_hidden_gems": hidden_gems(dim, fact),
-        "mart_rising_stars": rising_stars(dim, fact),
+    """All eight marts by name.
+
+    The winners of the seven rankings are found first, on narrow rows, and staged
+    together. Their ids, some hundred at most, then filter the one wide scan of the
+    dimension, where a table sorted by id skips most row groups.
+    """
+    rankings = {
+        "mart_recent_games": _recent(dim, as_of),
+        "mart_top_hyped": _hyped(dim, as_of),
+        "mart_top_rated": _rated(dim),
+        "mart_trending_now": _trending(dim, fact),
+        "mart_controversial_games": _controversial(dim, fact),
+        "mart_hidden_gems": _gems(dim, fact),
+        "mart_rising_stars": _rising(dim, fact),
+    }
+    parts = {name: r.winners(dim) for name, r in rankings.items()}
+    named = [rows.withColumn("_mart", F.lit(name)) for name, rows in parts.items()]
+    winners = stage(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named), "winners")
+    wide = games_of(dim, winners)
+    marts = {
+        name: r.completed(winners.where(F.col("_mart") == name).select(*parts[name].columns), wide)
+        for name, r in rankings.items()
     }
+    return {**marts, "mart_theme_trends": theme_trends(dim)}
+
+
+def games_of(dim: DataFrame, winners: DataFrame) -> DataFrame:
+    """The rows of ``dim`` that ``winners``, the top rows of some marts, name; read once and staged."""
+    ids = [row.game_id for row in winners.select("game_id").distinct().collect()]
+    return stage(dim.where(F.col("game_id").isin(ids)), "shown")

@@ -17,6 +17,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # A filter by many keys is checked against every row group, not only by its extremes.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     # In JSON, a key that an object has twice counts with its last value.
     "spark.sql.variant.allowDuplicateKeys": "true",
     # Recording the call site of every column expression slows plan building.

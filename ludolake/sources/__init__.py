@@ -1,3 +1,4 @@
+from .buckets import Buckets
 from .landing import (
     latest_partition,
     read_entity,
@@ -12,6 +13,7 @@ from .snapshots import Snapshots
 from .state import RunState
 
 __all__ = [
+    "Buckets",
     "ENTITIES",
     "Entity",
     "LOAD_ORDER",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..files import remove, replace_text
+from ..operators.latest import latest_by_key, upsert_latest
 from .logs import Log
 
 LOG = "table string, path string, source string"
@@ -37,6 +38,12 @@ class Snapshots:
         replace_text(self.spark, self.address(table), path[len(self.root) + 1 :])
         return self.spark.read.parquet(path)
 
+    def upsert(self, table: str, new: DataFrame, key: str, order: str, source: str = "") -> DataFrame:
+        """Merge an increment into the table as a whole, latest ``order`` per key."""
+        if self.path(table) is None:
+            return self.replace(table, latest_by_key(new, key, order), source)
+        return self.replace(table, upsert_latest(self.read(table), new, key, order), source)
+
     def address(self, table: str) -> str:
         """The file that names the folder of the current version."""
         return f"{self.root}/current/{table}"

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..operators.latest import latest_by_key, upsert_latest
 from ..sources.landing import parsed
+from ..sources.buckets import Buckets
 from ..sources.snapshots import Snapshots
 
 
@@ -14,7 +14,7 @@ def ingest_available(
     spark: SparkSession,
     landing: str,
     schema: T.StructType,
-    tables: Snapshots,
+    tables: Snapshots | Buckets,
     table: str,
     key: str,
     order: str,
@@ -25,18 +25,14 @@ def ingest_available(
 
     The stream's checkpoint remembers the files it has seen. A batch is named
     in the commit it makes, so a batch repeated after a crash is skipped, and
-    merging keeps the latest row per key, so re-read overlap does no harm.
+    merging keeps the latest row per key, so re-read overlap does no harm. Tables in
+    buckets rewrite only the buckets a batch meets.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         source = f"{checkpoint}#{batch_id}"
-        if tables.applied(table, source):
-            return
-        if tables.path(table) is None:
-            merged = latest_by_key(batch, key, order)
-        else:
-            merged = upsert_latest(tables.read(table), batch, key, order)
-        tables.replace(table, merged, source)
+        if not tables.applied(table, source):
+            tables.upsert(table, batch, key, order, source)
 
     reader = spark.readStream
     if max_files:

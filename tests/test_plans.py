@@ -40,6 +40,7 @@ from ludolake.plans import marts, serving
 from ludolake.plans.build import CHECKS, check_all, read_scores
 from ludolake.plans.dimension import DIM_GAMES
 from ludolake.__main__ import exported
+from ludolake.sources.buckets import Buckets
 from ludolake.plans.loads import changed_since, expire_loads, landed_folders, load_entity, run_log
 from ludolake.plans.staging import NAME_ARRAYS
 from ludolake.sources import LOAD_ORDER, Manifest, RunState, Snapshots, entity, schemas
@@ -422,6 +423,35 @@ def test_suite_reports_broken_models(spark):
     }
 
 
+def test_suite_scans_each_model_once_and_joins_nothing(spark, tmp_path):
+    """Columns that refer to others and are referred to, to several parents, of other types, in empty models."""
+    rows = {
+        "a": spark.createDataFrame([(1, "x", 2), (2, "x", 9), (3, None, None)], "id long, tag string, up long"),
+        "b": spark.createDataFrame([(1,), (1,), (4,), (None,)], "a_id long"),
+        "c": spark.createDataFrame([], "a_id long, tag string"),
+    }
+    models = {}
+    for name, frame in rows.items():
+        frame.write.parquet(f"{tmp_path}/{name}")
+        models[name] = spark.read.schema(frame.schema).parquet(f"{tmp_path}/{name}")
+    checks = [
+        Check("a", "id", "unique"),
+        Check("a", "tag", "unique"),
+        Check("a", "tag", "not_null"),
+        Check("a", "up", "relationships", to_model="a", to_column="id"),
+        Check("a", "id", "relationships", to_model="b", to_column="a_id"),
+        Check("b", "a_id", "relationships", to_model="a", to_column="id"),
+        Check("b", "a_id", "unique"),
+        Check("c", "a_id", "relationships", to_model="a", to_column="id"),
+        Check("c", "tag", "relationships", to_model="a", to_column="tag"),
+        Check("c", "tag", "not_null"),
+    ]
+    report = run_checks(models, checks)
+    plan = plan_of(report)
+    assert plan.count("FileScan") == 3 and "Join" not in plan
+    assert [r.failures for r in report.collect()] == [0, 1, 1, 1, 2, 1, 1, 0, 0, 0]
+
+
 def test_declared_checks():
     kinds = [c.kind for c in CHECKS]
     assert len(CHECKS) == 43
@@ -645,7 +675,7 @@ def test_command_line(spark, root, tmp_path, capsys):
     assert main(arguments) == 1
     out = capsys.readouterr().out
     assert "total_records" in out and "relationships" in out
-    assert Snapshots(spark, root).read("dim_games").count() == 2
+    assert Buckets(spark, root).read("dim_games").count() == 2
     assert main([*arguments, "--load-only", "--full-refresh"]) == 0
     assert Manifest(spark, root).current().where("entity = 'games'").first().total_count == 2
 
