@@ -151,6 +151,13 @@ ALL_SCORES = f"WITH {SCORES} SELECT id, game_id, popularity_type, value FROM sco
 
 FACT_ROWS = f"WITH {FACT} SELECT * FROM fact"
 
+FOUND = f"""
+WITH {DIM}
+SELECT game_name, year(make_timestamp(first_release_date * 1000000)) AS release_year,
+       platform_names, genre_names, game_summary
+FROM dim WHERE game_name ILIKE '%OMER#0000001%%'
+ORDER BY first_release_date DESC, game_id LIMIT 100"""
+
 _CARD = "first_release_date, game_summary, cover, url"
 _RECENT = f"""
   SELECT game_name, first_release_date, platform_names, genre_names, game_summary, cover, url
@@ -389,12 +396,8 @@ FROM games""",
 WITH {DIM}, mart AS ({_RECENT} LIMIT 50)
 SELECT *, strftime(make_timestamp(first_release_date * 1000000), '%Y-%m-%d') AS release_date
 FROM mart ORDER BY first_release_date DESC, game_name LIMIT 10""",
-    "search_names": f"""
-WITH {DIM}
-SELECT game_name, year(make_timestamp(first_release_date * 1000000)) AS release_year,
-       platform_names, genre_names, game_summary
-FROM dim WHERE game_name ILIKE '%OMER#0000001%%'
-ORDER BY first_release_date DESC, game_name LIMIT 100""",
+    "search_names": FOUND,
+    "search_names_indexed": FOUND,
     "search_documents": """
 SELECT md5(text) AS text_hash, lang, source FROM documents WHERE text ILIKE '%LICENSE%'
 ORDER BY n_chars DESC, doc_id LIMIT 100""",

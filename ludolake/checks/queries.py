@@ -287,6 +287,13 @@ def search_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(serving.search_games(_dim(spark, sf_dir), " OMER#0000001% "))
 
 
+def search_names_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search by the table of name grams."""
+    dim = _tabled_dim(spark, sf_dir)
+    grams = stage(serving.name_grams(dim), "grams")
+    return _plain(serving.search_games(dim, " OMER#0000001% ", grams=grams))
+
+
 def search_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same search over whole texts."""
     documents = st.table(spark, sf_dir, "documents").select(
@@ -696,6 +703,7 @@ QUERIES = {
         summary_metrics,
         mart_fetch,
         search_names,
+        search_names_indexed,
         search_documents,
         page_rows,
         page_rows_ranged,

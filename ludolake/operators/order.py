@@ -8,6 +8,7 @@ result is the same row for row.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -177,47 +178,60 @@ def exact_percentile(
 ) -> DataFrame:
     """Continuous percentile of ``value_counts`` rows, as a one-row frame.
 
-    Equal values are one row already, so the final step sees distinct values
-    only. More distinct values than fit one aggregate are range-sorted, and the
-    two rows around the wanted rank are picked from the running counts.
+    Equal values are one row already. While more distinct values are left than fit one
+    aggregate, two passes narrow them down: one estimates values that cut them into equal
+    parts, the other sums the rows below each cut, which tells exactly between which cuts
+    the wanted ranks lie. Only sums leave the tasks, so no value is shuffled before the
+    interval is small.
     """
     counts = counts.select("_value", "_rows")
     if at_most(counts, small_values):
         return counts.agg(F.percentile("_value", F.lit(fraction), F.col("_rows")).alias(output))
 
-    placed = _places(counts, [F.col("_value").asc()], "percentile")
-    sizes = placed.groupBy("_part").agg(F.sum("_rows").alias("_size"))
-    in_order = Window.orderBy("_part")
-    starts = sizes.select(
-        "_part",
-        F.coalesce(
-            F.sum("_size").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_before"),
-        F.sum("_size")
-        .over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        .alias("_total"),
-    )
-    inside = Window.partitionBy("_part").orderBy("_value")
-    spans = (
-        placed.join(F.broadcast(starts), "_part")
-        .withColumn("_end", F.col("_before") + F.sum("_rows").over(inside))
-        .withColumn("_start", F.col("_end") - F.col("_rows"))
-    )
-    rank = F.lit(fraction) * (F.col("_total") - 1)
-    low, high = F.floor(rank), F.ceil(rank)
-
-    def at(position: Column) -> Column:
-        here = (F.col("_start") <= position) & (position < F.col("_end"))
+    total = counts.agg(F.sum("_rows")).first()[0]
+    rank = fraction * (total - 1)
+    low, high = math.floor(rank), math.ceil(rank)
+    inside, before, left = counts, 0, None
+    while True:
+        cuts = inside.agg(
+            F.percentile_approx("_value", F.lit([i / _CUTS for i in range(_CUTS + 1)]), F.lit(100 * _CUTS)).alias("at"),
+            F.count(F.lit(1)).alias("n"),
+        ).first()
+        if cuts["n"] <= max(small_values, 2) or cuts["n"] == left:
+            break
+        left, edges = cuts["n"], sorted(set(cuts["at"]))
+        value = F.col("_value")
+        sums = inside.agg(
+            *[F.sum(F.when(value < e, F.col("_rows"))).alias(f"below{i}") for i, e in enumerate(edges)],
+            *[F.sum(F.when(value <= e, F.col("_rows"))).alias(f"upto{i}") for i, e in enumerate(edges)],
+        ).first()
+        below = [before + (sums[f"below{i}"] or 0) for i in range(len(edges))]
+        upto = [before + (sums[f"upto{i}"] or 0) for i in range(len(edges))]
+        first = max((i for i, n in enumerate(below) if n <= low), default=None)
+        last = min((i for i, n in enumerate(upto) if n > high), default=None)
+        if first is not None:
+            inside, before = inside.where(value >= edges[first]), below[first]
+        if last is not None:
+            inside = inside.where(value <= edges[last])
+
+    # So few values that one task may put them in order.
+    running = F.sum("_rows").over(Window.orderBy("_value"))
+    spans = inside.withColumn("_end", running + F.lit(before))
+
+    def at(position: int) -> Column:
+        here = (F.col("_end") - F.col("_rows") <= position) & (F.lit(position) < F.col("_end"))
         return F.max(F.when(here, F.col("_value")))
 
-    picked = spans.agg(
-        at(low).alias("_low"), at(high).alias("_high"), F.max(rank - low).alias("_share")
-    )
+    picked = spans.agg(at(low).alias("_low"), at(high).alias("_high"))
     return picked.select(
-        (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_share")).alias(output)
+        (F.col("_low") + (F.col("_high") - F.col("_low")) * F.lit(float(rank - low))).alias(output)
     )
 
 
+#: Parts into which one round of ``exact_percentile`` cuts the values that are left.
+_CUTS = 32
+
+
 def top_n(df: DataFrame, n: int, *order: Column) -> DataFrame:
     """First ``n`` rows in ``order``; each task keeps only its own best ``n``."""
     return df.orderBy(*order).limit(n)

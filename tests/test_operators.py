@@ -235,6 +235,22 @@ def test_exact_percentile_both_ways(spark, values, fraction):
         assert exact_percentile(counts, fraction, "p", small).first().p == pytest.approx(want)
 
 
+@pytest.mark.parametrize("fraction", [0.0, 0.25, 0.4, 0.999, 1.0])
+def test_exact_percentile_of_many_values_narrows_down(spark, fraction):
+    """A third of the rows on one value, far outliers, and more values than one round can tell apart."""
+    df = spark.range(30_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 17.5D WHEN id % 1000 = 1 THEN id * 1e12 ELSE (id * 7919 % 20011) / 8D - 900 END AS v"
+    )
+    want = df.agg(F.percentile("v", F.lit(fraction))).first()[0]
+    counts = value_counts(df, "v")
+    found = exact_percentile(counts, fraction, "p", small_values=100)
+    assert found.first().p == pytest.approx(want, rel=1e-12)
+    # Only the interval that is left goes to one task; all values are filtered where they lie.
+    plan = plan_of(exact_percentile(counts, fraction, "p", small_values=100))
+    assert "rangepartitioning" not in plan and "hashpartitioning" not in plan
+    assert "PushedFilters: [" in plan and "_value," in plan.split("PushedFilters: [")[1]
+
+
 # --- Pivot
 
 
