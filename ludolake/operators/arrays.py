@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import at_most
@@ -87,27 +88,51 @@ def assemble_name_arrays(
     return games.join(arrays, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
 
 
+#: Ids are dense if they span at most so many places for each name.
+_SPREAD = 8
+
+
 def lookup_name_arrays(games: DataFrame, kinds: Mapping[str, tuple[str, DataFrame]]) -> DataFrame:
-    """The same arrays with no shuffle, for dimensions of at most a few thousand rows.
+    """The same arrays with neither a shuffle nor a join, for dimensions of at most a few thousand rows.
 
-    The dimensions travel as one broadcast row of id-to-name maps and each id
-    array is translated in place. The caller checks the size of the dimensions.
+    The names become constants of the plan, so no row carries them along, and each id
+    array is translated in place. Names of dense ids stand in an array at the place of
+    their id; those of sparse ids in short lists by the remainder of their id, so the
+    time for a name does not grow with the dimension. The caller checks the size of the
+    dimensions, which this collects.
     """
     dimension = _dimension_rows([rows for _, rows in kinds.values()])
-    entries = [
-        F.expr(f"array_sort(collect_list(struct(dim_id, name)) FILTER (WHERE kind = {kind})) AS _e{kind}")
-        for kind in range(len(kinds))
-    ]
-    # Of a repeated id the last entry in order, that with the greatest name, counts.
-    maps = [
-        f"map_from_entries(filter(_e{kind}, (e, i) -> "
-        f"i + 1 = size(_e{kind}) OR get(_e{kind}, i + 1).dim_id <> e.dim_id)) AS _names{kind}"
-        for kind in range(len(kinds))
-    ]
-    names = F.broadcast(dimension.groupBy().agg(*entries).selectExpr(*maps))
+    known: list[dict[int, str | None]] = [{} for _ in kinds]
+    # Of a repeated id the greatest name counts.
+    for row in dimension.groupBy("kind", "dim_id").agg(F.max("name").alias("name")).collect():
+        known[row.kind][row.dim_id] = row.name
     translated = [
-        f"CASE WHEN size({ids}) > 0 THEN "
-        f"transform({ids}, x -> try_element_at(_names{kind}, cast(x AS bigint))) END AS {output}"
-        for kind, (output, (ids, _)) in enumerate(kinds.items())
+        F.when(F.size(ids) > 0, F.transform(ids, _translation(names))).alias(output)
+        for names, (output, (ids, _)) in zip(known, kinds.items())
     ]
-    return games.crossJoin(names).selectExpr(*games.columns, *translated)
+    return games.select("*", *translated)
+
+
+def _translation(names: Mapping[int, str | None]):
+    """What turns an id into its name, or NULL."""
+    if not names:
+        return lambda x: F.lit(None).cast("string")
+    low, high = min(names), max(names)
+    if high - low <= _SPREAD * len(names):
+        at = _constant([names.get(i) for i in range(low, high + 1)], "array<string>")
+        return lambda x: F.when(x.between(low, high), F.get(at, (x - low).cast("int")))
+    slots: list[list] = [[] for _ in names]
+    for i, name in names.items():
+        slots[i % len(slots)].append({"i": i, "n": name})
+    by = _constant(slots, "array<array<struct<i: bigint, n: string>>>")
+
+    def sparse(x):
+        slot = F.get(by, F.pmod(x, F.lit(len(slots))).cast("int"))
+        return F.get(F.filter(slot, lambda e: e["i"] == x), F.lit(0))["n"]
+
+    return sparse
+
+
+def _constant(value, kind: str) -> Column:
+    """A value of a nested type that the optimizer folds into the plan."""
+    return F.from_json(F.lit(json.dumps(value)), kind)

@@ -170,6 +170,18 @@ def test_lookup_does_not_shuffle_games(games, genres):
     )
 
 
+@pytest.mark.parametrize("step, start", [(1, 0), (1, -3), (5, 100), (1_000_003, -7), (2**55, -(2**62))])
+def test_dense_and_sparse_ids_find_the_same_names(spark, step, start):
+    ids = [start + step * i for i in range(90)]
+    dimension = spark.createDataFrame([(i, f"n{i}") for i in ids if i % 7], "id long, name string")
+    asked = [ids[3], ids[80], None, ids[0] - 1, ids[0], ids[89], 2**63 - 1, -(2**63), ids[3], ids[1] + 1]
+    games = spark.createDataFrame([(1, asked), (2, []), (3, None)], "id long, genres array<bigint>")
+    kinds = {"genre_names": ("genres", dimension), "again": ("genres", dimension.limit(1))}
+    known = set(ids) - {i for i in ids if i % 7 == 0}
+    got = {r.id: r.genre_names for r in lookup_name_arrays(games, kinds).collect()}
+    assert got == {1: [f"n{i}" if i in known else None for i in asked], 2: None, 3: None}
+
+
 def test_name_arrays_with_an_empty_dimension(games, genres):
     none = genres.limit(0)
     for build in (assemble_name_arrays, lookup_name_arrays):
