@@ -258,6 +258,14 @@ def _load_sizes() -> str:
     return f"WITH {MODEL} {rows}"
 
 
+def _model_sizes() -> str:
+    counts = {"stg_games": "games", "stg_popscore": "events", "stg_popularity_types": "range(11)"}
+    counts.update({f"stg_{dimension}": table for dimension, table, *_ in _DIMENSIONS})
+    counts.update({bridge: f"(SELECT unnest({ids}) FROM games)" for bridge, ids in _BRIDGES})
+    rows = "\nUNION ALL ".join(f"SELECT '{name}' AS name, count(*) AS n_rows FROM {rows}" for name, rows in counts.items())
+    return f"WITH {GAMES} {rows}"
+
+
 ORACLE = {
     "latest_by_key": LATEST,
     "upsert_latest": MERGED,
@@ -275,6 +283,7 @@ SELECT id, name, slug, summary, game_type, CAST(NULL AS BIGINT) AS parent_game,
        CAST(NULL AS VARCHAR) AS screenshots, CAST(NULL AS VARCHAR) AS websites,
        hypes, aggregated_rating, aggregated_rating_count
 FROM games""",
+    "stg_games_nameless": f"WITH {GAMES} SELECT id, name, updated_at FROM games WHERE id % 7 <> 0",
     "stg_dimensions": "\nUNION ALL ".join(
         f"SELECT '{entity}' AS entity, CAST({key} AS BIGINT) AS id, {name} AS name, CAST(2 AS BIGINT) AS updated_at FROM {table}"
         for entity, table, key, name in _DIMENSIONS
@@ -292,7 +301,26 @@ SELECT * FROM bridge WHERE game_id IN (SELECT c_custkey FROM customer WHERE c_ac
 WITH {DIM}
 SELECT game_id AS id, platform_names, genre_names, game_mode_names, theme_names, perspective_names FROM dim""",
     "dim_games": f"WITH {DIM} SELECT * FROM dim",
-    "source_filter": ALL_SCORES + " WHERE popularity_type IN (1,2,3,4,5,6,7,8,9,10,34)",
+    "source_filter": ALL_SCORES + " WHERE id % 5 NOT IN (0, 1)",
+    "type_label_unknown": f"""
+WITH {SCORES},
+types AS (
+  SELECT id, name, CASE WHEN id % 2 = 0 THEN source WHEN id % 3 = 0 THEN 7 END AS source
+  FROM (VALUES {', '.join(f"({t}, '{name}', {121 if t <= 4 else 6 if t == 34 else 1})" for t, name in _METRICS)}) AS v(id, name, source)),
+coded AS (SELECT * REPLACE (CASE WHEN id % 4 = 0 THEN 77 ELSE popularity_type END AS popularity_type) FROM scores)
+SELECT s.id, s.game_id, s.popularity_type, s.value, t.name AS popularity_type_name,
+       CAST(t.source AS BIGINT) AS external_popularity_source,
+       CASE t.source WHEN 121 THEN 'IGDB' WHEN 1 THEN 'Steam' WHEN 6 THEN 'Twitch' ELSE 'Unknown' END AS data_source,
+       CASE WHEN s.popularity_type <= 4 THEN 'User Engagement' WHEN s.popularity_type <= 8 THEN 'Steam Metrics'
+            WHEN s.popularity_type <= 10 THEN 'Steam Wishlist' WHEN s.popularity_type = 34 THEN 'Streaming' ELSE 'Other' END AS metric_category
+FROM coded s LEFT JOIN types t ON s.popularity_type = t.id""",
+    "stg_popularity_types": f"""
+WITH {SCORES}
+SELECT CAST(id AS BIGINT) AS id, name, CAST(source AS BIGINT) AS external_popularity_source,
+       CAST(NULL AS BIGINT) AS popularity_source, CAST(NULL AS BIGINT) AS created_at,
+       CAST(2 AS BIGINT) AS updated_at, CAST(NULL AS VARCHAR) AS checksum
+FROM (VALUES {', '.join(f"({t}, '{name}', {121 if t <= 4 else 6 if t == 34 else 1})" for t, name in _METRICS)}) AS v(id, name, source)
+WHERE id IN (SELECT popularity_type FROM scores)""",
     "type_label_join": f"""
 WITH {SCORES},
 types AS (
@@ -424,6 +452,7 @@ SELECT shape, id, CAST(game_id AS BIGINT) AS game_id, CASE WHEN id % 10 <> 4 THE
        CASE WHEN id % 10 NOT IN (0, 1) THEN value END AS value
 FROM scores, (VALUES ('lines'), ('arrays')) AS v(shape) WHERE id % 10 NOT IN (2, 5)""",
     "batched_write": "SELECT count(*) AS n_rows, CAST(1 AS BIGINT) AS bound_held FROM events",
+    "hidden_paths": f"WITH {SCORES} SELECT * FROM scores",
     "partition_replace": f"""
 WITH {SCORES}
 SELECT id, game_id, popularity_type, CASE WHEN dt = '2024-01-15' THEN 0.5::DOUBLE ELSE value END AS value, dt
@@ -449,6 +478,12 @@ SELECT c_custkey AS entity,
        CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(t AS VARCHAR) END AS since
 FROM customer LEFT JOIN states ON user_id = c_custkey""",
     "load_run": _load_sizes(),
+    "load_increment": f"""
+WITH {DIM}
+SELECT game_id, CASE WHEN game_id % 3 = 0 THEN game_name || ' II' ELSE game_name END AS game_name,
+       CASE WHEN game_id % 3 = 0 THEN CAST(epoch(TIMESTAMP '2100-01-01') AS BIGINT) ELSE updated_at END AS updated_at, platform_names
+FROM dim WHERE game_id % 5 <> 0 OR game_id % 3 = 0""",
+    "build_models": _model_sizes(),
     "dq_not_null": f"WITH {DIM} SELECT game_id, game_name FROM dim WHERE hypes IS NULL",
     "dq_unique": "SELECT o_custkey, count(*) AS n_rows FROM orders GROUP BY 1 HAVING count(*) > 1",
     "dq_relationships": f"""

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
+from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,6 +104,15 @@ def stg_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(staging.stg_games(older.unionByName(games)))
 
 
+def stg_games_nameless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A game whose latest version has no name is left out, whatever its older ones say."""
+    games = st.raw_games(spark, sf_dir)
+    newer = games.where("id % 7 = 0").withColumns(
+        {"name": F.lit(None).cast("string"), "updated_at": F.col("updated_at") + 1}
+    )
+    return staging.stg_games(newer.unionByName(games)).select("id", "name", "updated_at")
+
+
 def stg_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five dimensions staged from two versions of each row."""
     parts = None
@@ -173,13 +183,33 @@ def dim_games(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return popularity.wanted_scores(st.raw_scores(spark, sf_dir))
+    """A fifth of the scores has a code that is not wanted, another fifth none."""
+    code = F.when(F.col("id") % 5 == 0, 99).when(F.col("id") % 5 != 1, F.col("popularity_type"))
+    return popularity.wanted_scores(st.raw_scores(spark, sf_dir).withColumn("popularity_type", code))
 
 
 def type_label_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return popularity.stg_popscore(st.raw_scores(spark, sf_dir), st.popularity_types(spark))
 
 
+def type_label_unknown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores whose type is not known, and types of a source that is not."""
+    code = F.when(F.col("id") % 4 == 0, F.lit(77).cast("long")).otherwise(F.col("popularity_type"))
+    scores = st.raw_scores(spark, sf_dir).withColumn("popularity_type", code)
+    source = F.when(F.col("id") % 2 == 0, F.col("external_popularity_source")).when(F.col("id") % 3 == 0, 7)
+    types = st.popularity_types(spark).withColumn("external_popularity_source", source)
+    return popularity.stg_popscore(scores, types)
+
+
+def stg_popularity_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The types of the scores, landed twice; the older rows have another name."""
+    found = st.raw_scores(spark, sf_dir).select("popularity_type").distinct()
+    types = st.popularity_types(spark).join(found, F.col("id") == F.col("popularity_type"), "left_semi")
+    newer = _landable("popularity_types", types).withColumn("updated_at", F.lit(2).cast("long"))
+    older = newer.withColumns({"name": F.lit("old"), "updated_at": F.lit(1).cast("long")})
+    return _plain(staging.stg_popularity_types(older.unionByName(newer)))
+
+
 def metric_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(pivot.pivot_metrics(st.raw_scores(spark, sf_dir)))
 
@@ -441,6 +471,15 @@ def batched_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hidden_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed dates beside a load that is still under way and a manifest of another tool, which are no data."""
+    base = _landed_by_date(spark, sf_dir)
+    scores = st.raw_scores(spark, sf_dir)
+    scores.write.json(f"{base}/dt=2024-01-15/_temp_1")
+    scores.write.json(f"{base}/dt=2024-01-15/.hidden")
+    return landing.read_entity(spark, base, schemas.POPSCORE)
+
+
 def partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every date landed once, then one date again with other values."""
     base = _landed_by_date(spark, sf_dir)
@@ -591,6 +630,41 @@ def load_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes.unionByName(loaded)
 
 
+def load_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension after a second day on which a third of the games changed and some are new."""
+    root = work_path(spark, "lake")
+    games = st.raw_games(spark, sf_dir)
+    dims = {name: _landable(name, rows) for name, rows in st.dimensions(spark, sf_dir).items()}
+    loads.load_all(spark, root, {**dims, "games": games.where("id % 5 <> 0")}, dt="2024-02-01")
+    build.build_all(spark, root, dt="2024-02-01", as_of=st.AS_OF)
+    later = F.lit(_epoch(2100, 1, 1))
+    changed = games.withColumns(
+        {
+            "updated_at": F.when(F.col("id") % 3 == 0, later).otherwise(F.col("updated_at")),
+            "name": F.when(F.col("id") % 3 == 0, F.concat("name", F.lit(" II"))).otherwise("never read"),
+        }
+    )
+    loads.load_all(spark, root, {**dims, "games": changed}, dt="2024-02-02")
+    tables = build.build_all(spark, root, dt="2024-02-02", as_of=st.AS_OF)
+    return _plain(tables["dim_games"].select("game_id", "game_name", "updated_at", "platform_names"))
+
+
+def build_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every model of a build, staging models and bridges among them."""
+    root = work_path(spark, "lake")
+    sources = {
+        **{name: _landable(name, rows) for name, rows in st.dimensions(spark, sf_dir).items()},
+        "games": st.raw_games(spark, sf_dir),
+        "popscore": st.raw_scores(spark, sf_dir),
+        "popularity_types": _landable("popularity_types", st.popularity_types(spark)),
+    }
+    loads.load_all(spark, root, sources, dt="2024-02-01")
+    tables = build.build_all(spark, root, dt="2024-02-01", as_of=st.AS_OF, every_model=True)
+    names = [name for name in tables if name.startswith("stg_")]
+    sizes = [tables[name].agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n_rows")) for name in names]
+    return reduce(DataFrame.unionByName, sizes)
+
+
 def _landable(name: str, rows: DataFrame) -> DataFrame:
     for field in ENTITIES[name].schema.fields:
         if field.name not in rows.columns:
@@ -678,7 +752,9 @@ QUERIES = {
         upsert_latest_shuffled,
         upsert_buckets,
         stg_games,
+        stg_games_nameless,
         stg_dimensions,
+        stg_popularity_types,
         bridge_explode,
         bridge_all,
         bridge_semi_join,
@@ -686,6 +762,7 @@ QUERIES = {
         dim_games,
         source_filter,
         type_label_join,
+        type_label_unknown,
         metric_pivot,
         fct_game_popularity,
         fct_game_popularity_ranged,
@@ -717,6 +794,7 @@ QUERIES = {
         json_lines_roundtrip,
         json_malformed,
         batched_write,
+        hidden_paths,
         partition_replace,
         manifest_scan,
         manifest_refresh,
@@ -726,6 +804,8 @@ QUERIES = {
         stream_upsert,
         state_modes,
         load_run,
+        load_increment,
+        build_models,
         dq_not_null,
         dq_unique,
         dq_relationships,

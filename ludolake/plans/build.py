@@ -61,13 +61,15 @@ def build_all(
     full_refresh: bool = False,
     as_views: bool = False,
     keep_versions: int | None = None,
+    every_model: bool = False,
 ) -> dict[str, DataFrame]:
     """Write dim_games, fct_game_popularity and the marts; return the models by name.
 
     ``stg_games`` is written first, since the dimension and every bridge read
     it. The dimension is kept in buckets of its key and merges the day's games into
     those they fall into, unless ``full_refresh`` starts it anew. ``as_views`` writes nothing and names the
-    models as temporary views. ``keep_versions`` deletes older versions of the
+    models as temporary views, staging models and bridges among them; ``every_model``
+    writes these as tables too. ``keep_versions`` deletes older versions of the
     written tables at the end.
     """
     dt = dt or run_date()
@@ -78,6 +80,11 @@ def build_all(
     models = staging_models(spark, root, dt)
 
     built = {"stg_games": materialize(tables, "stg_games", models["stg_games"], as_views)}
+    if every_model or as_views:
+        models.update({name: bridge(name, built["stg_games"]) for name in BRIDGES})
+        for name, model in models.items():
+            if name != "stg_games":
+                built[name] = materialize(tables, name, model, as_views)
     dimensions = {dim: models[f"stg_{dim}"] for _, dim in NAME_ARRAYS.values()}
     new = dim_games(built["stg_games"], dimensions)
     keyed = Buckets(spark, root)
