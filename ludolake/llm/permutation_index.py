@@ -6,6 +6,12 @@ A query walks the files of its own pivots and adds up, for each vector met, what
 the shared pivots take off the footrule distance of the two truncated orders; the
 share with the least distance is reranked by the exact measure.
 
+Nearness is the inner product, so vectors get one more coordinate that brings all of
+them to the length of the longest; among these the inner product orders as the angle
+does. How large a share is reranked is measured, not assumed: on a bounded sample the
+true neighbours are looked up in the order of the index, and the share is what holds
+``HELD`` of them. A block of few rows is treated like one of many.
+
 Vectors are dealt to blocks of bounded size, each with inverted files of its own;
 blocks of queries meet every block. Only the best ``k`` of each meeting travel on.
 """
@@ -22,9 +28,10 @@ from .common import table
 
 PIVOTS = 192
 NEAR = 64
-#: Share of each block that is reranked, and the least number.
-SHARE = 0.12
-LEAST = 256
+#: Rows and queries of the sample on which the share is measured, and the part of their true neighbours it must hold.
+SAMPLE = 4096
+SAMPLE_QUERIES = 96
+HELD = 0.97
 BLOCK = 4096
 QUERY_BLOCK = 2048
 
@@ -48,10 +55,28 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
 
 
-def candidates(queries: np.ndarray, orders: np.ndarray, pivots: int, share: float, least: int):
+def _lengthened(matrix: np.ndarray, scale: float, longest: float, asked: bool) -> np.ndarray:
+    """Unit vectors whose angles to each other order rows as the inner product with a query does."""
+    matrix = matrix / scale
+    rest = np.zeros(len(matrix)) if asked else np.sqrt(np.maximum(longest**2 - (matrix * matrix).sum(1), 0))
+    return _unit(np.concatenate([matrix, rest[:, None]], 1))
+
+
+def measured_share(sample: np.ndarray, orders: np.ndarray, asks: np.ndarray, who: np.ndarray, pivots: int, k: int) -> float:
+    """The share of rows, in the order of the index, that holds ``HELD`` of the true ``k`` neighbours of the sample's queries."""
+    places = []
+    for i, order in zip(who, candidates(asks, orders, pivots, 1.0)):
+        order = order[order != i]
+        scores = sample[order] @ sample[i]
+        best = np.argsort(-scores, kind="stable")[:k]
+        places.extend((best + 1) / max(len(order), 1))
+    return float(np.quantile(places, HELD)) if places else 1.0
+
+
+def candidates(queries: np.ndarray, orders: np.ndarray, pivots: int, share: float):
     """For each row of query orders, the rows of ``orders`` with the least footrule distance (ties: first rows)."""
     rows, near = orders.shape
-    keep = min(rows, max(least, int(np.ceil(share * rows))))
+    keep = min(rows, int(np.ceil(share * rows)) + 1)
     flat = orders.ravel()
     by = np.argsort(flat, kind="stable")
     ends = np.searchsorted(flat[by], np.arange(pivots + 1))
@@ -61,9 +86,6 @@ def candidates(queries: np.ndarray, orders: np.ndarray, pivots: int, share: floa
         for rank, pivot in enumerate(order):
             who, weight = files[pivot]
             gain[who] += np.minimum(weight, near - rank)
-        if keep == rows:
-            yield np.arange(rows)
-            continue
         # Rows are in order of id, so equal distances keep the smaller ids.
         yield np.argsort(-gain, kind="stable")[:keep]
 
@@ -78,17 +100,30 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     """
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vector_col).distinct()
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(4 * PIVOTS).select("v").collect()  # bounded: the pivots
-    chosen = list(dict.fromkeys(tuple(r["v"]) for r in sample))
-    size = max(map(len, chosen), key=[len(v) for v in chosen].count, default=0)
-    chosen = [v for v in chosen if len(v) == size][:PIVOTS]
-    if not chosen:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    pivots = spark.sparkContext.broadcast(_unit(np.array(chosen)))
-    near = min(NEAR, len(chosen))
-
+    none = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").collect()  # bounded
+    drawn = [tuple(r["v"]) for r in sample]
+    size = max(map(len, drawn), key=[len(v) for v in drawn].count, default=0)
+    drawn = [v for v in drawn if len(v) == size]
+    if not drawn:
+        return none
     rows = stage(rows.where(F.size("v") == size), "vectors")
     count = rows.count()
+    scale = rows.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0]
+    square = F.aggregate("v", F.lit(0.0), lambda t, x: t + (x / scale) * (x / scale))
+    longest = float(np.sqrt(rows.agg(F.max(square)).first()[0]))
+
+    chosen = np.array(list(dict.fromkeys(drawn))[:PIVOTS])
+    near = min(NEAR, len(chosen))
+    pivots = spark.sparkContext.broadcast(_lengthened(chosen, scale, longest, False))
+    drawn = np.array(drawn)
+    who = np.arange(min(SAMPLE_QUERIES, len(drawn)))
+    share = measured_share(
+        drawn / scale,
+        _orders(_lengthened(drawn, scale, longest, False), pivots.value, near),
+        _orders(_lengthened(drawn[who], scale, longest, True), pivots.value, near),
+        who, len(chosen), k,
+    )
     asked = rows.where(is_query(F.col("id")))
     blocks, groups = max(1, -(-count // BLOCK)), max(1, -(-asked.count() // QUERY_BLOCK))
     deal = lambda n: F.pmod(F.xxhash64("id"), F.lit(n))
@@ -106,16 +141,28 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
         found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
         if len(q) and len(b):
             base, own = flat[b], ids[b]
-            orders = _orders(_unit(base), pivots.value, near)
-            asks = _orders(_unit(flat[q]), pivots.value, near)
-            for i, rows in zip(q, candidates(asks, orders, len(pivots.value), SHARE, LEAST)):
+            orders = _orders(_lengthened(base, scale, longest, False), pivots.value, near)
+            asks = _orders(_lengthened(flat[q], scale, longest, True), pivots.value, near)
+            sizes = np.abs(base).max(1)
+            for i, rows in zip(q, candidates(asks, orders, len(pivots.value), share)):
                 rows = rows[own[rows] != ids[i]]
+                if len(np.unique(own[rows])) < k:  # rows of one id crowd the others out
+                    rows = np.flatnonzero(own != ids[i])
                 scores = base[rows] @ flat[i]
-                if len(rows) > k:
-                    cut = np.partition(scores, len(rows) - k)[len(rows) - k]
-                    rows, scores = rows[scores >= cut - 1e-9 * abs(cut)], scores[scores >= cut - 1e-9 * abs(cut)]
+                # The best row of each id; an id that is not among the k best of them goes.
+                each, where = np.unique(own[rows], return_inverse=True)
+                best = np.full(len(each), -np.inf)
+                np.maximum.at(best, where, scores)
+                if len(each) > k:
+                    # The product is summed in another order here, so it may be off by this much.
+                    slack = 1e-12 * size * np.abs(flat[i]).max() * sizes[rows].max()
+                    cut = np.partition(best, len(each) - k)[len(each) - k]
+                    rows = rows[scores >= cut - slack]
                 found.append((np.full(len(rows), ids[i]), own[rows], np.array([exact(flat[i], base[r]) for r in rows])))
         a, c, s = (np.concatenate(x) for x in zip(*found))
+        first = np.lexsort((-s, c, a))
+        once = first[np.r_[True, (a[first][1:] != a[first][:-1]) | (c[first][1:] != c[first][:-1])]] if len(first) else first
+        a, c, s = a[once], c[once], s[once]
         best = np.lexsort((c, -s, a))
         rank = np.arange(len(best)) - np.searchsorted(a[best], a[best])
         best = best[rank < k]
