@@ -27,7 +27,7 @@ from ..session import stage
 from .common import table
 
 PIVOTS = 192
-NEAR = 64
+NEAR = 8
 #: Rows and queries of the sample on which the share is measured, and the part of their true neighbours it must hold.
 SAMPLE = 4096
 SAMPLE_QUERIES = 96
@@ -65,7 +65,8 @@ def _lengthened(matrix: np.ndarray, scale: float, longest: float, asked: bool) -
 def measured_share(sample: np.ndarray, orders: np.ndarray, asks: np.ndarray, who: np.ndarray, pivots: int, k: int) -> float:
     """The share of rows, in the order of the index, that holds ``HELD`` of the true ``k`` neighbours of the sample's queries."""
     places = []
-    for i, order in zip(who, candidates(asks, orders, pivots, 1.0)):
+    for i, gain in zip(who, gains(asks, orders, pivots)):
+        order = np.argsort(-gain, kind="stable")
         order = order[order != i]
         scores = sample[order] @ sample[i]
         best = np.argsort(-scores, kind="stable")[:k]
@@ -73,10 +74,9 @@ def measured_share(sample: np.ndarray, orders: np.ndarray, asks: np.ndarray, who
     return float(np.quantile(places, HELD)) if places else 1.0
 
 
-def candidates(queries: np.ndarray, orders: np.ndarray, pivots: int, share: float):
-    """For each row of query orders, the rows of ``orders`` with the least footrule distance (ties: first rows)."""
+def gains(queries: np.ndarray, orders: np.ndarray, pivots: int):
+    """For each row of query orders, what each row of ``orders`` saves of the greatest footrule distance."""
     rows, near = orders.shape
-    keep = min(rows, int(np.ceil(share * rows)) + 1)
     flat = orders.ravel()
     by = np.argsort(flat, kind="stable")
     ends = np.searchsorted(flat[by], np.arange(pivots + 1))
@@ -86,8 +86,21 @@ def candidates(queries: np.ndarray, orders: np.ndarray, pivots: int, share: floa
         for rank, pivot in enumerate(order):
             who, weight = files[pivot]
             gain[who] += np.minimum(weight, near - rank)
+        yield gain
+
+
+def candidates(queries: np.ndarray, orders: np.ndarray, pivots: int, share: float):
+    """For each row of query orders, the rows of ``orders`` with the least footrule distance (ties: first rows)."""
+    rows = len(orders)
+    keep = min(rows, int(np.ceil(share * rows)) + 1)
+    for gain in gains(queries, orders, pivots):
+        if keep == rows:
+            yield np.arange(rows)
+            continue
         # Rows are in order of id, so equal distances keep the smaller ids.
-        yield np.argsort(-gain, kind="stable")[:keep]
+        least = np.partition(gain, rows - keep)[rows - keep]
+        above = np.flatnonzero(gain > least)
+        yield np.concatenate([above, np.flatnonzero(gain == least)[: keep - len(above)]])
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -144,19 +157,20 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
             orders = _orders(_lengthened(base, scale, longest, False), pivots.value, near)
             asks = _orders(_lengthened(flat[q], scale, longest, True), pivots.value, near)
             sizes = np.abs(base).max(1)
+            single = (own[1:] != own[:-1]).all()
             for i, rows in zip(q, candidates(asks, orders, len(pivots.value), share)):
                 rows = rows[own[rows] != ids[i]]
-                if len(np.unique(own[rows])) < k:  # rows of one id crowd the others out
+                if len(rows) < k or not single and len(np.unique(own[rows])) < k:  # rows of one id crowd the others out
                     rows = np.flatnonzero(own != ids[i])
-                scores = base[rows] @ flat[i]
-                # The best row of each id; an id that is not among the k best of them goes.
-                each, where = np.unique(own[rows], return_inverse=True)
-                best = np.full(len(each), -np.inf)
-                np.maximum.at(best, where, scores)
-                if len(each) > k:
+                best = scores = base[rows] @ flat[i]
+                if not single:  # the best row of each id; an id that is not among the k best of them goes
+                    each, where = np.unique(own[rows], return_inverse=True)
+                    best = np.full(len(each), -np.inf)
+                    np.maximum.at(best, where, scores)
+                if len(best) > k:
                     # The product is summed in another order here, so it may be off by this much.
                     slack = 1e-12 * size * np.abs(flat[i]).max() * sizes[rows].max()
-                    cut = np.partition(best, len(each) - k)[len(each) - k]
+                    cut = np.partition(best, len(best) - k)[len(best) - k]
                     rows = rows[scores >= cut - slack]
                 found.append((np.full(len(rows), ids[i]), own[rows], np.array([exact(flat[i], base[r]) for r in rows])))
         a, c, s = (np.concatenate(x) for x in zip(*found))
