@@ -516,3 +516,5 @@ SELECT event_type AS entity, strftime(date_trunc('second', max(ts)), '%Y-%m-%dT%
        '2024-02-01T12:00:00+00:00' AS updated_at, CAST(epoch_us(max(ts)) // 1000000 AS BIGINT) AS last_run
 FROM events WHERE event_type <> 'view' GROUP BY event_type""",
 }
+
+ORACLE["mart_rising_ranged"] = ORACLE["mart_rising"]

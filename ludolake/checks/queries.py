@@ -293,6 +293,12 @@ def mart_rising(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(marts.rising_stars(_tabled_dim(spark, sf_dir), fact))
 
 
+def mart_rising_ranged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The path games too many for one task take."""
+    fact = stage(_fact(spark, sf_dir, small_rows=0), "fact")
+    return _plain(marts.rising_stars(_tabled_dim(spark, sf_dir), fact, small_rows=0))
+
+
 # --- Serving -----------------------------------------------------------------
 
 
@@ -777,6 +783,7 @@ QUERIES = {
         mart_controversial,
         mart_hidden_gems,
         mart_rising,
+        mart_rising_ranged,
         summary_metrics,
         mart_fetch,
         search_names,
