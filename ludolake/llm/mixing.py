@@ -198,7 +198,10 @@ def mixed_documents(docs: DataFrame, key: int = 0) -> DataFrame:
     turns = named.join(turns.withColumnRenamed("row", "_row"), "_row").groupBy("_id", "_digest", "_source")
     turns = turns.agg(F.flatten(F.collect_list("_turns")).alias("_turns")).withColumn("_key", key)
     digest = F.xxhash64(F.col("text"))
-    keyed = docs.withColumn("_at", F.xxhash64(F.col("doc_id"), digest, F.col("source")))
+    # Columns of the documents, whatever their names, travel in one of ours.
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("_doc")
+    keyed = docs.select("doc_id", "text", "source", others)
+    keyed = keyed.withColumn("_at", F.xxhash64(F.col("doc_id"), digest, F.col("source")))
     if not at_most(again, 0):
         keyed = keyed.withColumn("_text", digest).dropDuplicates(["doc_id", "_text", "source"])
     found = keyed.join(turns, (F.col("_at") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
@@ -206,4 +209,5 @@ def mixed_documents(docs: DataFrame, key: int = 0) -> DataFrame:
     found = found.withColumn("_words", words).withColumn("_take", F.explode("_turns"))
     cut = F.transform("_take", lambda p: F.slice("_words", (p["from_word"] + 1).cast("int"), p["n_words"].cast("int")))
     found = found.withColumn("text", F.array_join(F.flatten(cut), ""))
-    return found.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    own = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return found.select(*[own.get(c, F.col("_doc").getField(c)).alias(c) for c in docs.columns])

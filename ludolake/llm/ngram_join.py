@@ -398,5 +398,8 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         return kept
     again = _small(again)
     single = kept.join(again, on(again), "left_anti")
-    repeated = kept.join(again, on(again), "left_semi").withColumn("_digest", F.xxhash64("text"))
-    return single.union(repeated.dropDuplicates(["doc_id", "_digest"]).drop("_digest"))
+    own = "_digest"
+    while own in docs.columns:
+        own += "_"
+    repeated = kept.join(again, on(again), "left_semi").withColumn(own, F.xxhash64("text"))
+    return single.union(repeated.dropDuplicates(["doc_id", own]).drop(own))
