@@ -14,7 +14,12 @@ training rows turns into a score.
 Everything that is learned comes from labelled rows outside the held-out fold, all
 of them; only sums leave the tasks. Every feature of at least ``LEAST_COUNT`` words
 counts: the ``VOCABULARY`` most frequent ones are sent to the tasks, the others are
-joined to the texts that hold them.
+joined to the texts that hold them. A Bloom filter of these others goes along, so
+that texts ask the join for little that it does not have.
+
+Words of scripts without spaces and words of more than ``LONG`` characters are scored
+by every run of ``GRAM`` characters in them, so texts without white space are scanned
+whole too.
 """
 
 from __future__ import annotations
@@ -32,29 +37,47 @@ from pyspark.sql import functions as F
 from ..session import at_most, stage
 from .common import table, texts
 
-VOCABULARY = 200_000
+#: Features sent to the tasks, 16 bytes each.
+VOCABULARY = 1_000_000
+#: Bits of the Bloom filter of all others, at most (16 MB); ten a feature below that.
+FILTER_BITS = 1 << 27
+FILTER_SHIFTS = (0, 18, 36)
 PREFIXES = (7, 6, 5, 4)
 LEAST_COUNT = 5
 #: Pseudo-counts of the prior, spread over words as the pooled counts are.
 PRIOR = 100.0
 #: Mean score of a word of clean text.
 DRIFT = -1.0
+#: Log-odds are cut off beyond these.
+LOW, HIGH = -4.0, 6.0
 #: A passage is reported when its chance in clean text is below this.
 SIGNIFICANT = 0.01
 FOLDS = 5
 BROADCAST_LABELS = 1 << 20
-BROADCAST_DOCS = 1 << 17
+#: Joined log-odds (16 bytes) that may be sent to all tasks beside their texts' digests.
+BROADCAST_OTHERS = 1 << 20
+#: Words a task remembers.
+MEMORY = 200_000
+LONG, GRAM = 32, 3
 _EDGES = re.compile(r"^[^\w]+|[^\w]+$")
+_RUNS = re.compile(r"[^\W_]+")
+_UNSPACED = re.compile(r"[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF]")
 
 
-def _plain(word: bytes) -> str:
+def _units(word: bytes) -> list[str]:
+    """What a word is scored by: itself without its edges, or its runs of ``GRAM`` characters."""
     text = word.decode().lower()
-    return text if text.isalpha() else _EDGES.sub("", text)[:64]
+    if len(text) > LONG or not text.isascii() and _UNSPACED.search(text):
+        runs = _RUNS.findall(text)
+        return [r[k : k + GRAM] for r in runs for k in range(max(1, len(r) - GRAM + 1))] or [""]
+    return [text if text.isalpha() else _EDGES.sub("", text)]
 
 
-def _features(word: str) -> list[int]:
-    """The word and its prefixes, most specific first, as numbers."""
-    names = [f"={word}"] + [f"{word[:k]}*" for k in PREFIXES if len(word) > k]
+def _features(unit: str) -> list[int]:
+    """The unit and its prefixes, most specific first, as numbers; none of an empty one."""
+    if not unit:
+        return []
+    names = [f"={unit}"] + [f"{unit[:k]}*" for k in PREFIXES if len(unit) > k]
     return [xxhash.xxh3_64_intdigest(n.encode()) >> 1 for n in names]
 
 
@@ -71,27 +94,21 @@ def _training(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _counted(rows: DataFrame) -> DataFrame:
-    """(feature, y1, y0) and, as feature null, the total words of both classes."""
+    """(features, y1, y0) of the units of texts, most specific feature first; units without any count in the totals only."""
 
     def run(batches):
         sides = (Counter(), Counter())
 
         def out():
-            found: dict[int, list[int]] = {}
-            totals = [0, 0]
+            found: dict[str, list[int]] = {}
             for label, side in enumerate(sides):
                 for word, n in side.items():
-                    totals[label] += n
-                    plain = _plain(word)
-                    for f in _features(plain) if plain else ():
-                        found.setdefault(f, [0, 0])[label] += n
+                    for unit in _units(word):
+                        found.setdefault(unit, [0, 0])[label] += n
                 side.clear()
-            keys = [*found, None]
-            pairs = [*found.values(), totals]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array([p[1] for p in pairs], pa.int64()), pa.array([p[0] for p in pairs], pa.int64())],
-                ["feature", "y1", "y0"],
-            )
+            columns = [_features(u) for u in found], [p[1] for p in found.values()], [p[0] for p in found.values()]
+            kinds = pa.list_(pa.int64()), pa.int64(), pa.int64()
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["features", "y1", "y0"])
 
         for batch in batches:
             for text, toxic in zip(texts(batch.column(0)), batch.column(1).to_pylist()):
@@ -100,21 +117,76 @@ def _counted(rows: DataFrame) -> DataFrame:
                 yield out()
         yield out()
 
-    return rows.mapInArrow(run, "feature long, y1 long, y0 long")
+    return rows.mapInArrow(run, "features array<bigint>, y1 long, y0 long")
+
+
+class Odds:
+    """Sorted features and their log-odds, and a Bloom filter of the features that are joined instead."""
+
+    def __init__(self, features=(), values=(), bits: np.ndarray | None = None):
+        order = np.argsort(np.asarray(features, np.int64))
+        self.features, self.values = np.asarray(features, np.int64)[order], np.asarray(values, float)[order]
+        self.bits = bits
+
+    def __len__(self) -> int:
+        return len(self.features)
+
+    def __contains__(self, feature: int) -> bool:
+        return bool(self.of(np.array([feature]))[1][0])
+
+    def of(self, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The log-odds of ``features``, and which of them are here."""
+        if not len(self.features):
+            return np.zeros(len(features)), np.zeros(len(features), bool)
+        at = np.minimum(np.searchsorted(self.features, features), len(self.features) - 1)
+        return self.values[at], self.features[at] == features
+
+    def elsewhere(self, features: np.ndarray) -> np.ndarray:
+        """Which features the joined ones may include."""
+        if self.bits is None:
+            return np.zeros(len(features), bool)
+        hit, last = np.ones(len(features), bool), len(self.bits) * 8 - 1
+        for shift in FILTER_SHIFTS:
+            at = (features >> shift) & last
+            hit &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+        return hit
+
+
+def _filter(others: DataFrame) -> np.ndarray:
+    """The Bloom filter of ``feature``; each set of 32,768 bits is put together by an aggregate of its own."""
+    bits = 1 << 15
+    wanted = 10 * others.count()
+    while bits < wanted and bits < FILTER_BITS:
+        bits *= 2
+    places = F.array(*(F.shiftright("feature", k).bitwiseAND(F.lit(bits - 1)) + 1 for k in FILTER_SHIFTS))
+    rows = others.select(F.explode(places).alias("p"))
+    parts = rows.groupBy(F.bitmap_bucket_number("p").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
+    out = np.zeros(bits // 8, np.uint8)
+    for part, held in parts.toLocalIterator():  # bits / 32,768 rows of 4 KB
+        out[(part - 1) * 4096 : part * 4096] = np.frombuffer(held, np.uint8)
+    return out
 
 
-def log_odds(rows: DataFrame, limit: int | None = None) -> tuple[dict[int, float], DataFrame | None]:
-    """Smoothed log-odds of every feature: a dict of the ``limit`` most frequent ones, and a staged table (feature, d) of the others, if any."""
+def log_odds(rows: DataFrame, limit: int | None = None) -> tuple[Odds, DataFrame | None, float]:
+    """Smoothed log-odds of every feature: the ``limit`` most frequent ones, a staged table (feature, d) of the
+    others, if any, and the mean log-odds of the words of clean texts."""
     limit = VOCABULARY if limit is None else limit
-    sums = stage(_counted(rows).groupBy("feature").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0")), "counts")
-    total = sums.where("feature IS NULL").first()
-    if total is None or not total["y1"] or not total["y0"]:
-        return {}, None
+    units = stage(_counted(rows).groupBy("features").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0")), "units")
+    total = units.agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0")).first()
+    if not total["y1"] or not total["y0"]:
+        return Odds(), None, 0.0
     n1, n0 = float(total["y1"]), float(total["y0"])
     y1, y0 = F.col("y1"), F.col("y0")
+    sums = units.select(F.explode("features").alias("feature"), "y1", "y0").groupBy("feature")
+    sums = sums.agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0")).where(y1 + y0 >= LEAST_COUNT)
     prior = (y1 + y0) * (PRIOR / (n1 + n0))
     delta = F.log((y1 + prior) / (n1 + PRIOR - y1 - prior)) - F.log((y0 + prior) / (n0 + PRIOR - y0 - prior))
-    scored = sums.where("feature IS NOT NULL").where(y1 + y0 >= LEAST_COUNT).select("feature", delta.alias("d"), (y1 + y0).alias("n"))
+    scored = stage(sums.select("feature", delta.alias("d"), (y1 + y0).alias("n")), "odds")
+    # A unit takes its first feature that is known; what has none counts as 0.
+    asked = units.where("y0 > 0").select(F.posexplode("features").alias("place", "feature"), F.col("features")[0].alias("unit"), "y0")
+    best = asked.join(scored, "feature").groupBy("unit").agg(F.min(F.struct("place", "d", "y0")).alias("best"))
+    value = F.greatest(F.lit(LOW), F.least(F.lit(HIGH), F.col("best.d")))
+    mean = (best.agg(F.sum(value * F.col("best.y0"))).first()[0] or 0.0) / n0
     # Features of one count are all sent or all joined; their scores do not depend on it.
     sent, least = 0, LEAST_COUNT
     if not at_most(scored, limit):
@@ -124,32 +196,27 @@ def log_odds(rows: DataFrame, limit: int | None = None) -> tuple[dict[int, float
             if sent > limit:
                 break
             least = n
-    top = scored.where(F.col("n") >= least).toArrow() if least is not None else None
-    odds = dict(zip(top.column("feature").to_pylist(), top.column("d").to_pylist())) if top else {}
+    top = scored.where(F.col("n") >= least).select("feature", "d").toArrow() if least is not None else None
+    odds = Odds(top.column("feature").to_numpy(), top.column("d").to_numpy()) if top else Odds()
     if least == LEAST_COUNT:
-        return odds, None
+        return odds, None, mean
     others = scored.where(F.col("n") < least) if least is not None else scored
-    return odds, stage(others.select("feature", "d"), "others")
+    others = others.select("feature", "d")
+    odds.bits = _filter(others)
+    return odds, others, mean
 
 
-def _with_others(rows: DataFrame, odds, others: DataFrame | None) -> DataFrame:
+def _with_others(rows: DataFrame, model, others: DataFrame | None) -> DataFrame:
     """``rows`` (text among them) with ``others``: the features of the text that are joined, with their log-odds."""
     if others is None:
         return rows.withColumn("others", F.lit(None).cast("map<bigint, double>"))
 
     def run(batches):
-        memory: dict[bytes, list[int]] = {}
+        own = Scores(model.value, 0.0)
         for batch in batches:
             digests, features = [], []
             for digest, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
-                asked: set[int] = set()
-                for word in set((text or b"").split()):
-                    more = memory.get(word)
-                    if more is None:
-                        more = _before(word, odds.value)
-                        if len(memory) < 300_000:
-                            memory[word] = more
-                    asked.update(more)
+                asked = own.asked(text)
                 digests += [digest] * len(asked)
                 features += asked
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.int64()), pa.array(features, pa.int64())], ["digest", "feature"])
@@ -158,55 +225,77 @@ def _with_others(rows: DataFrame, odds, others: DataFrame | None) -> DataFrame:
     asked = rows.select(digest.alias("digest"), "text").mapInArrow(run, "digest long, feature long").distinct()
     found = asked.join(others, "feature").groupBy("digest").agg(F.map_from_entries(F.collect_list(F.struct("feature", "d"))).alias("others"))
     found = stage(found.withColumnRenamed("digest", "_digest"), "found")
-    found = F.broadcast(found) if at_most(found, BROADCAST_DOCS) else found
+    held = found.agg(F.coalesce(F.sum(F.size("others") + 1), F.lit(0))).first()[0]
+    found = F.broadcast(found) if held <= BROADCAST_OTHERS else found
     return rows.withColumn("_digest", digest).join(found, "_digest", "left").drop("_digest")
 
 
-def _before(word: bytes, odds: dict[int, float]) -> list[int]:
-    """The features of a word that would come before the first one in ``odds``."""
-    plain, out = _plain(word), []
-    for f in _features(plain) if plain else ():
-        if f in odds:
-            break
-        out.append(f)
-    return out
-
-
-class Scores(dict):
-    """Word to score; at most 300,000 words are remembered."""
-
-    def __init__(self, odds: dict[int, float], shift: float):
-        self.odds, self.shift, self.asked = odds, shift, {}
-
-    def before(self, word: bytes) -> list[int]:
-        found = self.asked.get(word)
-        if found is None:
-            found = _before(word, self.odds)
-            if len(self.asked) < 300_000:
-                self.asked[word] = found
-        return found
-
-    def value(self, features: list[int], others: dict[int, float]) -> float:
-        found = next((self.odds.get(f, others.get(f)) for f in features if f in self.odds or f in others), 0.0)
-        return min(max(found, -4.0), 6.0) - self.shift
-
-    def __missing__(self, word: bytes) -> float:
-        plain = _plain(word)
-        value = self.value(_features(plain) if plain else [], {})
-        if len(self) < 300_000:
-            self[word] = value
-        return value
-
-    def of(self, text: bytes | None, others: list[tuple[int, float]] | None = None) -> np.ndarray:
-        """The scores of the words; ``others`` are the features of the text that ``odds`` lacks."""
+class Scores:
+    """Texts to scores; at most ``MEMORY`` words are remembered."""
+
+    def __init__(self, odds: Odds, shift: float):
+        self.odds, self.shift = odds, shift
+        self.single: dict[bytes, float] = {}
+        #: Words of several units, or with features that may be joined: (value, features that come before it) of each unit.
+        self.many: dict[bytes, list[tuple[float, list[int]]]] = {}
+
+    def score(self, odds: float) -> float:
+        return min(max(odds, LOW), HIGH) - self.shift
+
+    def _learn(self, words: set[bytes]) -> None:
+        if len(self.single) + len(self.many) + len(words) > MEMORY:
+            self.single.clear()
+            self.many.clear()
+        units = [[_features(u) for u in _units(w)] for w in words]
+        flat = np.array([f for us in units for fs in us for f in fs], np.int64)
+        values, known = self.odds.of(flat)
+        elsewhere = self.odds.elsewhere(flat).tolist() if self.odds.bits is not None else None
+        values, known, at = values.tolist(), known.tolist(), 0
+        for word, us in zip(words, units):
+            out = []
+            for fs in us:
+                first = next((k for k in range(at, at + len(fs)) if known[k]), None)
+                value = self.score(values[first] if first is not None else 0.0)
+                before = range(at, at + len(fs) if first is None else first) if elsewhere else ()
+                out.append((value, [fs[k - at] for k in before if elsewhere[k]]))
+                at += len(fs)
+            if len(out) == 1 and not out[0][1]:
+                self.single[word] = out[0][0]
+            else:
+                self.many[word] = out
+
+    def _known(self, text: bytes | None) -> list[bytes]:
         words = (text or b"").split()
-        if not others:
-            return np.fromiter(map(self.__getitem__, words), float, len(words))
-        more, own = dict(others), {}
-        for word in set(words):
-            asked = self.before(word)
-            own[word] = self.value(asked, more) if asked and not more.keys().isdisjoint(asked) else self[word]
-        return np.fromiter(map(own.__getitem__, words), float, len(words))
+        new = {w for w in words if w not in self.single and w not in self.many}
+        if new:
+            self._learn(new)
+            if not all(w in self.single or w in self.many for w in words):  # forgotten meanwhile
+                self._learn(set(words))
+        return words
+
+    def asked(self, text: bytes | None) -> list[int]:
+        """The features of the text that its score wants from the joined ones."""
+        words = self._known(text)
+        return list({f for w in set(words) if w in self.many for _, before in self.many[w] for f in before})
+
+    def of(self, text: bytes | None, others: list[tuple[int, float]] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The scores of the units of a text and the place of each one's word; ``others`` are its joined features."""
+        words = self._known(text)
+        single = self.single
+        if all(map(single.__contains__, words)) if self.many else True:
+            return np.fromiter(map(single.__getitem__, words), float, len(words)), np.arange(len(words))
+        more, scores, places = dict(others or ()), [], []
+        for place, word in enumerate(words):
+            value = single.get(word)
+            if value is not None:
+                scores.append(value)
+                places.append(place)
+                continue
+            for own, before in self.many[word]:
+                found = next((more[f] for f in before if f in more), None)
+                scores.append(own if found is None else self.score(found))
+                places.append(place)
+        return np.array(scores, float), np.array(places, np.int64)
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -228,28 +317,11 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(s, e, float(right - left)) for s, e, left, right, _ in stack]
 
 
-def _mean(rows: DataFrame, odds) -> float:
-    """Mean log-odds of the words of clean training texts."""
-
-    def run(batches):
-        own, total, n = Scores(odds.value, 0.0), 0.0, 0
-        for batch in batches:
-            for text, toxic, others in zip(texts(batch.column(0)), *(batch.column(i).to_pylist() for i in (1, 2))):
-                if toxic <= 0:
-                    got = own.of(text, others)
-                    total += got.sum()
-                    n += len(got)
-        yield pa.RecordBatch.from_arrays([pa.array([total], pa.float64()), pa.array([n], pa.int64())], ["s", "n"])
-
-    row = rows.mapInArrow(run, "s double, n long").agg(F.sum("s"), F.sum("n")).first()
-    return row[0] / row[1] if row[1] else 0.0
-
-
 STEP = 0.25
 
 
 def _observed(rows: DataFrame, odds, shift: float) -> DataFrame:
-    """Per training text (toxic, n, sums of its segments); per step of score the number of clean words (n, bin)."""
+    """Per training text (toxic, n units, sums of its segments); per step of score the number of clean units (n, bin)."""
 
     def run(batches):
         own, bins = Scores(odds.value, shift), Counter()
@@ -257,7 +329,7 @@ def _observed(rows: DataFrame, odds, shift: float) -> DataFrame:
         for batch in batches:
             out = []
             for text, toxic, others in zip(texts(batch.column(0)), *(batch.column(i).to_pylist() for i in (1, 2))):
-                got = own.of(text, others)
+                got, _ = own.of(text, others)
                 out.append((int(toxic > 0), len(got), [s for _, _, s in segments(got)], None))
                 if toxic <= 0:
                     bins.update(np.round(got / STEP).astype(int).tolist())
@@ -297,12 +369,12 @@ def logistic(x: np.ndarray, positive: np.ndarray, total: np.ndarray) -> tuple[fl
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
     """The model: log-odds (sent and joined), shift, extreme-value parameters and the logistic curve. Without both classes it is empty."""
     rows = _training(docs, labels)
-    odds, others = log_odds(rows)
-    if not odds and others is None:
-        return {"odds": {}, "others": None, "shift": 1.0, "rate": 1.0, "k": 1.0, "a": -5.0, "b": 0.0}
+    odds, others, mean = log_odds(rows)
+    if not len(odds) and others is None:
+        return {"odds": Odds(), "others": None, "shift": 1.0, "rate": 1.0, "k": 1.0, "a": -5.0, "b": 0.0}
     known = docs.sparkSession.sparkContext.broadcast(odds)
     rows = _with_others(rows, known, others)
-    shift = _mean(rows, known) - DRIFT
+    shift = mean - DRIFT
     seen = _observed(rows, known, shift)
     bins = seen.where("bin IS NOT NULL").groupBy("bin").agg(F.sum("n").alias("n")).toPandas()  # a few dozen steps
     rate = extreme_rate(bins["bin"].to_numpy() * STEP, bins["n"].to_numpy()) if len(bins) else 1.0
@@ -334,12 +406,12 @@ def scored(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             scores, passages = [], []
             for text, others in zip(texts(batch.column(1)), batch.column(2).to_pylist()):
-                got = own.of(text, others)
+                got, places = own.of(text, others)
                 expected = math.log(m["k"] * max(len(got), 1))
                 above = [(s, e, m["rate"] * x - expected) for s, e, x in segments(got)]
                 evidence = sum(max(0.0, x) for _, _, x in above)
                 scores.append(1 / (1 + math.exp(-min(max(m["a"] + m["b"] * math.log1p(evidence), -30), 30))))
-                passages.append([f"{s}:{e}" for s, e, x in above if x >= least])
+                passages.append([f"{places[s]}:{places[e - 1] + 1}" for s, e, x in above if x >= least])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()),
                  pa.array([len(p) for p in passages], pa.int64()), pa.array([",".join(p) for p in passages], pa.string())],

@@ -31,3 +31,21 @@ def test_toxicity_keeps_all_features(spark, monkeypatch):
         got = {r[0]: r for r in toxicity.scored(docs, model).collect()}
         assert {(i, r[2:]) for i, r in got.items()} == {(r[0], r[2:]) for r in want}
         assert all(got[r[0]].score == pytest.approx(r[1], abs=1e-9) for r in want)
+
+
+def test_texts_without_spaces_are_scanned_whole(spark):
+    rnd = random.Random(4)
+    rows, labels = [], []
+    for i in range(200):
+        text = "".join(rnd.choice("abcdefgh") for _ in range(400))
+        if i % 4 == 0:
+            text = text[:300] + "zqxzqxzqxzqx" + text[300:]
+        rows.append((i, text))
+        labels.append((i, int(i % 4 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = {r.id: r for r in toxicity.scored(docs, model).collect()}
+    assert all(got[i].predicted == y for i, y in labels)
+    # A passage inside one word is that word.
+    assert {got[i].passages for i, y in labels if y} == {"0:1"}
+    assert toxicity._units("中文字符".encode()) == ["中文字", "文字符"] and toxicity._units(b"(Word)") == ["word"]
