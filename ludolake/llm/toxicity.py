@@ -27,6 +27,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -57,28 +58,34 @@ BROADCAST_LABELS = 1 << 20
 #: Joined log-odds (16 bytes) that may be sent to all tasks beside their texts' digests.
 BROADCAST_OTHERS = 1 << 20
 #: Words a task remembers.
-MEMORY = 200_000
+MEMORY = 400_000
 LONG, GRAM = 32, 3
 _EDGES = re.compile(r"^[^\w]+|[^\w]+$")
 _RUNS = re.compile(r"[^\W_]+")
 _UNSPACED = re.compile(r"[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF]")
 
 
-def _units(word: bytes) -> list[str]:
+def _units(word: bytes) -> list[bytes]:
     """What a word is scored by: itself without its edges, or its runs of ``GRAM`` characters."""
+    if len(word) <= LONG and word.isalpha():  # ASCII letters only
+        return [word.lower()]
     text = word.decode().lower()
     if len(text) > LONG or not text.isascii() and _UNSPACED.search(text):
         runs = _RUNS.findall(text)
-        return [r[k : k + GRAM] for r in runs for k in range(max(1, len(r) - GRAM + 1))] or [""]
-    return [text if text.isalpha() else _EDGES.sub("", text)]
+        return [r[k : k + GRAM].encode() for r in runs for k in range(max(1, len(r) - GRAM + 1))] or [b""]
+    return [(text if text.isalpha() else _EDGES.sub("", text)).encode()]
 
 
-def _features(unit: str) -> list[int]:
+def _features(unit: bytes | str) -> list[int]:
     """The unit and its prefixes, most specific first, as numbers; none of an empty one."""
+    unit = unit.encode() if isinstance(unit, str) else unit
     if not unit:
         return []
-    names = [f"={unit}"] + [f"{unit[:k]}*" for k in PREFIXES if len(unit) > k]
-    return [xxhash.xxh3_64_intdigest(n.encode()) >> 1 for n in names]
+    digest = xxhash.xxh3_64_intdigest
+    if unit.isascii():
+        return [digest(b"=" + unit) >> 1] + [digest(unit[:k] + b"*") >> 1 for k in PREFIXES if len(unit) > k]
+    text = unit.decode()
+    return [digest(b"=" + unit) >> 1] + [digest(f"{text[:k]}*".encode()) >> 1 for k in PREFIXES if len(text) > k]
 
 
 def held_out(doc_id):
@@ -100,7 +107,7 @@ def _counted(rows: DataFrame) -> DataFrame:
         sides = (Counter(), Counter())
 
         def out():
-            found: dict[str, list[int]] = {}
+            found: dict[bytes, list[int]] = {}
             for label, side in enumerate(sides):
                 for word, n in side.items():
                     for unit in _units(word):
@@ -242,48 +249,62 @@ class Scores:
     def score(self, odds: float) -> float:
         return min(max(odds, LOW), HIGH) - self.shift
 
-    def _learn(self, words: set[bytes]) -> None:
+    def _learn(self, words: set[bytes], more: set[bytes]) -> None:
+        """Remember ``words``, and ``more`` too where that makes it forget all others."""
         if len(self.single) + len(self.many) + len(words) > MEMORY:
             self.single.clear()
             self.many.clear()
-        units = [[_features(u) for u in _units(w)] for w in words]
-        flat = np.array([f for us in units for fs in us for f in fs], np.int64)
+            words = words | more
+        units = [[_features(u) or [-1] for u in _units(w)] for w in words]  # no feature is below 0
+        each = list(chain.from_iterable(units))
+        flat = np.array(list(chain.from_iterable(each)), np.int64)
+        begin = np.concatenate([[0], np.cumsum(np.fromiter(map(len, each), np.int64, len(each)))])
         values, known = self.odds.of(flat)
-        elsewhere = self.odds.elsewhere(flat).tolist() if self.odds.bits is not None else None
-        values, known, at = values.tolist(), known.tolist(), 0
+        # Of each unit the place of its first known feature; its end if it has none.
+        places = np.where(known, np.arange(len(flat)), len(flat))
+        first = np.minimum(np.minimum.reduceat(places, begin[:-1]), begin[1:])
+        got = np.where(first < begin[1:], np.append(values, 0.0)[first], 0.0)
+        scores = (np.minimum(np.maximum(got, LOW), HIGH) - self.shift).tolist()
+        joined: dict[int, list[int]] = {}
+        if self.odds.bits is not None:
+            hits = np.flatnonzero(self.odds.elsewhere(flat) & (flat >= 0))
+            owners = np.searchsorted(begin, hits, "right") - 1
+            for k in np.flatnonzero(hits < first[owners]):
+                joined.setdefault(int(owners[k]), []).append(int(flat[hits[k]]))
+        if len(each) == len(words) and not joined:
+            self.single.update(zip(words, scores))
+            return
+        at = 0
         for word, us in zip(words, units):
-            out = []
-            for fs in us:
-                first = next((k for k in range(at, at + len(fs)) if known[k]), None)
-                value = self.score(values[first] if first is not None else 0.0)
-                before = range(at, at + len(fs) if first is None else first) if elsewhere else ()
-                out.append((value, [fs[k - at] for k in before if elsewhere[k]]))
-                at += len(fs)
-            if len(out) == 1 and not out[0][1]:
-                self.single[word] = out[0][0]
+            if len(us) == 1 and at not in joined:
+                self.single[word] = scores[at]
             else:
-                self.many[word] = out
-
-    def _known(self, text: bytes | None) -> list[bytes]:
-        words = (text or b"").split()
-        new = {w for w in words if w not in self.single and w not in self.many}
+                self.many[word] = [(scores[k], joined.get(k, [])) for k in range(at, at + len(us))]
+            at += len(us)
+
+    def _know(self, words: list[bytes]) -> None:
+        own = set(words)
+        new = own.difference(self.single)
+        if self.many:
+            new.difference_update(self.many)
         if new:
-            self._learn(new)
-            if not all(w in self.single or w in self.many for w in words):  # forgotten meanwhile
-                self._learn(set(words))
-        return words
+            self._learn(new, own)
 
     def asked(self, text: bytes | None) -> list[int]:
         """The features of the text that its score wants from the joined ones."""
-        words = self._known(text)
+        words = (text or b"").split()
+        self._know(words)
         return list({f for w in set(words) if w in self.many for _, before in self.many[w] for f in before})
 
     def of(self, text: bytes | None, others: list[tuple[int, float]] | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The scores of the units of a text and the place of each one's word; ``others`` are its joined features."""
-        words = self._known(text)
+        words = (text or b"").split()
         single = self.single
-        if all(map(single.__contains__, words)) if self.many else True:
-            return np.fromiter(map(single.__getitem__, words), float, len(words)), np.arange(len(words))
+        for _ in range(2):
+            try:
+                return np.fromiter(map(single.__getitem__, words), float, len(words)), np.arange(len(words))
+            except KeyError:  # a word that is new, or of several scores
+                self._know(words)
         more, scores, places = dict(others or ()), [], []
         for place, word in enumerate(words):
             value = single.get(word)
@@ -300,10 +321,10 @@ class Scores:
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments as (start, end, sum), by the linear-time scan of Ruzzo and Tompa."""
-    sums = np.concatenate([[0.0], np.cumsum(scores)])
+    sums = [0.0, *np.cumsum(scores).tolist()]
     stack: list[tuple[int, int, float, float, int]] = []  # start, end, sum before, sum after, earlier with less before
-    for i in np.flatnonzero(scores > 0):
-        start, end, left, right = int(i), int(i) + 1, sums[i], sums[i + 1]
+    for i in np.flatnonzero(scores > 0).tolist():
+        start, end, left, right = i, i + 1, sums[i], sums[i + 1]
         j = len(stack) - 1
         while True:
             while j >= 0 and stack[j][2] >= left:
@@ -314,7 +335,7 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
             start, left, j_next = stack[j][0], stack[j][2], stack[j][4]
             del stack[j:]
             j = j_next
-    return [(s, e, float(right - left)) for s, e, left, right, _ in stack]
+    return [(s, e, right - left) for s, e, left, right, _ in stack]
 
 
 STEP = 0.25

@@ -48,4 +48,5 @@ def test_texts_without_spaces_are_scanned_whole(spark):
     assert all(got[i].predicted == y for i, y in labels)
     # A passage inside one word is that word.
     assert {got[i].passages for i, y in labels if y} == {"0:1"}
-    assert toxicity._units("中文字符".encode()) == ["中文字", "文字符"] and toxicity._units(b"(Word)") == ["word"]
+    assert toxicity._units("中文字符".encode()) == ["中文字".encode(), "文字符".encode()]
+    assert toxicity._units(b"(Word)") == [b"word"]
