@@ -16,7 +16,7 @@ How it stays whole and linear:
 * Postings travel as packed, compressed arrays by hash of the n-gram; n-grams that only one
   class has, most of them, end there.
 * Components do not need every pair of a group of near copies: each member of a
-  long posting list is first verified against one leader of its list. What is then
+  posting list is first verified against one leader of its list. What is then
   in one component is not paired again; all other pairs of the lists are counted,
   so no link between different components can be missed. Pairs whose shared
   elements stand too late in either order, or are too few for what lies beyond the
@@ -25,6 +25,9 @@ How it stays whole and linear:
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -43,65 +46,107 @@ VERIFY = 16
 PART_BYTES = 8 << 20
 FLUSH = 1 << 21
 LEADER_ROUNDS = 3
-#: Posting lists above this length are first verified against a leader.
+#: Members of posting lists above this length are verified against a leader without counting what they share.
 LONG = 64
+#: Words hashed together, bytes of words and number of sets that a task remembers.
+CHUNK = 1 << 14
+WORD_BYTES = 48 << 20
+SEEN = 1 << 18
 #: Rows of ids (8 bytes each) that may be sent to all tasks.
 BROADCAST_IDS = 1 << 20
 
 
-def shingles(text: bytes | None, ids: WordIds, size: int = 5) -> np.ndarray:
-    """Sorted distinct hashes; fewer words than ``size`` count as one n-gram."""
-    words = (text or b"").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    return np.unique(windows(ids.of(words), min(size, len(words))))
+class _Words(WordIds):
+    """Ids of words, remembered up to a number of bytes."""
+
+    def __init__(self, room: int = WORD_BYTES):
+        super().__init__()
+        self.room = self.left = room
+
+    def __missing__(self, word: bytes) -> int:
+        self.left -= len(word) + 150  # what a remembered word takes beside its letters
+        if self.left < 0:
+            self.clear()
+            self.left = self.room
+        return super().__missing__(word)
+
+
+def _distinct(hashes: np.ndarray) -> np.ndarray:
+    hashes = np.sort(hashes)
+    new = hashes[1:] != hashes[:-1]
+    return hashes if new.all() else hashes[np.concatenate([[True], new])]
+
+
+def _cut(texts_ids: list[np.ndarray], size: int) -> Iterator[np.ndarray]:
+    hashes, start = windows(np.concatenate(texts_ids), size), 0
+    for one in texts_ids:
+        count = len(one)
+        if count >= size:
+            yield _distinct(hashes[start : start + count - size + 1])
+        else:
+            yield windows(one, count) if count else np.empty(0, np.uint64)
+        start += count
+
+
+def shingles(documents: Iterable[bytes | None], ids: WordIds, size: int = 5) -> Iterator[np.ndarray]:
+    """Sorted distinct hashes of each text; fewer words than ``size`` count as one n-gram.
+
+    Short texts are hashed together, about ``CHUNK`` words at a time.
+    """
+    held, waiting = [], 0
+    for text in documents:
+        words = (text or b"").lower().split()
+        held.append(ids.of(words))
+        waiting += len(words)
+        if waiting >= CHUNK:
+            yield from _cut(held, size)
+            held, waiting = [], 0
+    if held:
+        yield from _cut(held, size)
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """Size and key of each document's set, beside its text, which takes less room than the set."""
+    """Size and key of each document's set, beside its compressed text, which takes less room than the set."""
 
     def run(batches):
-        ids = WordIds()
+        ids, pack = _Words(), zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            sets = [shingles(t, ids, size) for t in texts(batch.column(1))]
+            rows = [(t or b"").lower() for t in texts(batch.column(1))]
+            ns, keys = [], []
+            for items in shingles(rows, ids, size):
+                ns.append(len(items))
+                keys.append(xxhash.xxh3_128_digest(items) if len(items) else None)
+            packed = [pack.compress(t) if n else None for t, n in zip(rows, ns)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(2),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                    batch.column(1),
-                ],
+                [batch.column(0), batch.column(2), pa.array(ns, pa.int64()), pa.array(keys, pa.binary()), pa.array(packed, pa.binary())],
                 ["id", "digest", "n", "key", "t"],
             )
 
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("t"), F.xxhash64(text).alias("digest"))
-    rows = rows.mapInArrow(run, "id long, digest long, n long, key binary, t string")
+    rows = rows.mapInArrow(run, "id long, digest long, n long, key binary, t binary")
     return stage(rows.withColumn("row", F.monotonically_increasing_id()), "sets")
 
 
 def _unseen(batches, size: int):
     """(row, n, items) of rows whose set this task has not had yet; copies elsewhere are merged later."""
-    seen, ids = set(), WordIds()
-    for batch in batches:
-        rows, ns, keys = (batch.column(i).to_pylist() for i in range(3))
-        for row, n, key, text in zip(rows, ns, keys, texts(batch.column(3))):
-            if key is not None and key not in seen:
-                if len(seen) >= 500_000:
-                    seen.clear()
-                seen.add(key)
-                yield row, n, shingles(text, ids, size)
-
-
-def _with_items(sets: DataFrame, size: int) -> DataFrame:
-    def run(batches):
-        ids = WordIds()
+    seen, ids, unpack = set(), _Words(), zstandard.ZstdDecompressor()
+    names = deque()
+
+    def fresh():
         for batch in batches:
-            items = [shingles(t, ids, size).tobytes() for t in texts(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(items, pa.binary())], ["row", "items"])
+            rows, ns, keys, packed = (batch.column(i).to_pylist() for i in range(4))
+            for row, n, key, text in zip(rows, ns, keys, packed):
+                if key is not None and key not in seen:
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen.add(key)
+                    names.append((row, n))
+                    yield unpack.decompress(text)
 
-    return sets.select("row", "t").mapInArrow(run, "row long, items binary")
+    for items in shingles(fresh(), ids, size):
+        row, n = names.popleft()
+        yield row, n, items
 
 
 def _squeezed(values: np.ndarray, rising: bool = False) -> bytes:
@@ -260,24 +305,59 @@ def _small(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if at_most(ids, BROADCAST_IDS) else ids
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets really are similar."""
+def _verified(pairs: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets really are similar; compressed texts travel, and only those of pairs."""
 
     def check(batches):
+        ids, unpack = _Words(), zstandard.ZstdDecompressor()
+        last = None  # a leader's pairs mostly follow each other
+        y = np.empty(0, np.uint64)
         for batch in batches:
-            keep = []
-            for x, y in zip(texts(batch.column(2)), texts(batch.column(3))):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            _, bs, first, second = (batch.column(i).to_pylist() for i in range(4))
+            new = [b != before for b, before in zip(bs, [last, *bs])]
+
+            def needed():
+                for x, t, other in zip(first, second, new):
+                    yield unpack.decompress(x)
+                    if other:
+                        yield unpack.decompress(t)
+
+            found, keep = shingles(needed(), ids, size), []
+            for other in new:
+                x = next(found)
+                y = next(found) if other else y
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            last = bs[-1] if bs else last
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    first = sets.select(F.col("row").alias("a"), F.col("items").alias("x"))
-    second = sets.select(F.col("row").alias("b"), F.col("items").alias("y"))
+    wanted = _small(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct())
+    held = sets.select("row", "t").join(wanted, "row", "left_semi")
+    first = held.select(F.col("row").alias("a"), F.col("t").alias("x"))
+    second = held.select(F.col("row").alias("b"), F.col("t").alias("y"))
     full = pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y")
     return full.mapInArrow(check, "a long, b long")
 
 
+def _counted(shared: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b), with ``likely``: whether the elements of ``shared`` are enough for them to be similar.
+
+    ``shared`` has a row (node, b, n, m, l, k, size) for each shared element. Beyond the
+    shorter prefix of a document lie need - l elements.
+    """
+    rows = shared.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"), "n", "m", "l", "k", "size")
+    need = lambda n, l: F.ceil(percent * F.col(n) / 100) - F.col(l)
+    pairs = rows.groupBy("a", "b").agg(
+        F.count("*").alias("common"),
+        F.min(F.least("l", "k")).alias("needed"),
+        F.min(F.col("n") + F.col("m")).alias("both"),
+        F.max(F.greatest(need("n", "l"), need("m", "k"))).alias("beyond"),
+        F.max("size").alias("size"),
+    )
+    room = F.expr(f"{100 + percent} * (common + beyond) >= {percent} * both")
+    return pairs.select("a", "b", "size", (F.expr("common >= needed") & room).alias("likely"))
+
+
 def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
     """(row, id, digest, n, node, component) of each document; digest is of its text."""
     spark = docs.sparkSession
@@ -293,33 +373,30 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
     lists = postings.groupBy("item").agg(F.count("*").alias("size")).where("size > 1")
     # r counts the elements before p that any other class has: only these can be shared too.
     before = Window.partitionBy("node").orderBy("p")
-    shared = postings.join(lists, "item").withColumn("r", F.row_number().over(before) - 1)
+    # A member of many long lists is likely the text that the others are copies of.
+    whole = Window.partitionBy("node")
+    shared = postings.join(lists, "item").withColumns({"r": F.row_number().over(before) - 1, "weight": F.sum("size").over(whole)})
     every, postings = postings, stage(shared, "postings")
     discard(every)
-    wanted = _small(postings.select(F.col("node").alias("row")).distinct())
-    candidates = stage(_with_items(sets.select("row", "t").join(wanted, "row", "left_semi"), size), "candidates")
-    discard(sets)
 
     # A shared element at places p and q leaves room for this overlap only.
     room = "least(r, s) + least(n - p, m - q)"
     fits = f"{100 + percent} * ({room}) >= {percent} * (n + m) AND 100 * least(n, m) >= {percent} * greatest(n, m)"
     links = spark.createDataFrame([], "a long, b long")
     done, labelled, left = links, postings.withColumn("component", F.col("node")), None
-    # A member of many long lists is likely the text that the others are copies of.
-    weight = postings.groupBy("node").agg(F.sum("size").alias("weight"))
     for turn in range(LEADER_ROUNDS):
-        long = labelled.where(F.col("size") > LONG)
-        if at_most(long, 0) or left is not None and (left["pairs"] or 0) <= 4 * left["rows"]:
+        if left is not None and (left["pairs"] or 0) <= 4 * (left["rows"] or 0):
             break
         # Another leader each time; partial aggregation keeps a hot list off any single task.
         first = F.col("weight") if turn == 0 else F.xxhash64(F.lit(turn), "node")
-        rank = F.struct(first.alias("h"), "node", F.col("n").alias("m"), F.col("p").alias("q"), F.col("r").alias("s"), "component")
-        leaders = long.join(weight, "node").groupBy("item").agg(F.max(rank).alias("best"))
-        leaders = leaders.select("item", F.col("best.node").alias("b"), "best.m", "best.q", "best.s", F.col("best.component").alias("other"))
-        pairs = long.join(leaders, "item").where("component <> other").where(fits)
-        pairs = pairs.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+        rank = F.struct(first.alias("h"), "node", F.col("n").alias("m"), F.col("l").alias("k"), F.col("p").alias("q"), F.col("r").alias("s"), "component")
+        leaders = labelled.groupBy("item").agg(F.max(rank).alias("best"))
+        leaders = leaders.select("item", F.col("best.node").alias("b"), "best.m", "best.k", "best.q", "best.s", F.col("best.component").alias("other"))
+        pairs = labelled.join(leaders, "item").where("component <> other").where(fits)
+        # What a leader's lists hold too little of is left to the lists as a whole, below.
+        pairs = _counted(pairs, percent).where(f"likely OR size > {LONG}").select("a", "b")
         pairs = stage(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-        links = links.union(stage(_verified(pairs, candidates, percent), "links"))
+        links = links.union(stage(_verified(pairs, sets, size, percent), "links"))
         done = done.union(pairs)
         labelled, left = _relabelled(postings, connected(links))
     # All that the leaders left: pairs across components, of which one is outside the largest of the list.
@@ -331,23 +408,17 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
     names = ("item", "node AS b", "n AS m", "l AS k", "p AS q", "r AS s", "component AS other")
     across = f"component <> other AND {fits}"
     shared = outside.join(outside.selectExpr(*names), "item").where(f"{across} AND node < b")
-    shared = shared.select("node", "b", "n", "m", "l", "k")
-    shared = shared.union(outside.join(inside.selectExpr(*names), "item").where(across).select("node", "b", "n", "m", "l", "k"))
-    shared = shared.select(
-        F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"), "n", "m", "l", "k"
-    ).groupBy("a", "b").agg(
-        F.count("*").alias("common"), F.min(F.least("l", "k")).alias("needed"), F.min(F.col("n") + F.col("m")).alias("both"),
-        # Beyond the shorter prefix lie need - l elements of its document.
-        F.max(F.greatest(F.ceil(percent * F.col("n") / 100) - F.col("l"), F.ceil(percent * F.col("m") / 100) - F.col("k"))).alias("beyond"),
-    )
-    pairs = shared.where("common >= needed").where(f"{100 + percent} * (common + beyond) >= {percent} * both")
-    pairs = stage(pairs.select("a", "b").join(done, ["a", "b"], "left_anti"), "pairs")
-    found = stage(_verified(pairs, candidates, percent), "links")
-    discard(candidates)
+    shared = shared.select("node", "b", "n", "m", "l", "k", "size")
+    shared = shared.union(outside.join(inside.selectExpr(*names), "item").where(across).select("node", "b", "n", "m", "l", "k", "size"))
+    pairs = _counted(shared, percent).where("likely").select("a", "b")
+    pairs = stage(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
+    found = stage(_verified(pairs, sets, size, percent), "links")
+    discard(sets)
     component = connected(links.union(found))
     # A document without words is its own node, so it is a group of its own.
     return members.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
+
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """Groups of documents linked by Jaccard similarity of word n-grams, one row per document.
 
