@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import at_most, discard, stage
-from .common import WordIds, table, texts, windows
+from .common import mixed, table, texts, windows
 from .components import connected
 
 ORDERED = 1 << 20
@@ -48,27 +48,59 @@ FLUSH = 1 << 21
 LEADER_ROUNDS = 3
 #: Members of posting lists above this length are verified against a leader without counting what they share.
 LONG = 64
-#: Words hashed together, bytes of words and number of sets that a task remembers.
-CHUNK = 1 << 14
-WORD_BYTES = 48 << 20
+#: Bytes of text hashed together, and the number of sets that a task remembers.
+CHUNK_BYTES = 1 << 17
 SEEN = 1 << 18
+#: Any odd number whose powers spread: 3 or 5 modulo 8.
+BASE = np.uint64(0xD1342543DE82EF95)
 #: Rows of ids (8 bytes each) that may be sent to all tasks.
 BROADCAST_IDS = 1 << 20
 
 
-class _Words(WordIds):
-    """Ids of words, remembered up to a number of bytes."""
+def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the odd ``BASE`` modulo 2^64, and their inverses."""
+    inverse = pow(int(BASE), -1, 1 << 64)
+    out = []
+    for base in (BASE, np.uint64(inverse)):
+        steps = np.full(count, base)
+        steps[0] = 1
+        out.append(np.cumprod(steps, dtype=np.uint64))
+    return out[0], out[1]
 
-    def __init__(self, room: int = WORD_BYTES):
-        super().__init__()
-        self.room = self.left = room
 
-    def __missing__(self, word: bytes) -> int:
-        self.left -= len(word) + 150  # what a remembered word takes beside its letters
-        if self.left < 0:
-            self.clear()
-            self.left = self.room
-        return super().__missing__(word)
+class WordHashes:
+    """64-bit hashes of the words of texts, by array operations: no word becomes an object.
+
+    A word is a polynomial in ``BASE`` whose coefficients are random 64-bit values of its
+    bytes, so two words share a hash about as rarely as two random numbers do.
+    """
+
+    def __init__(self):
+        rng = np.random.default_rng(20)
+        self.letters = rng.integers(1, 1 << 64, 256, np.uint64)
+        self.space = np.zeros(256, bool)
+        self.space[[0x20, *range(0x09, 0x0E)]] = True
+        self.up, self.down = _powers(2 * CHUNK_BYTES)
+
+    def of(self, texts_: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the words of all texts in order, and how many each text has."""
+        data = np.frombuffer(b" " + b" ".join(texts_) + b" ", np.uint8)
+        blank = self.space[data]
+        edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+        starts, ends = edges[::2], edges[1::2]
+        hashes = np.empty(len(starts), np.uint64)
+        at = 0
+        while at < len(starts):  # words of some bytes at once; a longer one by itself
+            to = max(at + 1, int(np.searchsorted(ends, starts[at] + CHUNK_BYTES, "right")))
+            first, last = starts[at], ends[to - 1]
+            up, down = (self.up, self.down) if last - first <= len(self.up) else _powers(int(last - first))
+            sums = np.zeros(last - first + 1, np.uint64)
+            np.cumsum(self.letters[data[first:last]] * up[: last - first], out=sums[1:])
+            begin = starts[at:to] - first
+            hashes[at:to] = (sums[ends[at:to] - first] - sums[begin]) * down[begin]
+            at = to
+        bounds = np.cumsum([1] + [len(t) + 1 for t in texts_])
+        return mixed(hashes), np.diff(np.searchsorted(starts, bounds))
 
 
 def _distinct(hashes: np.ndarray) -> np.ndarray:
@@ -77,43 +109,42 @@ def _distinct(hashes: np.ndarray) -> np.ndarray:
     return hashes if new.all() else hashes[np.concatenate([[True], new])]
 
 
-def _cut(texts_ids: list[np.ndarray], size: int) -> Iterator[np.ndarray]:
-    hashes, start = windows(np.concatenate(texts_ids), size), 0
-    for one in texts_ids:
-        count = len(one)
+def _cut(held: list[bytes], words: WordHashes, size: int) -> Iterator[np.ndarray]:
+    ids, counts = words.of(held)
+    hashes, start = windows(ids, size), 0
+    for count in counts.tolist():
         if count >= size:
             yield _distinct(hashes[start : start + count - size + 1])
         else:
-            yield windows(one, count) if count else np.empty(0, np.uint64)
+            yield windows(ids[start : start + count], count) if count else np.empty(0, np.uint64)
         start += count
 
 
-def shingles(documents: Iterable[bytes | None], ids: WordIds, size: int = 5) -> Iterator[np.ndarray]:
+def shingles(documents: Iterable[bytes | None], words: WordHashes, size: int = 5) -> Iterator[np.ndarray]:
     """Sorted distinct hashes of each text; fewer words than ``size`` count as one n-gram.
 
-    Short texts are hashed together, about ``CHUNK`` words at a time.
+    Short texts are hashed together, about ``CHUNK_BYTES`` at a time.
     """
     held, waiting = [], 0
     for text in documents:
-        words = (text or b"").lower().split()
-        held.append(ids.of(words))
-        waiting += len(words)
-        if waiting >= CHUNK:
-            yield from _cut(held, size)
+        held.append((text or b"").lower())
+        waiting += len(held[-1])
+        if waiting >= CHUNK_BYTES:
+            yield from _cut(held, words, size)
             held, waiting = [], 0
     if held:
-        yield from _cut(held, size)
+        yield from _cut(held, words, size)
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     """Size and key of each document's set, beside its compressed text, which takes less room than the set."""
 
     def run(batches):
-        ids, pack = _Words(), zstandard.ZstdCompressor(level=1)
+        words, pack = WordHashes(), zstandard.ZstdCompressor(level=1)
         for batch in batches:
             rows = [(t or b"").lower() for t in texts(batch.column(1))]
             ns, keys = [], []
-            for items in shingles(rows, ids, size):
+            for items in shingles(rows, words, size):
                 ns.append(len(items))
                 keys.append(xxhash.xxh3_128_digest(items) if len(items) else None)
             packed = [pack.compress(t) if n else None for t, n in zip(rows, ns)]
@@ -130,7 +161,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
 
 def _unseen(batches, size: int):
     """(row, n, items) of rows whose set this task has not had yet; copies elsewhere are merged later."""
-    seen, ids, unpack = set(), _Words(), zstandard.ZstdDecompressor()
+    seen, words, unpack = set(), WordHashes(), zstandard.ZstdDecompressor()
     names = deque()
 
     def fresh():
@@ -144,7 +175,7 @@ def _unseen(batches, size: int):
                     names.append((row, n))
                     yield unpack.decompress(text)
 
-    for items in shingles(fresh(), ids, size):
+    for items in shingles(fresh(), words, size):
         row, n = names.popleft()
         yield row, n, items
 
@@ -251,6 +282,8 @@ def _postings(sets: DataFrame, total: int, size: int, percent: int, frequent) ->
 
     def prefixes(batches):
         values, numbers = known.value
+        likely = np.zeros(1 << 22, bool)  # of a bucket's leading bits: most n-grams need no search
+        likely[values >> 10] = True
 
         def pack(held):
             items, rows, ns, ls, ps = (np.concatenate(x) for x in zip(*held))
@@ -268,8 +301,10 @@ def _postings(sets: DataFrame, total: int, size: int, percent: int, frequent) ->
             weights = np.ones(n, np.int64)
             if len(values):
                 bucket = _bucket(items)
+                asked = np.flatnonzero(likely[bucket >> np.uint32(10)])
+                bucket = bucket[asked]
                 at = np.minimum(np.searchsorted(values, bucket), len(values) - 1)
-                weights = np.where(values[at] == bucket, numbers[at], 1)
+                weights[asked] = np.where(values[at] == bucket, numbers[at], 1)
             order = np.argsort(weights, kind="stable")  # items are sorted, so ties go by hash
             need = -(-percent * n // 100)
             l = matches(weights[order], need)
@@ -309,7 +344,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, size: int, percent: int) -> Dat
     """The pairs (a, b) whose sets really are similar; compressed texts travel, and only those of pairs."""
 
     def check(batches):
-        ids, unpack = _Words(), zstandard.ZstdDecompressor()
+        words, unpack = WordHashes(), zstandard.ZstdDecompressor()
         last = None  # a leader's pairs mostly follow each other
         y = np.empty(0, np.uint64)
         for batch in batches:
@@ -322,7 +357,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, size: int, percent: int) -> Dat
                     if other:
                         yield unpack.decompress(t)
 
-            found, keep = shingles(needed(), ids, size), []
+            found, keep = shingles(needed(), words, size), []
             for other in new:
                 x = next(found)
                 y = next(found) if other else y
