@@ -6,6 +6,9 @@ their prefixes of ``n - ceil(t n) + l`` and ``m - ceil(t m) + l`` elements share
 least ``l`` elements, for every ``l``. Each document picks its own ``l``: a longer
 prefix where its postings promise many candidates, which must then share that
 many elements. A pair is verified when it shares ``min(l, l')`` prefix elements.
+``l`` counts in steps of ``STEP`` percent of the set: what texts share by chance
+is less than a step, so a document whose prefix shares less with all others
+together has no partner and leaves before any pair is made.
 
 How it stays whole and linear:
 
@@ -19,8 +22,8 @@ How it stays whole and linear:
   posting list is first verified against one leader of its list. What is then
   in one component is not paired again; all other pairs of the lists are counted,
   so no link between different components can be missed. Pairs whose shared
-  elements stand too late in either order, or are too few for what lies beyond the
-  prefixes, cannot be similar and are not verified.
+  elements are too few for what lies beyond the prefixes cannot be similar and are
+  not verified. Lists of the same classes are joined as one.
 """
 
 from __future__ import annotations
@@ -41,6 +44,8 @@ from .components import connected
 
 ORDERED = 1 << 20
 MATCHES = 4
+#: Percent of a set's size by which its number of matches rises.
+STEP = 5
 #: Cost of verifying a pair, in units of reading one posting.
 VERIFY = 16
 PART_BYTES = 8 << 20
@@ -257,8 +262,18 @@ def _frequent(sets: DataFrame, total: int, size: int) -> tuple[np.ndarray, np.nd
     return values[order], top.column("n").to_numpy()[order]
 
 
-def matches(weights: np.ndarray, need: int) -> int:
-    """How many prefix elements a set asks its partners to share.
+def step_of(n: int, percent: int) -> int:
+    """The least number of matches of a set of ``n`` elements; it never falls with ``n``."""
+    return max(1, min(-(-percent * n // 100), n * STEP // 100))
+
+
+def _step(n: str, percent: int) -> str:
+    """``step_of`` in SQL."""
+    return f"greatest(1, least(({percent} * {n} + 99) div 100, {n} * {STEP} div 100))"
+
+
+def matches(weights: np.ndarray, need: int, step: int = 1) -> int:
+    """How many prefix elements a set asks its partners to share, a multiple of ``step``.
 
     ``weights`` are the estimated posting lengths in the global order and ``need``
     is the least overlap with any partner. With ``l`` matches, the prefix reads its
@@ -266,8 +281,8 @@ def matches(weights: np.ndarray, need: int) -> int:
     """
     n = len(weights)
     reads = np.cumsum(weights)
-    best, cost = 1, None
-    for l in range(1, min(MATCHES, need) + 1):
+    best, cost = step, None
+    for l in range(step, min(MATCHES * step, need) + 1, step):
         read = reads[n - need + l - 1]
         now = read + VERIFY * (read - (n - need + l)) / l
         if cost is None or now < cost:
@@ -276,7 +291,10 @@ def matches(weights: np.ndarray, need: int) -> int:
 
 
 def _postings(sets: DataFrame, total: int, size: int, percent: int, frequent) -> DataFrame:
-    """(item, row, n, l, p) of prefix elements that at least two rows have; p is the place in the row's order."""
+    """(item, row, steps) of prefix elements that at least two rows have.
+
+    The row asks for ``steps`` times its step of matches.
+    """
     parts = max(1, total * 4 // PART_BYTES + 1)
     known = sets.sparkSession.sparkContext.broadcast(frequent)
 
@@ -286,14 +304,14 @@ def _postings(sets: DataFrame, total: int, size: int, percent: int, frequent) ->
         likely[values >> 10] = True
 
         def pack(held):
-            items, rows, ns, ls, ps = (np.concatenate(x) for x in zip(*held))
+            items, rows, steps = (np.concatenate(x) for x in zip(*held))
             order = np.argsort(items, kind="stable")
-            items, rows, ns, ls, ps = items[order], rows[order], ns[order], ls[order], ps[order]
+            items, rows, steps = items[order], rows[order], steps[order]
             at = _parts(items, parts)
             full = np.flatnonzero(np.diff(at))
             cut = lambda x: pa.array([_squeezed(x[at[p] : at[p + 1]], x is items) for p in full], pa.binary())
             return pa.RecordBatch.from_arrays(
-                [pa.array(full, pa.int32()), cut(items), cut(rows), cut(ns), cut(ls), cut(ps)], ["part", "item", "row", "n", "l", "p"]
+                [pa.array(full, pa.int32()), cut(items), cut(rows), cut(steps)], ["part", "item", "row", "steps"]
             )
 
         held, waiting = [], 0
@@ -307,10 +325,11 @@ def _postings(sets: DataFrame, total: int, size: int, percent: int, frequent) ->
                 weights[asked] = np.where(values[at] == bucket, numbers[at], 1)
             order = np.argsort(weights, kind="stable")  # items are sorted, so ties go by hash
             need = -(-percent * n // 100)
-            l = matches(weights[order], need)
+            step = step_of(n, percent)
+            l = matches(weights[order], need, step)
             chosen = items[order[: n - need + l]]
             k = len(chosen)
-            held.append((chosen, np.full(k, row), np.full(k, n, np.int32), np.full(k, l, np.uint8), np.arange(k, dtype=np.int32)))
+            held.append((chosen, np.full(k, row), np.full(k, l // step, np.uint8)))
             waiting += k
             if waiting >= FLUSH // 2:
                 yield pack(held)
@@ -319,20 +338,30 @@ def _postings(sets: DataFrame, total: int, size: int, percent: int, frequent) ->
             yield pack(held)
 
     def shared(group: pa.Table) -> pa.Table:
-        kinds = {"item": np.uint64, "row": np.int64, "n": np.int32, "l": np.uint8, "p": np.int32}
+        kinds = {"item": np.uint64, "row": np.int64, "steps": np.uint8}
         c = {k: np.concatenate([_expanded(b, t, k == "item") for b in group.column(k).to_pylist()]) for k, t in kinds.items()}
         order = np.argsort(c["item"], kind="stable")
         items = c["item"][order]
         same = items[1:] == items[:-1]
         keep = order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
         return pa.table(
-            {"item": c["item"][keep].view(np.int64), "row": c["row"][keep], "n": c["n"][keep], "l": c["l"][keep].astype(np.int32), "p": c["p"][keep]}
+            {"item": c["item"][keep].view(np.int64), "row": c["row"][keep], "steps": c["steps"][keep].astype(np.int32)}
         )
 
     rows = sets.select("row", "n", "key", "t").mapInArrow(
-        prefixes, "part int, item binary, row binary, n binary, l binary, p binary"
+        prefixes, "part int, item binary, row binary, steps binary"
     )
-    return rows.groupBy("part").applyInArrow(shared, "item long, row long, n int, l int, p int")
+    return rows.groupBy("part").applyInArrow(shared, "item long, row long, steps int")
+
+
+def _partnered(postings: DataFrame, by: str, percent: int) -> DataFrame:
+    """Postings of those ``by`` that share enough elements, with all others together, to have a partner.
+
+    A partner of a set of n has at least need(n) elements and so asks for a step of that size or more.
+    """
+    need = f"(({percent} * n + 99) div 100)"
+    held = postings.withColumn("held", F.count("*").over(Window.partitionBy(by)))
+    return held.where(f"held >= {_step(need, percent)}").drop("held")
 
 
 def _small(ids: DataFrame) -> DataFrame:
@@ -366,7 +395,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, size: int, percent: int) -> Dat
             last = bs[-1] if bs else last
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    wanted = _small(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct())
+    wanted = _small(pairs.select(F.explode(F.array("a", "b")).alias("row")))
     held = sets.select("row", "t").join(wanted, "row", "left_semi")
     first = held.select(F.col("row").alias("a"), F.col("t").alias("x"))
     second = held.select(F.col("row").alias("b"), F.col("t").alias("y"))
@@ -377,13 +406,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, size: int, percent: int) -> Dat
 def _counted(shared: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b), with ``likely``: whether the elements of ``shared`` are enough for them to be similar.
 
-    ``shared`` has a row (node, b, n, m, l, k, size) for each shared element. Beyond the
+    ``shared`` has a row (node, b, n, m, l, k, w, size) for ``w`` shared elements. Beyond the
     shorter prefix of a document lie need - l elements.
     """
-    rows = shared.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"), "n", "m", "l", "k", "size")
+    rows = shared.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"), "n", "m", "l", "k", "w", "size")
     need = lambda n, l: F.ceil(percent * F.col(n) / 100) - F.col(l)
     pairs = rows.groupBy("a", "b").agg(
-        F.count("*").alias("common"),
+        F.sum("w").alias("common"),
         F.min(F.least("l", "k")).alias("needed"),
         F.min(F.col("n") + F.col("m")).alias("both"),
         F.max(F.greatest(need("n", "l"), need("m", "k"))).alias("beyond"),
@@ -402,58 +431,68 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
     members = stage(members.select("row", "id", "digest", "n", F.coalesce("node", "row").alias("node")), "members")
     total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     frequent = _frequent(sets, total, size)
-    postings = _postings(sets, total, size, percent, frequent)
-    postings = postings.join(members.select("row", "node"), "row").select("item", "node", "n", "l", "p").distinct()
-    postings = stage(postings, "postings")
-    lists = postings.groupBy("item").agg(F.count("*").alias("size")).where("size > 1")
-    # r counts the elements before p that any other class has: only these can be shared too.
-    before = Window.partitionBy("node").orderBy("p")
+    postings = _postings(sets, total, size, percent, frequent).join(members.select("row", "node", "n"), "row")
+    postings = _partnered(postings, "row", percent).withColumn("l", F.expr(f"steps * {_step('n', percent)}"))
+    postings = stage(postings.select("item", "node", "n", "l").distinct(), "postings")
+    # Near copies share long runs of n-grams: lists of the same classes become one of ``w`` n-grams. Should
+    # two lists share a hash, their pairs count more than they share, and are verified.
+    same = F.xxhash64(F.bit_xor(F.xxhash64("node")), F.count("*"))
+    lists = postings.groupBy("item").agg(same.alias("list"), F.count("*").alias("size")).where("size > 1")
+    shared = _partnered(postings.join(lists, "item"), "node", percent)
     # A member of many long lists is likely the text that the others are copies of.
-    whole = Window.partitionBy("node")
-    shared = postings.join(lists, "item").withColumns({"r": F.row_number().over(before) - 1, "weight": F.sum("size").over(whole)})
-    every, postings = postings, stage(shared, "postings")
+    shared = shared.withColumn("weight", F.sum("size").over(Window.partitionBy("node")))
+    first = lambda *names: (F.max(c).alias(c) for c in names)
+    shared = shared.groupBy("node", "list").agg(F.count("*").alias("w"), *first("n", "l", "size", "weight"))
+    every, postings = postings, stage(shared.withColumnRenamed("list", "item"), "postings")
     discard(every)
 
-    # A shared element at places p and q leaves room for this overlap only.
-    room = "least(r, s) + least(n - p, m - q)"
-    fits = f"{100 + percent} * ({room}) >= {percent} * (n + m) AND 100 * least(n, m) >= {percent} * greatest(n, m)"
-    links = spark.createDataFrame([], "a long, b long")
-    done, labelled, left = links, postings.withColumn("component", F.col("node")), None
+    fits = f"100 * least(n, m) >= {percent} * greatest(n, m)"
+    component = None
+    done, labelled = None, postings.withColumn("component", F.col("node"))
     for turn in range(LEADER_ROUNDS):
-        if left is not None and (left["pairs"] or 0) <= 4 * (left["rows"] or 0):
-            break
         # Another leader each time; partial aggregation keeps a hot list off any single task.
         first = F.col("weight") if turn == 0 else F.xxhash64(F.lit(turn), "node")
-        rank = F.struct(first.alias("h"), "node", F.col("n").alias("m"), F.col("l").alias("k"), F.col("p").alias("q"), F.col("r").alias("s"), "component")
+        rank = F.struct(first.alias("h"), "node", F.col("n").alias("m"), F.col("l").alias("k"), "component")
         leaders = labelled.groupBy("item").agg(F.max(rank).alias("best"))
-        leaders = leaders.select("item", F.col("best.node").alias("b"), "best.m", "best.k", "best.q", "best.s", F.col("best.component").alias("other"))
+        leaders = leaders.select("item", F.col("best.node").alias("b"), "best.m", "best.k", F.col("best.component").alias("other"))
         pairs = labelled.join(leaders, "item").where("component <> other").where(fits)
         # What a leader's lists hold too little of is left to the lists as a whole, below.
         pairs = _counted(pairs, percent).where(f"likely OR size > {LONG}").select("a", "b")
-        pairs = stage(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-        links = links.union(stage(_verified(pairs, sets, size, percent), "links"))
-        done = done.union(pairs)
-        labelled, left = _relabelled(postings, connected(links))
+        pairs = _new(pairs, done)
+        links = stage(_verified(pairs, sets, size, percent), "links")
+        done = pairs if done is None else done.union(pairs)
+        if at_most(links, 0):
+            break
+        component = _joined(component, links)
+        labelled, left = _relabelled(postings, component)
+        if (left["pairs"] or 0) <= 4 * (left["rows"] or 0):
+            break
     # All that the leaders left: pairs across components, of which one is outside the largest of the list.
     sizes = labelled.groupBy("item", "component").agg(F.count("*").alias("k"))
     largest = sizes.groupBy("item").agg(F.max(F.struct("k", "component")).alias("s"))
-    largest = largest.select("item", F.col("s.component").alias("largest"))
-    judged = labelled.join(largest, "item")
-    outside, inside = judged.where("component <> largest"), judged.where("component = largest")
-    names = ("item", "node AS b", "n AS m", "l AS k", "p AS q", "r AS s", "component AS other")
-    across = f"component <> other AND {fits}"
-    shared = outside.join(outside.selectExpr(*names), "item").where(f"{across} AND node < b")
-    shared = shared.select("node", "b", "n", "m", "l", "k", "size")
-    shared = shared.union(outside.join(inside.selectExpr(*names), "item").where(across).select("node", "b", "n", "m", "l", "k", "size"))
-    pairs = _counted(shared, percent).where("likely").select("a", "b")
-    pairs = stage(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
+    judged = labelled.join(largest.select("item", F.col("s.component").alias("largest")), "item")
+    names = ("item", "node AS b", "n AS m", "l AS k", "component AS other", "component = largest AS inside")
+    shared = judged.where("component <> largest").join(judged.selectExpr(*names), "item")
+    shared = shared.where(f"component <> other AND {fits}").where("inside OR node < b")
+    pairs = _new(_counted(shared, percent).where("likely").select("a", "b"), done)
     found = stage(_verified(pairs, sets, size, percent), "links")
     discard(sets)
-    component = connected(links.union(found))
+    if component is None or not at_most(found, 0):
+        component = _joined(component, found)
     # A document without words is its own node, so it is a group of its own.
     return members.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
+def _new(pairs: DataFrame, done: DataFrame | None) -> DataFrame:
+    return stage(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"), "pairs")
+
+
+def _joined(component: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components after further links."""
+    known = links if component is None else links.union(component.select(F.col("node").alias("a"), F.col("component").alias("b")))
+    return connected(known)
+
+
 def similar_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """Groups of documents linked by Jaccard similarity of word n-grams, one row per document.
 
