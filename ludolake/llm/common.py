@@ -22,6 +22,13 @@ def texts(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def slices(batches, rows: int = 256):
+    """Arrow batches cut to few rows, so that a worker holds Python copies of few texts at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 class WordIds(dict):
     """64-bit ids of words, remembered up to ``limit`` words; the ids do not depend on it."""
 

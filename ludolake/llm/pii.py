@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import at_most, stage
-from .common import table
+from .common import slices, table
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -158,7 +158,7 @@ def _gathered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             return [pa.RecordBatch.from_arrays(c, names) for c in (counted, different)]
 
         memory: dict[str, str | None] = {}
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for digest, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 text = text or ""
@@ -197,7 +197,7 @@ def _unit_counts(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame
         numbers: dict[str, int | None] = {}
         asked, out, size = sent.value, set(), 300_000
         batch_of = lambda: pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], ["unit", "term"])
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 for unit, terms in _units(_terms(text or "", memory)):
                     for term in terms:
@@ -291,7 +291,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = _annotated(docs, [F.col(id_col).alias("_id")], text_col, disclosing(docs, id_col, text_col, support, disclosed))
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for text, terms in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 base, spans = _spans(text or "", set(terms or ()))
@@ -333,7 +333,7 @@ def sanitised(docs: DataFrame, support: int = SUPPORT, disclosed: float = DISCLO
     rows = _annotated(docs, [others], "text", found).select("_text", "_terms", "doc")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
             text = [None if t is None else hidden(t, set(m or ())) for t, m in pairs]
             yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(text, pa.string())], ["doc", "text"])
