@@ -20,10 +20,13 @@ How it stays whole and linear:
   class has, most of them, end there.
 * Components do not need every pair of a group of near copies: each member of a
   posting list is first verified against one leader of its list. What is then
-  in one component is not paired again; all other pairs of the lists are counted,
-  so no link between different components can be missed. Pairs whose shared
-  elements are too few for what lies beyond the prefixes cannot be similar and are
-  not verified. Lists of the same classes are joined as one.
+  in one component is not paired again. Lists of the same classes are joined as one.
+* A similar pair of known sizes must share a known number of the elements that lie in
+  their shortest prefixes (``core``). A document whose lists hold fewer of them for every
+  size of partner leaves: a near copy with too many n-grams of its own does so without
+  meeting the thousands it was copied from. The others ask the shortest of their lists, as many
+  as no partner in another component can avoid, so no link between components is
+  missed. Pairs whose shared elements are too few are not verified.
 """
 
 from __future__ import annotations
@@ -60,6 +63,10 @@ SEEN = 1 << 18
 BASE = np.uint64(0xD1342543DE82EF95)
 #: Rows of ids (8 bytes each) that may be sent to all tasks.
 BROADCAST_IDS = 1 << 20
+#: Copies that the tasks are told of (8 bytes each in the driver); more are merged as rows of their class.
+COPIES = 1 << 21
+#: Bands of sizes in a power of e: a band is 2 percent wide.
+BANDS = 50
 
 
 def _powers(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -164,13 +171,26 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     return stage(rows.withColumn("row", F.monotonically_increasing_id()), "sets")
 
 
-def _unseen(batches, size: int):
-    """(row, n, items) of rows whose set this task has not had yet; copies elsewhere are merged later."""
+def _copies(members: DataFrame) -> bytes | None:
+    """The sorted rows that are not the first of their class, packed."""
+    copies = members.where("row <> node").select("row")
+    if not 0 < copies.count() <= COPIES:
+        return None
+    return _squeezed(np.sort(copies.toArrow().column("row").to_numpy()), True)
+
+
+def _unseen(batches, size: int, copies: bytes | None = None):
+    """(row, n, items) of rows that are no known copies and whose set this task has not had yet."""
+    known = None if copies is None else _expanded(copies, np.int64, True)
     seen, words, unpack = set(), WordHashes(), zstandard.ZstdDecompressor()
     names = deque()
 
     def fresh():
         for batch in batches:
+            if known is not None:
+                rows = batch.column(0).to_numpy()
+                at = np.minimum(np.searchsorted(known, rows), len(known) - 1)
+                batch = batch.filter(pa.array(known[at] != rows))
             rows, ns, keys, packed = (batch.column(i).to_pylist() for i in range(4))
             for row, n, key, text in zip(rows, ns, keys, packed):
                 if key is not None and key not in seen:
@@ -211,7 +231,7 @@ def _parts(values: np.ndarray, parts: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(values, cuts), [len(values)]])
 
 
-def _frequent(sets: DataFrame, total: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+def _frequent(sets: DataFrame, total: int, size: int, copies) -> tuple[np.ndarray, np.ndarray]:
     """The ``ORDERED`` most frequent buckets of n-grams, sorted, and their numbers of documents."""
     parts = max(1, total * 4 // PART_BYTES + 1)
 
@@ -232,7 +252,7 @@ def _frequent(sets: DataFrame, total: int, size: int) -> tuple[np.ndarray, np.nd
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["part", "v", "c"])
 
         held, waiting = [], 0
-        for _, n, items in _unseen(batches, size):
+        for _, n, items in _unseen(batches, size, copies.value):
             held.append(_bucket(items))
             waiting += n
             if waiting >= FLUSH:
@@ -267,6 +287,11 @@ def step_of(n: int, percent: int) -> int:
     return max(1, min(-(-percent * n // 100), n * STEP // 100))
 
 
+def _need(n: str, percent: int) -> str:
+    """The least overlap of a set of ``n`` elements with any partner, in SQL."""
+    return f"(({percent} * {n} + 99) div 100)"
+
+
 def _step(n: str, percent: int) -> str:
     """``step_of`` in SQL."""
     return f"greatest(1, least(({percent} * {n} + 99) div 100, {n} * {STEP} div 100))"
@@ -290,10 +315,10 @@ def matches(weights: np.ndarray, need: int, step: int = 1) -> int:
     return best
 
 
-def _postings(sets: DataFrame, total: int, size: int, percent: int, frequent) -> DataFrame:
-    """(item, row, steps) of prefix elements that at least two rows have.
+def _postings(sets: DataFrame, total: int, size: int, percent: int, frequent, copies) -> DataFrame:
+    """(item, row, steps, core) of prefix elements that at least two rows have.
 
-    The row asks for ``steps`` times its step of matches.
+    The row asks for ``steps`` times its step of matches; ``core`` is 1 in the prefix of one step, else 0.
     """
     parts = max(1, total * 4 // PART_BYTES + 1)
     known = sets.sparkSession.sparkContext.broadcast(frequent)
@@ -315,7 +340,7 @@ def _postings(sets: DataFrame, total: int, size: int, percent: int, frequent) ->
             )
 
         held, waiting = [], 0
-        for row, n, items in _unseen(batches, size):
+        for row, n, items in _unseen(batches, size, copies.value):
             weights = np.ones(n, np.int64)
             if len(values):
                 bucket = _bucket(items)
@@ -329,7 +354,9 @@ def _postings(sets: DataFrame, total: int, size: int, percent: int, frequent) ->
             l = matches(weights[order], need, step)
             chosen = items[order[: n - need + l]]
             k = len(chosen)
-            held.append((chosen, np.full(k, row), np.full(k, l // step, np.uint8)))
+            marks = np.full(k, 2 * (l // step), np.uint8)
+            marks[: n - need + step] += 1
+            held.append((chosen, np.full(k, row), marks))
             waiting += k
             if waiting >= FLUSH // 2:
                 yield pack(held)
@@ -344,14 +371,13 @@ def _postings(sets: DataFrame, total: int, size: int, percent: int, frequent) ->
         items = c["item"][order]
         same = items[1:] == items[:-1]
         keep = order[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
-        return pa.table(
-            {"item": c["item"][keep].view(np.int64), "row": c["row"][keep], "steps": c["steps"][keep].astype(np.int32)}
-        )
+        marks = c["steps"][keep].astype(np.int32)
+        return pa.table({"item": c["item"][keep].view(np.int64), "row": c["row"][keep], "steps": marks // 2, "core": marks % 2})
 
     rows = sets.select("row", "n", "key", "t").mapInArrow(
         prefixes, "part int, item binary, row binary, steps binary"
     )
-    return rows.groupBy("part").applyInArrow(shared, "item long, row long, steps int")
+    return rows.groupBy("part").applyInArrow(shared, "item long, row long, steps int, core int")
 
 
 def _partnered(postings: DataFrame, by: str, percent: int) -> DataFrame:
@@ -359,9 +385,65 @@ def _partnered(postings: DataFrame, by: str, percent: int) -> DataFrame:
 
     A partner of a set of n has at least need(n) elements and so asks for a step of that size or more.
     """
-    need = f"(({percent} * n + 99) div 100)"
     held = postings.withColumn("held", F.count("*").over(Window.partitionBy(by)))
-    return held.where(f"held >= {_step(need, percent)}").drop("held")
+    return held.where(f"held >= {_step(_need('n', percent), percent)}").drop("held")
+
+
+def _near(postings: DataFrame, percent: int) -> DataFrame:
+    """Postings beside each band of partners' sizes of their list, where such partners are possible.
+
+    Of the ``held`` core elements in a document's lists with such partners, it shares at
+    least ``least`` with any that is similar: that is the overlap the sizes ask for,
+    without what lies beyond the longer or the shorter of both prefixes.
+    """
+    beyond = lambda n: f"{_need(n, percent)} - {_step(n, percent)}"
+    sized = postings.withColumn("band", F.expr(f"int(ln(n) * {BANDS})"))
+    sizes = sized.selectExpr("item", "band", "n AS m", f"{beyond('n')} AS rest").groupBy("item", "band")
+    sizes = sizes.agg(F.min("m").alias("lo"), F.max("m").alias("hi"), F.max("rest").alias("rest"))
+    near = postings.join(sizes, "item").where(f"100 * hi >= {percent} * n AND {percent} * lo <= 100 * n")
+    same = Window.partitionBy("node", "band")
+    near = near.withColumns({"held": F.sum("core").over(same), "lo": F.min("lo").over(same), "rest": F.max("rest").over(same)})
+    lo, rest = f"greatest(lo, {_need('n', percent)})", f"greatest(rest, {beyond('n')})"
+    both = f"{percent} * (n + {lo})"
+    near = near.withColumn("least", F.expr(f"({both} + {99 + percent}) div {100 + percent} - {rest}"))
+    return near.where("held >= least").drop("lo", "hi", "rest")
+
+
+def _viable(postings: DataFrame, percent: int) -> DataFrame:
+    """Postings of documents and lists in which a partner is possible."""
+    return _near(postings, percent).select(*postings.columns).distinct()
+
+
+def _candidates(postings: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of different components whose postings allow them to be similar.
+
+    Of two components the one with fewer postings asks. A document has ``held`` core elements and a
+    partner shares ``least`` of them, so it has one of any ``held - least + 1``: those of the shortest lists.
+    """
+    ranks = postings.groupBy("component").agg(F.count("*").alias("rank"))
+    postings = postings.join(_small(ranks), "component")
+    shortest = Window.partitionBy("node", "band").orderBy("size", "item").rowsBetween(Window.unboundedPreceding, -1)
+    asks = _near(postings, percent).where("core > 0").withColumn("before", F.coalesce(F.sum("core").over(shortest), F.lit(0)))
+    asks = asks.where("before <= held - least").select("item", "band", "node", "n", "component", "rank")
+    names = ("item", f"int(ln(n) * {BANDS}) AS band", "node AS b", "n AS m", "component AS other", "rank AS its")
+    met = asks.join(postings.selectExpr(*names), ["item", "band"]).where("component <> other")
+    met = met.where("rank < its OR rank = its AND component < other")
+    met = met.where(f"100 * least(n, m) >= {percent} * greatest(n, m)")
+    pairs = met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+    # What they share in all, from one row per document.
+    first = postings.groupBy("node").agg(
+        F.first("n").alias("n"), F.first("l").alias("l"), F.collect_list(F.struct("item", "w", "core")).alias("x")
+    )
+    second = first.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("l").alias("k"), F.col("x").alias("y"))
+    full = pairs.join(first.withColumnRenamed("node", "a"), "a").join(second, "b")
+    full = full.withColumn("x", F.expr("filter(x, e -> array_contains(y.item, e.item))"))
+    full = full.withColumn("common", F.expr("aggregate(x, 0L, (s, e) -> s + e.w)"))
+    full = full.withColumn("inner", F.expr("aggregate(x, 0L, (s, e) -> s + e.core)"))
+    need = {n: _need(n, percent) for n in "nm"}
+    short = f"greatest({need['n']} - {_step('n', percent)}, {need['m']} - {_step('m', percent)})"
+    long = f"greatest({need['n']} - l, {need['m']} - k)"
+    room = f"{100 + percent} * least(inner + {short}, common + {long}) >= {percent} * (n + m)"
+    return full.where(f"common >= least(l, k) AND {room}").select("a", "b")
 
 
 def _small(ids: DataFrame) -> DataFrame:
@@ -430,10 +512,11 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
     members = sets.select("row", "id", "digest", "n", "key").join(classes, "key", "left")
     members = stage(members.select("row", "id", "digest", "n", F.coalesce("node", "row").alias("node")), "members")
     total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    frequent = _frequent(sets, total, size)
-    postings = _postings(sets, total, size, percent, frequent).join(members.select("row", "node", "n"), "row")
+    copies = spark.sparkContext.broadcast(_copies(members))
+    frequent = _frequent(sets, total, size, copies)
+    postings = _postings(sets, total, size, percent, frequent, copies).join(members.select("row", "node", "n"), "row")
     postings = _partnered(postings, "row", percent).withColumn("l", F.expr(f"steps * {_step('n', percent)}"))
-    postings = stage(postings.select("item", "node", "n", "l").distinct(), "postings")
+    postings = stage(postings.select("item", "node", "n", "l", "core").distinct(), "postings")
     # Near copies share long runs of n-grams: lists of the same classes become one of ``w`` n-grams. Should
     # two lists share a hash, their pairs count more than they share, and are verified.
     same = F.xxhash64(F.bit_xor(F.xxhash64("node")), F.count("*"))
@@ -442,8 +525,8 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
     # A member of many long lists is likely the text that the others are copies of.
     shared = shared.withColumn("weight", F.sum("size").over(Window.partitionBy("node")))
     first = lambda *names: (F.max(c).alias(c) for c in names)
-    shared = shared.groupBy("node", "list").agg(F.count("*").alias("w"), *first("n", "l", "size", "weight"))
-    every, postings = postings, stage(shared.withColumnRenamed("list", "item"), "postings")
+    shared = shared.groupBy("node", "list").agg(F.count("*").alias("w"), F.sum("core").alias("core"), *first("n", "l", "size", "weight"))
+    every, postings = postings, stage(_viable(shared.withColumnRenamed("list", "item"), percent), "postings")
     discard(every)
 
     fits = f"100 * least(n, m) >= {percent} * greatest(n, m)"
@@ -467,14 +550,9 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
         labelled, left = _relabelled(postings, component)
         if (left["pairs"] or 0) <= 4 * (left["rows"] or 0):
             break
-    # All that the leaders left: pairs across components, of which one is outside the largest of the list.
-    sizes = labelled.groupBy("item", "component").agg(F.count("*").alias("k"))
-    largest = sizes.groupBy("item").agg(F.max(F.struct("k", "component")).alias("s"))
-    judged = labelled.join(largest.select("item", F.col("s.component").alias("largest")), "item")
-    names = ("item", "node AS b", "n AS m", "l AS k", "component AS other", "component = largest AS inside")
-    shared = judged.where("component <> largest").join(judged.selectExpr(*names), "item")
-    shared = shared.where(f"component <> other AND {fits}").where("inside OR node < b")
-    pairs = _new(_counted(shared, percent).where("likely").select("a", "b"), done)
+    # All that the leaders left: pairs across components.
+    labelled = stage(_viable(labelled, percent), "labelled")
+    pairs = _new(_candidates(labelled, percent), done)
     found = stage(_verified(pairs, sets, size, percent), "links")
     discard(sets)
     if component is None or not at_most(found, 0):
