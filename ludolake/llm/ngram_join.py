@@ -171,12 +171,13 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     return stage(rows.withColumn("row", F.monotonically_increasing_id()), "sets")
 
 
-def _copies(members: DataFrame) -> bytes | None:
-    """The sorted rows that are not the first of their class, packed."""
+def _copies(members: DataFrame) -> tuple[bool, bytes | None]:
+    """Whether the tasks can be told of all copies, and the sorted rows that are not the first of their class, packed."""
     copies = members.where("row <> node").select("row")
-    if not 0 < copies.count() <= COPIES:
-        return None
-    return _squeezed(np.sort(copies.toArrow().column("row").to_numpy()), True)
+    count = copies.count()
+    if not 0 < count <= COPIES:
+        return count == 0, None
+    return True, _squeezed(np.sort(copies.toArrow().column("row").to_numpy()), True)
 
 
 def _unseen(batches, size: int, copies: bytes | None = None):
@@ -381,11 +382,12 @@ def _postings(sets: DataFrame, total: int, size: int, percent: int, frequent, co
 
 
 def _partnered(postings: DataFrame, by: str, percent: int) -> DataFrame:
-    """Postings of those ``by`` that share enough elements, with all others together, to have a partner.
+    """Postings of those ``by`` that share enough core elements, with all others together, to have a partner.
 
-    A partner of a set of n has at least need(n) elements and so asks for a step of that size or more.
+    A partner of a set of n has at least need(n) elements and so shares a step of that size or more
+    in the prefixes of one step.
     """
-    held = postings.withColumn("held", F.count("*").over(Window.partitionBy(by)))
+    held = postings.withColumn("held", F.sum("core").over(Window.partitionBy(by)))
     return held.where(f"held >= {_step(_need('n', percent), percent)}").drop("held")
 
 
@@ -512,11 +514,14 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, size: int, percent: in
     members = sets.select("row", "id", "digest", "n", "key").join(classes, "key", "left")
     members = stage(members.select("row", "id", "digest", "n", F.coalesce("node", "row").alias("node")), "members")
     total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    copies = spark.sparkContext.broadcast(_copies(members))
+    told, copies = _copies(members)
+    copies = spark.sparkContext.broadcast(copies)
     frequent = _frequent(sets, total, size, copies)
     postings = _postings(sets, total, size, percent, frequent, copies).join(members.select("row", "node", "n"), "row")
     postings = _partnered(postings, "row", percent).withColumn("l", F.expr(f"steps * {_step('n', percent)}"))
-    postings = stage(postings.select("item", "node", "n", "l", "core").distinct(), "postings")
+    postings = postings.select("item", "node", "n", "l", "core")
+    # Where the tasks know all copies, every class has one row.
+    postings = stage(postings if told else postings.distinct(), "postings")
     # Near copies share long runs of n-grams: lists of the same classes become one of ``w`` n-grams. Should
     # two lists share a hash, their pairs count more than they share, and are verified.
     same = F.xxhash64(F.bit_xor(F.xxhash64("node")), F.count("*"))
