@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordIds, table, texts, windows
+from .common import WordIds, slices, table, texts, windows
 
 SYMBOLS = b"#*$%&|<>"
 LEAST_WORDS = 10
@@ -56,7 +56,7 @@ def with_measures(docs: DataFrame, text_col: str = "text", keep: list[str] = ())
 
     def run(batches):
         ids = WordIds()
-        for batch in batches:
+        for batch in slices(batches):
             rows = [measured(t, ids) for t in texts(batch.column(0))] or []
             found = [pa.array([r[i] for r in rows], pa.int64()) for i in range(len(FIELDS))]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], *found], [*batch.schema.names[1:], *FIELDS])

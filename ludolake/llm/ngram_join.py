@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import at_most, discard, stage
-from .common import mixed, table, texts, windows
+from .common import mixed, slices, table, texts, windows
 from .components import connected
 
 ORDERED = 1 << 20
@@ -153,7 +153,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
 
     def run(batches):
         words, pack = WordHashes(), zstandard.ZstdCompressor(level=1)
-        for batch in batches:
+        for batch in slices(batches):
             rows = [(t or b"").lower() for t in texts(batch.column(1))]
             ns, keys = [], []
             for items in shingles(rows, words, size):
@@ -187,7 +187,7 @@ def _unseen(batches, size: int, copies: bytes | None = None):
     names = deque()
 
     def fresh():
-        for batch in batches:
+        for batch in slices(batches):
             if known is not None:
                 rows = batch.column(0).to_numpy()
                 at = np.minimum(np.searchsorted(known, rows), len(known) - 1)
@@ -233,7 +233,7 @@ def _parts(values: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _frequent(sets: DataFrame, total: int, size: int, copies) -> tuple[np.ndarray, np.ndarray]:
-    """The ``ORDERED`` most frequent buckets of n-grams, sorted, and their numbers of documents."""
+    """About the ``ORDERED`` most frequent buckets of n-grams, sorted, and their numbers of documents."""
     parts = max(1, total * 4 // PART_BYTES + 1)
 
     def packed(held: list[np.ndarray]):
@@ -266,23 +266,39 @@ def _frequent(sets: DataFrame, total: int, size: int, copies) -> tuple[np.ndarra
         values, counts = [], []
         for v, c in zip(group.column("v").to_pylist(), group.column("c").to_pylist()):
             values.append(_expanded(v, np.uint32, True))
-            counts.append(np.ones(len(values[-1]), np.int64) if c is None else _expanded(c, np.uint32).astype(np.int64))
+            counts.append(np.ones(len(values[-1]), np.uint32) if c is None else _expanded(c, np.uint32))
         values, counts = np.concatenate(values), np.concatenate(counts)
         order = np.argsort(values, kind="stable")
         values, counts = values[order], counts[order]
         first = np.flatnonzero(np.diff(values, prepend=values[0] ^ np.uint32(1)))
-        sums = np.add.reduceat(counts, first)
+        sums = np.add.reduceat(counts, first, dtype=np.int64)
         keep = sums > 1
-        return pa.table({"v": values[first][keep].astype(np.int64), "n": sums[keep]})
+        return pa.table({"v": values[first][keep].view(np.int32), "n": sums[keep]})
 
     rows = sets.select("row", "n", "key", "t").mapInArrow(count, "part int, v binary, c binary")
-    counted = rows.groupBy("part").applyInArrow(merge, "v long, n long")
-    top = counted.orderBy(F.desc("n"), "v").limit(ORDERED).toArrow()
-    values = top.column("v").to_numpy().astype(np.uint32)
+    counted = stage(rows.groupBy("part").applyInArrow(merge, "v int, n long"), "counted")
+    top = _most(counted, ORDERED).toArrow()
+    discard(counted)
+    values = top.column("v").to_numpy().view(np.uint32)
     order = np.argsort(values)
     return values[order], top.column("n").to_numpy()[order]
 
 
+def _most(counted: DataFrame, wanted: int) -> DataFrame:
+    """About ``wanted`` rows (v, n) of largest n: all above the number at which they are reached, of that one a range of v.
+
+    Only how often each number occurs is gathered, nothing is ordered: an order of that many
+    rows would fill the heap of a single task. ``v`` are hashes, so a range holds its share of them.
+    """
+    taken = 0
+    for n, rows in sorted(counted.groupBy("n").count().collect(), reverse=True):
+        if taken + rows > wanted:
+            below = -(1 << 31) + ((wanted - taken) << 32) // rows
+            return counted.where((F.col("n") > n) | (F.col("n") == n) & (F.col("v") < below))
+        taken += rows
+    return counted
+
+
 def step_of(n: int, percent: int) -> int:
     """The least number of matches of a set of ``n`` elements; it never falls with ``n``."""
     return max(1, min(-(-percent * n // 100), n * STEP // 100))
@@ -460,7 +476,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, size: int, percent: int) -> Dat
         words, unpack = WordHashes(), zstandard.ZstdDecompressor()
         last = None  # a leader's pairs mostly follow each other
         y = np.empty(0, np.uint64)
-        for batch in batches:
+        for batch in slices(batches):
             _, bs, first, second = (batch.column(i).to_pylist() for i in range(4))
             new = [b != before for b, before in zip(bs, [last, *bs])]
 
