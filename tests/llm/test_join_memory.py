@@ -11,6 +11,7 @@ import zstandard
 
 from ludolake.llm import host_rules, ngram_join
 from tests.conftest import plan_of
+from tests.llm.conftest import ODD
 
 
 def _texts(rows: int) -> list[str]:
@@ -93,3 +94,20 @@ def test_most_frequent_without_an_order_of_rows(spark, make, monkeypatch):
     assert 400 <= len(values) <= 600
     least = numbers.min()
     assert {v for v, n in expected.items() if n > least} <= set(values.tolist())
+
+
+def test_measures_of_many_texts_are_those_of_each():
+    rng = random.Random(7)
+    texts = [r[1] for r in ODD] + ["a b c d e a b c d e", "\x1cz \u0085 \x0by\x0cx"]
+    texts += [" ".join(rng.choices("abc", k=rng.randrange(40))) + "\n" * (i % 3) for i in range(2_000)]
+    texts = [None if t is None else t.encode() for t in texts]
+    ids = host_rules.WordIds()
+    assert list(host_rules.measures(texts, ngram_join.WordHashes())) == [host_rules.measured(t, ids) for t in texts]
+
+
+def test_verdicts_of_hosts_do_not_move_texts(spark, make, odd, monkeypatch):
+    assert "Exchange hashpartitioning" not in plan_of(host_rules.passing(odd))
+    few = host_rules.judged(odd, ["doc_id", "text"]).collect()
+    monkeypatch.setattr(host_rules, "BROADCAST_HOSTS", 0)
+    many = host_rules.judged(odd, ["doc_id", "text"]).collect()
+    assert sorted(few, key=repr) == sorted(many, key=repr) and len(few) == len(ODD)
